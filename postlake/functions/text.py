@@ -25,9 +25,15 @@ def whitespace_chars() -> str:
 
 
 def whitespace_class(negate: bool = False) -> str:
-    """Regex character class of the whitespace set, ``\\x{..}`` escaped."""
-    body = "".join(f"\\x{{{c:x}}}" for c in whitespace_codepoints())
-    return f"[{'^' if negate else ''}{body}]"
+    """Regex character class of the whitespace set, ``\\x{..}`` escaped, as ranges."""
+    cps, parts, i = whitespace_codepoints(), [], 0
+    while i < len(cps):
+        j = i
+        while j + 1 < len(cps) and cps[j + 1] == cps[j] + 1:
+            j += 1
+        parts.append(f"\\x{{{cps[i]:x}}}" + (f"-\\x{{{cps[j]:x}}}" if j > i else ""))
+        i = j + 1
+    return f"[{'^' if negate else ''}{''.join(parts)}]"
 
 
 def _col(c) -> Column:

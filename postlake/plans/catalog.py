@@ -62,3 +62,129 @@ def t6_domain_counts(spark, sf_dir):
     from postlake.functions import domain
     pages = read_table(spark, sf_dir, "pages").select("url")
     return pages.groupBy(domain("url").alias("domain")).agg(F.count(F.lit(1)).alias("n_pages"))
+
+
+# ---------------------------------------------------------------- ingestion side
+
+@register("s1_rank_limit", """
+SELECT CAST(row_number() OVER (ORDER BY value DESC NULLS LAST, event_id) AS INTEGER) AS rank,
+       event_id AS id, value
+FROM events ORDER BY value DESC NULLS LAST, event_id LIMIT 100""")
+def s1_rank_limit(spark, sf_dir):
+    """The first 100 of a ranked id list (ranked by value)."""
+    from postlake.operators.curate import top_n
+    ev = read_table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), "value")
+    return top_n(ev, 100, [F.desc_nulls_last("value"), F.asc("id")]).select("rank", "id", "value")
+
+
+@register("s2_hydrate_report", """
+SELECT e.event_id AS id, CAST(d.doc_id IS NOT NULL AS INTEGER) AS found, d.n_chars, d.lang
+FROM events e LEFT JOIN documents d ON d.doc_id = e.event_id""")
+def s2_hydrate_report(spark, sf_dir):
+    """Hydrate every listed id from the landed items; missing ids reported."""
+    from postlake.sources.ingest import hydrate_from_table
+    ids = read_table(spark, sf_dir, "events").select(F.col("event_id").alias("id"))
+    docs = read_table(spark, sf_dir, "documents", spread_rows=False).select(
+        F.col("doc_id").alias("id"), "n_chars", "lang")
+    return hydrate_from_table(ids, docs)
+
+
+@register("s3_json_decode", """
+SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""")
+def s3_json_decode(spark, sf_dir):
+    """S3: JSON text to typed columns (fixed schema, no inference)."""
+    from postlake.sources.ingest import decode_json_column
+    ev = read_table(spark, sf_dir, "events").select("event_id", "props")
+    return decode_json_column(ev, "props", "k bigint").select("event_id", "k")
+
+
+_HOURLY_SQL = """
+SELECT strftime(ts, '%Y-%m-%d') AS dt, strftime(ts, '%H') AS hr, CAST(count(*) AS BIGINT) AS n_rows,
+       round(sum({value}), 6) AS sum_value
+FROM events {extra} GROUP BY 1, 2"""
+
+
+@register("s5_raw_hourly", _HOURLY_SQL.format(value="value", extra=""))
+def s5_raw_hourly(spark, sf_dir):
+    """Land events by dt/hr, read the layer back, count per hour."""
+    from postlake.session import scratch_dir
+    from postlake.sources.lake import list_partitions, read_raw, write_by_time
+    root = scratch_dir(spark, "raw")
+    write_by_time(read_table(spark, sf_dir, "events"), root, "ts")
+    parts = list_partitions(spark, root)
+    agg = read_raw(spark, root).groupBy("dt", "hr").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("value"), 6).alias("sum_value"))
+    return parts.join(agg, ["dt", "hr"], "left")
+
+
+@register("s5_rerun_hour", """
+WITH f AS (SELECT strftime(min(ts), '%Y-%m-%d') AS fdt, strftime(min(ts), '%H') AS fhr FROM events),
+     e AS (SELECT strftime(ts, '%Y-%m-%d') AS dt, strftime(ts, '%H') AS hr, value FROM events)
+SELECT dt, hr, CAST(count(*) AS BIGINT) AS n_rows,
+       round(sum(CASE WHEN dt = fdt AND hr = fhr THEN 2 * value ELSE value END), 6) AS sum_value
+FROM e, f GROUP BY 1, 2""")
+def s5_rerun_hour(spark, sf_dir):
+    """Re-running one hour replaces that hour only; the others survive."""
+    from postlake.functions import partition_date, partition_hour
+    from postlake.session import scratch_dir
+    from postlake.sources.lake import read_raw, write_by_time, write_hour
+    root = scratch_dir(spark, "raw")
+    ev = read_table(spark, sf_dir, "events")
+    write_by_time(ev, root, "ts")
+    first = ev.agg(F.min("ts").alias("t")).select(partition_date("t").alias("dt"),
+                                                  partition_hour("t").alias("hr")).first()
+    redo = (ev.where((partition_date("ts") == first.dt) & (partition_hour("ts") == first.hr))
+              .withColumn("value", F.col("value") * 2))
+    write_hour(redo, root, first.dt, first.hr)
+    return read_raw(spark, root).groupBy("dt", "hr").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("value"), 6).alias("sum_value"))
+
+
+@register("s7_snapshot_roundtrip", """
+SELECT event_id, value + 1 AS value, 2 AS version FROM events""")
+def s7_snapshot_roundtrip(spark, sf_dir):
+    """Two versions written side by side; readers see the newest."""
+    from postlake.session import scratch_dir
+    from postlake.sources.lake import latest_version, read_snapshot, write_snapshot
+    root = scratch_dir(spark, "snap")
+    ev = read_table(spark, sf_dir, "events").select("event_id", "value")
+    write_snapshot(ev, root)
+    write_snapshot(ev.withColumn("value", F.col("value") + 1), root)
+    v = latest_version(spark, root)
+    return read_snapshot(spark, root).withColumn("version", F.lit(v))
+
+
+# ---------------------------------------------------------------- curation
+
+@register("u1_union_missing_cols", """
+SELECT event_id, 'old' AS src, props FROM events
+UNION ALL SELECT event_id, 'new' AS src, CAST(NULL AS VARCHAR) AS props FROM events""")
+def u1_union_missing_cols(spark, sf_dir):
+    """Union by name; the newer batch lacks ``props`` -> NULL."""
+    from postlake.operators.curate import union_by_name
+    ev = read_table(spark, sf_dir, "events")
+    old = ev.select("event_id", F.lit("old").alias("src"), "props")
+    new = ev.select("event_id", F.lit("new").alias("src"))
+    return union_by_name(old, new)
+
+
+@register("d1_curate_max_score", """
+SELECT user_id, event_id, ts, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id
+            ORDER BY value DESC NULLS LAST, ts DESC NULLS LAST, event_id DESC NULLS LAST) AS rn
+  FROM events) WHERE rn = 1""")
+def d1_curate_max_score(spark, sf_dir):
+    """Snapshots of a key (events per user) -> the max-score row."""
+    from postlake.operators.curate import best_per_key
+    ev = read_table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type", "value", "props")
+    return best_per_key(ev, "user_id", ("value", "ts", "event_id"))
+
+
+@register("d3_sort_nulls_last", f"""{POSTS_CTE}
+SELECT id, score, CAST(row_number() OVER (ORDER BY score DESC NULLS LAST, id) AS INTEGER) AS rank
+FROM posts ORDER BY score DESC NULLS LAST, id LIMIT 10""")
+def d3_sort_nulls_last(spark, sf_dir):
+    """Posts by score descending, NULLs last; the head of 10."""
+    from postlake.operators.curate import top_n
+    return top_n(posts(spark, sf_dir).select("id", "score"), 10,
+                 [F.desc_nulls_last("score"), F.asc("id")])
