@@ -188,3 +188,85 @@ def d3_sort_nulls_last(spark, sf_dir):
     from postlake.operators.curate import top_n
     return top_n(posts(spark, sf_dir).select("id", "score"), 10,
                  [F.desc_nulls_last("score"), F.asc("id")])
+
+
+# ---------------------------------------------------------------- metrics, split, fitted stats
+
+_EVENT_SCORERS_SQL = """
+SELECT 'value' AS model, 1 AS ordinal, CAST(event_type = 'purchase' AS INTEGER) AS y, value / 500.0 AS p FROM events
+UNION ALL
+SELECT 'k' AS model, 2 AS ordinal, CAST(event_type = 'purchase' AS INTEGER) AS y,
+       TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) / 100.0 AS p FROM events"""
+
+
+def _event_scorers(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events").select("event_type", "value", "props")
+    y = (F.col("event_type") == "purchase").cast("int")
+    k = F.get_json_object("props", "$.k").cast("double")
+    return (ev.select(F.lit("value").alias("model"), y.alias("y"), (F.col("value") / 500.0).alias("p"))
+              .unionByName(ev.select(F.lit("k").alias("model"), y.alias("y"), (k / 100.0).alias("p"))))
+
+
+@register("a5_metrics", Q.metrics_sql("(" + _EVENT_SCORERS_SQL + ")"))
+def a5_metrics(spark, sf_dir):
+    """A5..A8, M7: accuracy, F1, ROC AUC, average precision of two scorers of
+    'purchase' events, evaluated in one pass grouped by model."""
+    from postlake.operators.metrics import evaluate
+    return evaluate(_event_scorers(spark, sf_dir))
+
+
+@register("a9_champion", f"""
+WITH m AS ({Q.metrics_sql("(" + _EVENT_SCORERS_SQL + ")")}),
+o AS (SELECT 'value' AS model, 1 AS ordinal UNION ALL SELECT 'k', 2)
+SELECT model AS champion, roc_auc FROM m JOIN o USING (model)
+ORDER BY roc_auc DESC NULLS LAST, ordinal LIMIT 1""")
+def a9_champion(spark, sf_dir):
+    """Champion by ROC AUC, first model wins ties."""
+    from postlake.operators.metrics import champion, evaluate
+    return champion(evaluate(_event_scorers(spark, sf_dir)), order=["value", "k"])
+
+
+def _train_test(spark, sf_dir):
+    from postlake.operators.split import stratified_split
+    return stratified_split(build_tabular_features(posts(spark, sf_dir)), "vai_bombar")
+
+
+_SPLIT_SQL = f"WITH posts AS ({POSTS_SQL}), feats AS ({Q.tabular_sql('posts')}), " \
+             f"sp AS ({__import__('postlake.operators.split', fromlist=['split_sql']).split_sql('feats', 'vai_bombar')})"
+
+
+@register("m1_split", f"""{_SPLIT_SQL}
+SELECT split, vai_bombar, CAST(count(*) AS BIGINT) AS n, CAST(sum(id) AS BIGINT) AS id_sum,
+       CAST(min(id) AS BIGINT) AS min_id FROM sp GROUP BY 1, 2""")
+def m1_split(spark, sf_dir):
+    """Exact stratified 80/20 split, reproducible by hash of id:seed."""
+    sp = _train_test(spark, sf_dir)
+    return sp.groupBy("split", "vai_bombar").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("id").alias("id_sum"), F.min("id").alias("min_id"))
+
+
+@register("a3_rare_categories", f"""{_SPLIT_SQL},
+l AS (SELECT 'domain' AS feature, domain AS category FROM sp WHERE split = 'train'
+      UNION ALL SELECT 'by_author', by_author FROM sp WHERE split = 'train')
+SELECT feature, category, CAST(count(*) AS BIGINT) AS n,
+       CASE WHEN count(*) >= 5 THEN category ELSE '__rare__' END AS mapped
+FROM l GROUP BY 1, 2""")
+def a3_rare_categories(spark, sf_dir):
+    """Fitted category vocabulary on the train split; rare -> shared value."""
+    from postlake.operators.encoding import category_vocabulary
+    train = _train_test(spark, sf_dir).where(F.col("split") == "train")
+    return category_vocabulary(train, ["domain", "by_author"], 5)
+
+
+_NUMERIC = ["title_len", "n_words_title", "hour", "weekday", "has_url", "has_question"]
+
+
+@register("a4_standardise", f"""{_SPLIT_SQL},
+l AS ({" UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM sp WHERE split = 'train'"
+                          for c in _NUMERIC)})
+SELECT feature, avg(value) AS mean, stddev_pop(value) AS std FROM l GROUP BY 1""")
+def a4_standardise(spark, sf_dir):
+    """A4, M3: mean and population std of the six numeric features on the train split."""
+    from postlake.operators.encoding import standard_stats
+    train = _train_test(spark, sf_dir).where(F.col("split") == "train")
+    return standard_stats(train, _NUMERIC)

@@ -89,3 +89,22 @@ SELECT id, title, url, score, by_author, created_ts FROM (
     AND length({strip_sql('CAST(title AS VARCHAR)')}) > 0
 ) WHERE rn = 1
 """
+
+
+def metrics_sql(scored: str) -> str:
+    """A5..A8 over a relation ``scored(model, y, p)``: one row per model."""
+    return f"""
+WITH s AS (SELECT model, CAST(y AS INTEGER) AS y, CAST(p AS DOUBLE) AS p,
+                  CAST(p >= 0.5 AS INTEGER) AS pred FROM {scored}),
+cls AS (SELECT model, avg(CAST(y = pred AS DOUBLE)) AS accuracy,
+               sum(y * pred) AS tp, sum((1 - y) * pred) AS fp, sum(y * (1 - pred)) AS fn,
+               sum(y) AS n_pos, count(*) - sum(y) AS n_neg FROM s GROUP BY model),
+g AS (SELECT model, p, sum(y) AS pos, count(*) AS cnt FROM s GROUP BY model, p),
+c AS (SELECT g.*, sum(pos) OVER w AS cp, sum(cnt) OVER w AS cn FROM g
+      WINDOW w AS (PARTITION BY model ORDER BY p DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+a AS (SELECT c.model, sum(pos * ((n_neg - (cn - cp)) + (cnt - pos) / 2.0)) / (n_pos * n_neg) AS roc_auc,
+             sum(pos / n_pos * cp / cn) AS pr_auc
+      FROM c JOIN cls USING (model) GROUP BY c.model, n_pos, n_neg)
+SELECT cls.model, accuracy,
+       coalesce(2.0 * tp / nullif(2 * tp + fp + fn, 0), 0.0) AS f1, roc_auc, pr_auc
+FROM cls LEFT JOIN a USING (model)"""
