@@ -270,3 +270,165 @@ def a4_standardise(spark, sf_dir):
     from postlake.operators.encoding import standard_stats
     train = _train_test(spark, sf_dir).where(F.col("split") == "train")
     return standard_stats(train, _NUMERIC)
+
+
+# ---------------------------------------------------------------- encoding and vectors
+
+@register("e2_encode", Q.hashed_terms_sql("documents", "doc_id", "text"))
+def e2_encode(spark, sf_dir):
+    """Hashed bag-of-words of every whole document, long form (id, bucket, weight)."""
+    from postlake.operators.embed import hashed_terms
+    docs = read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    return hashed_terms(docs, "id", "text")
+
+
+@register("e1_encode_pandas", Q.hashed_terms_sql("documents", "doc_id", "text"))
+def e1_encode_pandas(spark, sf_dir):
+    """The same encoder as a Python callable through mapInPandas (one per task)."""
+    from postlake.operators.embed import HashedBagOfWords, dense_to_terms, encode_with
+
+    def factory():
+        enc = HashedBagOfWords()
+        return lambda texts: enc(texts, dtype="float64")
+    docs = read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    return dense_to_terms(encode_with(docs, factory, "text", element_type="double"))
+
+
+@register("e4_quantise", """
+SELECT vec_id, list_transform(embedding, lambda x: CAST(round(CAST(x AS DOUBLE), 6) AS FLOAT)) AS embedding_q,
+       '[' || array_to_string(list_transform(embedding, lambda x: printf('%.6f', CAST(x AS DOUBLE))), ',') || ']'
+         AS embedding_text
+FROM embeddings""")
+def e4_quantise(spark, sf_dir):
+    """Vectors quantised to 6 decimals and their text literal."""
+    from postlake.functions import quantize, to_text
+    emb = read_table(spark, sf_dir, "embeddings")
+    return emb.select("vec_id", quantize("embedding").alias("embedding_q"), to_text("embedding").alias("embedding_text"))
+
+
+_UPSERT_SQL = """
+WITH old AS (SELECT vec_id AS id, label, embedding, 'v1' AS model_name FROM embeddings),
+new AS (SELECT vec_id AS id, label + 100 AS label, list_transform(embedding, lambda x: -x) AS embedding,
+               'v2' AS model_name FROM embeddings WHERE label < 5
+        UNION ALL
+        SELECT vec_id + 1000000 AS id, label + 100 AS label, list_transform(embedding, lambda x: -x) AS embedding,
+               'v2' AS model_name FROM embeddings WHERE label < 5)
+SELECT * FROM old WHERE id NOT IN (SELECT id FROM new)
+UNION ALL SELECT * FROM new"""
+
+
+@register("s11_upsert", _UPSERT_SQL)
+def s11_upsert(spark, sf_dir):
+    """Re-embedded classes 0-4 replace their rows whole and add new ids."""
+    from postlake.session import scratch_dir
+    from postlake.sources.lake import read_snapshot, write_snapshot
+    from postlake.sources.vectors import upsert_snapshot
+    root = scratch_dir(spark, "vectors")
+    emb = read_table(spark, sf_dir, "embeddings")
+    old = emb.select(F.col("vec_id").alias("id"), "label", "embedding", F.lit("v1").alias("model_name"))
+    write_snapshot(old, root)
+    changed = emb.where(F.col("label") < 5).select(
+        "vec_id", (F.col("label") + 100).alias("label"),
+        F.transform("embedding", lambda x: -x).alias("embedding"), F.lit("v2").alias("model_name"))
+    new = (changed.withColumnRenamed("vec_id", "id")
+                  .unionByName(changed.select((F.col("vec_id") + 1000000).alias("id"), "label", "embedding",
+                                              "model_name")))
+    upsert_snapshot(root, new)
+    return read_snapshot(spark, root).select("id", "label", "embedding", "model_name")
+
+
+@register("s12_constraints", """
+WITH c AS (
+  SELECT vec_id AS id, CASE WHEN label = 3 THEN NULL ELSE 'v' || CAST(vec_id AS VARCHAR) END AS title,
+         CASE WHEN label = 7 THEN embedding[1:63] ELSE embedding END AS embedding, 'given' AS model_name
+  FROM embeddings
+  UNION ALL
+  SELECT vec_id, 'dup', embedding, 'given' FROM embeddings WHERE label = 9)
+SELECT id, 'duplicate_id' AS reason FROM c GROUP BY id HAVING count(*) > 1
+UNION ALL SELECT id, 'null_title' FROM c WHERE title IS NULL
+UNION ALL SELECT id, 'wrong_dimension' FROM c WHERE len(embedding) <> 64""")
+def s12_constraints(spark, sf_dir):
+    """Key, NOT NULL and dimension checks of vector rows -> rejects."""
+    from postlake.sources.vectors import constraint_violations
+    emb = read_table(spark, sf_dir, "embeddings")
+    c = emb.select(
+        F.col("vec_id").alias("id"),
+        F.when(F.col("label") == 3, F.lit(None).cast("string")).otherwise(F.concat(F.lit("v"), F.col("vec_id").cast("string"))).alias("title"),
+        F.when(F.col("label") == 7, F.slice("embedding", 1, 63)).otherwise(F.col("embedding")).alias("embedding"),
+        F.lit("given").alias("model_name"))
+    dup = emb.where(F.col("label") == 9).select(F.col("vec_id").alias("id"), F.lit("dup").alias("title"), "embedding",
+                                                F.lit("given").alias("model_name"))
+    return constraint_violations(c.unionByName(dup), "id", dim=64)
+
+
+def _label_centroids(emb):
+    """One query per label: the mean vector of the label (derived from the whole table)."""
+    parts = emb.select("label", F.posexplode("embedding").alias("pos", "x")) \
+               .groupBy("label", "pos").agg(F.avg("x").alias("m"))
+    return parts.groupBy("label").agg(F.sort_array(F.collect_list(F.struct("pos", "m"))).alias("s")) \
+                .select(F.col("label").alias("query_id"), F.transform("s", lambda e: e["m"]).alias("embedding"))
+
+
+@register("k1_knn", """
+WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+x AS (SELECT label, i, avg(v[i]) AS m FROM (SELECT label, v, unnest(generate_series(1, len(v))) AS i FROM e) _u
+      GROUP BY label, i),
+q AS (SELECT label AS query_id, list(m ORDER BY i) AS qv FROM x GROUP BY label),
+s AS (SELECT q.query_id, e.vec_id AS id, list_cosine_similarity(e.v, q.qv) AS similarity FROM q, e)
+SELECT query_id, id, similarity, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(similarity, 9) DESC NULLS LAST, id) AS rank FROM s) _r
+WHERE rank <= 10""")
+def k1_knn(spark, sf_dir):
+    """Exact cosine top-10 of every label centroid over all vectors."""
+    from postlake.operators.search import knn
+    emb = read_table(spark, sf_dir, "embeddings")
+    hits = knn(emb.select(F.col("vec_id").alias("id"), "embedding"), _label_centroids(emb), k=10)
+    return hits.select("query_id", "id", "similarity", "rank")
+
+
+@register("k2_ivf")
+def k2_ivf(spark, sf_dir):
+    """Approximate top-10 through a 16-cell IVF index probing 4 cells (recall tested)."""
+    from postlake.operators.search import build_ivf, ivf_search
+    from postlake.session import scratch_dir
+    emb = read_table(spark, sf_dir, "embeddings")
+    vecs = emb.select(F.col("vec_id").alias("id"), "embedding")
+    path = scratch_dir(spark, "ivf")
+    cents = build_ivf(vecs, path, cells=16)
+    return ivf_search(spark, path, cents, _label_centroids(emb), k=10, nprobe=4).select(
+        "query_id", "id", "similarity", "rank")
+
+
+_DOC_TERMS = Q.hashed_terms_sql("documents", "doc_id", "text")
+_BENCH_TERMS = Q.hashed_terms_sql("benchmark", "item_id", "text")
+
+
+@register("k3_text_search", f"""
+WITH dt AS (SELECT id, bucket, CAST(CAST(weight AS FLOAT) AS DOUBLE) AS w FROM ({_DOC_TERMS}) _d),
+qt AS (SELECT id, bucket, CAST(CAST(weight AS FLOAT) AS DOUBLE) AS w FROM ({_BENCH_TERMS}) _q),
+dn AS (SELECT id, sqrt(sum(w * w)) AS n FROM dt GROUP BY id),
+qn AS (SELECT id, sqrt(sum(w * w)) AS n FROM qt GROUP BY id),
+s AS (SELECT qt.id AS query_id, dt.id AS id, sum(qt.w * dt.w) AS dotp FROM qt JOIN dt USING (bucket) GROUP BY 1, 2),
+c AS (SELECT s.query_id, s.id, dotp / (qn.n * dn.n) AS similarity
+      FROM s JOIN qn ON qn.id = s.query_id JOIN dn ON dn.id = s.id)
+SELECT query_id, id, similarity, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(similarity, 9) DESC NULLS LAST, id) AS rank FROM c) _r
+WHERE rank <= 10""")
+def k3_text_search(spark, sf_dir):
+    """Every benchmark text as a query over every whole document, top 10."""
+    from postlake.operators.embed import hashed_vectors
+    from postlake.operators.search import knn
+    docs = hashed_vectors(read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text"), "text")
+    qs = hashed_vectors(read_table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text"), "text")
+    return knn(docs, qs, k=10).select("query_id", "id", "similarity", "rank")
+
+
+@register("k4_author_recent", f"""{POSTS_CTE}, t AS ({Q.text_sql('posts')})
+SELECT by_author, id, created_ts, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT by_author, id, created_ts,
+         row_number() OVER (PARTITION BY by_author ORDER BY created_ts DESC NULLS LAST, id) AS rank FROM t) _r
+WHERE rank <= 5""")
+def k4_author_recent(spark, sf_dir):
+    """K4: each author's five most recent stories."""
+    from postlake.operators.search import by_author_recent
+    return by_author_recent(build_text_features(posts(spark, sf_dir))).select("by_author", "id", "created_ts", "rank")

@@ -108,3 +108,14 @@ a AS (SELECT c.model, sum(pos * ((n_neg - (cn - cp)) + (cnt - pos) / 2.0)) / (n_
 SELECT cls.model, accuracy,
        coalesce(2.0 * tp / nullif(2 * tp + fp + fn, 0), 0.0) AS f1, roc_auc, pr_auc
 FROM cls LEFT JOIN a USING (model)"""
+
+
+def hashed_terms_sql(src: str, id_col: str, text_col: str, dim: int = 384) -> str:
+    """E2 long form ``(id, bucket, weight)`` in SQL."""
+    return f"""
+SELECT id, bucket, tf / sqrt(sum(tf * tf) OVER (PARTITION BY id)) AS weight FROM (
+  SELECT id, CAST(CAST(('0x' || substr(md5(tok), 1, 8)) AS BIGINT) % {dim} AS INTEGER) AS bucket,
+         count(*) AS tf
+  FROM (SELECT {id_col} AS id, unnest(regexp_split_to_array(lower({text_col}), '[^\\p{{L}}\\p{{N}}]+')) AS tok
+        FROM {src}) _t
+  WHERE tok <> '' GROUP BY 1, 2) _c"""
