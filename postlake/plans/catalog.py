@@ -432,3 +432,107 @@ def k4_author_recent(spark, sf_dir):
     """K4: each author's five most recent stories."""
     from postlake.operators.search import by_author_recent
     return by_author_recent(build_text_features(posts(spark, sf_dir))).select("by_author", "id", "created_ts", "rank")
+
+
+# ---------------------------------------------------------------- validation and gates
+
+@register("p14_validate_predict", f"""{POSTS_CTE}
+SELECT id, CAST(((id % 26) <= 23 AND (id % 8) <= 6 AND title IS NOT NULL) AS INTEGER) AS valid,
+       concat_ws(',', CASE WHEN title IS NULL THEN 'title_required' END,
+                      CASE WHEN id % 26 > 23 THEN 'hour_out_of_range' END,
+                      CASE WHEN id % 8 > 6 THEN 'weekday_out_of_range' END) AS reasons,
+       coalesce("by", 'unknown') AS by_author
+FROM posts""")
+def p14_validate_predict(spark, sf_dir):
+    """Prediction requests built from posts (hour = id mod 26, weekday = id mod 8) -> valid / reasons."""
+    from postlake.operators.quality import validate_predict
+    req = posts(spark, sf_dir).select("id", "title", "url", F.col("by").alias("by_author"),
+                                      F.pmod("id", F.lit(26)).cast("int").alias("hour"),
+                                      F.pmod("id", F.lit(8)).cast("int").alias("weekday"))
+    v = validate_predict(req)
+    return v.select("id", "valid", F.concat_ws(",", "reasons").alias("reasons"), "by_author")
+
+
+@register("p15_validate_search", """
+SELECT conv_id, turn, CAST(coalesce(turn, 10) AS INTEGER) AS k,
+       CAST((text IS NOT NULL AND length(text) >= 1 AND coalesce(turn, 10) BETWEEN 1 AND 50) AS INTEGER) AS valid,
+       concat_ws(',', CASE WHEN text IS NULL OR length(text) < 1 THEN 'query_required' END,
+                      CASE WHEN NOT (coalesce(turn, 10) BETWEEN 1 AND 50) THEN 'k_out_of_range' END) AS reasons
+FROM conversations""")
+def p15_validate_search(spark, sf_dir):
+    """Every conversation turn as a search request, k = turn."""
+    from postlake.operators.quality import validate_search
+    conv = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", F.col("text").alias("query"),
+                                                             F.col("turn").alias("k"))
+    v = validate_search(conv)
+    return v.select("conv_id", "turn", "k", "valid", F.concat_ws(",", "reasons").alias("reasons"))
+
+
+@register("p_gates", f"""{POSTS_CTE}, f AS ({Q.tabular_sql('posts')}), t AS ({Q.text_sql('posts')})
+SELECT (SELECT count(*) FROM f) AS n_rows,
+       (SELECT count(DISTINCT vai_bombar) FROM f) AS n_classes,
+       CAST((SELECT count(*) FROM f) >= 20 AS INTEGER) AS min_rows_ok,
+       CAST((SELECT count(DISTINCT vai_bombar) FROM f) >= 2 AS INTEGER) AS two_classes_ok,
+       (SELECT count(*) FROM t) AS n_text,
+       CAST((SELECT count(*) FROM t) > 0 AS INTEGER) AS text_ok""")
+def p_gates(spark, sf_dir):
+    """P10..P13, A1, A2: the training and embedding gates as one row of counts and flags."""
+    p = posts(spark, sf_dir)
+    f = build_tabular_features(p).agg(F.count(F.lit(1)).alias("n_rows"),
+                                      F.count_distinct("vai_bombar").alias("n_classes")).withColumn("_one", F.lit(1))
+    t = build_text_features(p).agg(F.count(F.lit(1)).alias("n_text")).withColumn("_one", F.lit(1))
+    return f.join(t, "_one").select(
+        "n_rows", "n_classes", (F.col("n_rows") >= 20).cast("int").alias("min_rows_ok"),
+        (F.col("n_classes") >= 2).cast("int").alias("two_classes_ok"), "n_text",
+        (F.col("n_text") > 0).cast("int").alias("text_ok"))
+
+
+# ---------------------------------------------------------------- models (no SQL oracle: rows-only)
+
+def _fit_score(spark, sf_dir, name, estimator):
+    from postlake.operators.model import fit
+    sp = _train_test(spark, sf_dir).cache()
+    m = fit(name, estimator, sp.where(F.col("split") == "train"))
+    return m, sp, m.score(sp.where(F.col("split") == "test"))
+
+
+@register("m5_forest")
+def m5_forest(spark, sf_dir):
+    """M4, M5, M9: random forest (200 trees, depth 12) fit on the train split, test split scored."""
+    from postlake.operators.model import random_forest
+    _, _, scored = _fit_score(spark, sf_dir, "random_forest", random_forest())
+    return scored.select("id", F.col("vai_bombar").alias("y"), "probability", "prediction")
+
+
+@register("m6_boosted")
+def m6_boosted(spark, sf_dir):
+    """M4, M6, M9: boosted trees (300 rounds, depth 6, rate 0.1, sampling 0.9) on the same split."""
+    from postlake.operators.model import boosted_trees
+    _, _, scored = _fit_score(spark, sf_dir, "xgboost", boosted_trees())
+    return scored.select("id", F.col("vai_bombar").alias("y"), "probability", "prediction")
+
+
+@register("m8_save_load_score")
+def m8_save_load_score(spark, sf_dir):
+    """Persist the fitted unit, reload it by preference, score again; equal scores."""
+    from postlake.operators.model import load_preferred, random_forest
+    from postlake.session import scratch_dir
+    root = scratch_dir(spark, "models")
+    m, sp, scored = _fit_score(spark, sf_dir, "random_forest", random_forest())
+    m.save(root)
+    again = load_preferred(spark, root, ["champion", "random_forest"]).score(sp.where(F.col("split") == "test"))
+    a = scored.select("id", F.col("probability").alias("p_fit"))
+    b = again.select("id", F.col("probability").alias("p_loaded"), "prediction")
+    return a.join(b, "id").withColumn("same", (F.abs(F.col("p_fit") - F.col("p_loaded")) < 1e-12).cast("int"))
+
+
+@register("m10_run_log")
+def m10_run_log(spark, sf_dir):
+    """M1, M4..M10, A9: gates, split, both candidates, one-pass evaluation, champion
+    persisted, long-form run record returned."""
+    from postlake.operators.model import train_and_select
+    from postlake.session import scratch_dir
+    work = scratch_dir(spark, "train")
+    summary = train_and_select(build_tabular_features(posts(spark, sf_dir)), work)
+    log = spark.read.parquet(f"{work}/runs").where(F.col("run_id") == summary["run_id"])
+    return log.withColumn("champion", F.lit(summary["champion"]))

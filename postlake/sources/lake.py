@@ -161,3 +161,9 @@ def resolve_first(spark: SparkSession, candidates: list[str]) -> str | None:
         if latest_version(spark, root) is not None:
             return root
     return None
+
+
+def write_marker(spark: SparkSession, path: str, name: str = "_SUCCESS") -> None:
+    """Mark a version folder written by several jobs as complete."""
+    fs, p, jvm = _fs(spark, path)
+    fs.create(jvm.org.apache.hadoop.fs.Path(p, name), True).close()
