@@ -536,3 +536,55 @@ def m10_run_log(spark, sf_dir):
     summary = train_and_select(build_tabular_features(posts(spark, sf_dir)), work)
     log = spark.read.parquet(f"{work}/runs").where(F.col("run_id") == summary["run_id"])
     return log.withColumn("champion", F.lit(summary["champion"]))
+
+
+# ---------------------------------------------------------------- streaming (SQL of the batch form)
+
+def _land_events(spark, sf_dir, files: int = 4):
+    """Events landed as several files ordered by time (a stream of hourly drops)."""
+    from postlake.session import scratch_dir
+    landing = scratch_dir(spark, "landing")
+    ev = read_table(spark, sf_dir, "events")
+    ev.repartitionByRange(files, "ts").write.mode("overwrite").parquet(landing)
+    return landing, ev.schema
+
+
+@register("r1_stream_raw", _HOURLY_SQL.format(value="value", extra=""))
+def r1_stream_raw(spark, sf_dir):
+    """Landed files -> raw dt/hr layer by Structured Streaming (availableNow)."""
+    from postlake.session import scratch_dir
+    from postlake.sources.lake import read_raw
+    from postlake.streaming.jobs import read_landing, stream_raw
+    landing, schema = _land_events(spark, sf_dir)
+    raw, ckpt = scratch_dir(spark, "raw"), scratch_dir(spark, "ckpt")
+    stream_raw(read_landing(spark, landing, schema, max_files_per_trigger=1), raw, ckpt, "ts").awaitTermination()
+    return read_raw(spark, raw).groupBy("dt", "hr").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("value"), 6).alias("sum_value"))
+
+
+@register("r2_stream_curate", ORACLE["d1_curate_max_score"])
+def r2_stream_curate(spark, sf_dir):
+    """R2: each micro-batch merged into the curated snapshot (one version per batch)."""
+    from postlake.session import scratch_dir
+    from postlake.streaming.jobs import read_landing, stream_curate
+    landing, schema = _land_events(spark, sf_dir)
+    root, ckpt = scratch_dir(spark, "curated"), scratch_dir(spark, "ckpt")
+    stream = read_landing(spark, landing, schema, max_files_per_trigger=1).select(
+        "user_id", "event_id", "ts", "event_type", "value", "props")
+    stream_curate(stream, root, ckpt, "user_id", ("value", "ts", "event_id")).awaitTermination()
+    from postlake.sources.lake import read_snapshot
+    return read_snapshot(spark, root)
+
+
+@register("r3_stream_state", ORACLE["d1_curate_max_score"])
+def r3_stream_state(spark, sf_dir):
+    """Best row per key held in the streaming state store, upserted per batch."""
+    from postlake.session import scratch_dir
+    from postlake.sources.lake import read_snapshot
+    from postlake.streaming.jobs import read_landing, stream_best_state
+    landing, schema = _land_events(spark, sf_dir)
+    root, ckpt = scratch_dir(spark, "state"), scratch_dir(spark, "ckpt")
+    stream = read_landing(spark, landing, schema, max_files_per_trigger=1).select(
+        "user_id", "event_id", "ts", "event_type", "value", "props")
+    stream_best_state(stream, root, ckpt, "user_id", ("value", "ts", "event_id")).awaitTermination()
+    return read_snapshot(spark, root)
