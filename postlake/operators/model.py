@@ -175,6 +175,7 @@ def train_and_select(features: DataFrame, workdir: str, candidates=None, seed: i
                                  F.col("probability").alias("p"))
         fitted.append((name, est, m))
         scored = s if scored is None else scored.unionByName(s)
+    scored = scored.cache()               # (model, y, p) only: read twice by the evaluation
     metrics = evaluate(scored).cache()
     order = [n for n, _ in candidates]
     win = champion(metrics, order).first()

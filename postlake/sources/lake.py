@@ -31,7 +31,7 @@ class Layout:
 
     @property
     def raw(self) -> str:
-        return f"{self.root}/raw/hn"
+        return f"{self.root}/raw/items"
 
     @property
     def curated(self) -> str:
