@@ -15,6 +15,7 @@ into one task.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,16 +53,20 @@ def evaluate(scored: DataFrame, model_col: str = "model", y: str = "y", p: str =
     (average precision) per model."""
     s = scored.select(F.col(model_col).alias("model"), F.col(y).cast("int").alias("y"),
                       F.col(p).cast("double").alias("p"))
+    # one pass over the input: everything below derives from the distinct-score table,
+    # which is persisted because three branches read it
+    g = (s.groupBy("model", "p").agg(F.sum("y").alias("pos"), F.count(F.lit(1)).alias("cnt"))
+          .persist(StorageLevel.MEMORY_AND_DISK))
     pred = to_class("p", threshold)
-    cls = s.groupBy("model").agg(
-        F.avg((F.col("y") == pred).cast("double")).alias("accuracy"),                        # A5
-        F.sum((F.col("y") * pred).cast("long")).alias("tp"),
-        F.sum(((1 - F.col("y")) * pred).cast("long")).alias("fp"),
-        F.sum((F.col("y") * (1 - pred)).cast("long")).alias("fn"),
-        F.sum("y").alias("n_pos"), F.count(F.lit(1)).alias("n"),                                   # A1
+    neg = F.col("cnt") - F.col("pos")
+    cls = g.groupBy("model").agg(
+        (F.sum(F.when(pred == 1, F.col("pos")).otherwise(neg)) / F.sum("cnt")).alias("accuracy"),  # A5
+        F.sum(F.when(pred == 1, F.col("pos")).otherwise(0)).alias("tp"),
+        F.sum(F.when(pred == 1, neg).otherwise(0)).alias("fp"),
+        F.sum(F.when(pred == 0, F.col("pos")).otherwise(0)).alias("fn"),
+        F.sum("pos").alias("n_pos"), F.sum("cnt").alias("n"),                                   # A1
     )
     f1 = F.coalesce(F.try_divide(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")), F.lit(0.0))  # A6
-    g = s.groupBy("model", "p").agg(F.sum("y").alias("pos"), F.count(F.lit(1)).alias("cnt"))
     c = running_desc(g, ["model"], "p", ["pos", "cnt"])
     ranked = (c.join(cls.select("model", "n_pos", (F.col("n") - F.col("n_pos")).alias("n_neg")), "model")
                .select("model",
