@@ -72,3 +72,18 @@ def constraint_violations(df: DataFrame, key: str = "id", dim: int = EMBEDDING_D
     checks.append(F.when(F.col(vec_col).isNotNull() & (F.size(vec_col) != dim), F.lit("wrong_dimension")))
     rows = df.select(key, F.explode(F.filter(F.array(*checks), lambda r: r.isNotNull())).alias("reason"))
     return dup.unionByName(rows)
+
+
+def write_vectors_sorted(df: DataFrame, path: str, author_col: str = "by_author", ts_col: str = "created_ts") -> None:
+    """K4 layout: rows range-partitioned by author and sorted by (author, time)
+    inside each file, so Parquet min/max statistics let an author lookup skip
+    row groups (the btree indexes of the original table)."""
+    (df.repartitionByRange(author_col, ts_col).sortWithinPartitions(author_col, F.desc(ts_col))
+       .write.mode("overwrite").parquet(path))
+
+
+def author_lookup(spark, path: str, author: str, n: int | None = None,
+                  author_col: str = "by_author", ts_col: str = "created_ts") -> DataFrame:
+    """K4: one author's rows, newest first (filter pushed to the scan)."""
+    df = spark.read.parquet(path).where(F.col(author_col) == author).orderBy(F.desc_nulls_last(ts_col), "id")
+    return df.limit(n) if n else df

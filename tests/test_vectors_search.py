@@ -67,3 +67,18 @@ def test_encoders_agree(spark):
     for r in terms:
         assert abs(py[r.id][r.bucket] - r.weight) < 1e-6
     assert not np.any(dense[2]) and not np.any(dense[3])
+
+
+def test_author_lookup_pushes_filter(spark, workdir):
+    from postlake.operators.features import build_text_features
+    from postlake.plans.posts import posts
+    from postlake.sources.vectors import author_lookup, write_vectors_sorted
+    from conftest import SF_SMALL
+    t = build_text_features(posts(spark, SF_SMALL))
+    write_vectors_sorted(t, f"{workdir}/vec")
+    author = t.first().by_author
+    got = author_lookup(spark, f"{workdir}/vec", author)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(by_author), EqualTo(by_author," in plan
+    ts = [r.created_ts for r in got.collect()]
+    assert ts == sorted(ts, reverse=True) and len(ts) == t.where(F.col("by_author") == author).count()
