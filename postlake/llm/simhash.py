@@ -31,8 +31,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from postlake.llm.common import (block_cuts, ipc, mix64, pack_keys, parts, table, unipc, unpack_keys, utf8, with_fields,
-                                 word_bounds, written)
+from postlake.llm.common import (block_cuts, ipc, mix64, pack_keys, parts, pieces, table, unipc, unpack_keys, utf8,
+                                 with_fields, word_bounds, written)
 from postlake.llm.components import components
 
 SHINGLE = 3
@@ -40,6 +40,7 @@ MAX_BITS = 3
 SEED = 42
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+_PIECE = 2 << 20  # text bytes that are worked on at once
 _PER_CALL = 1 << 15  # shingles whose bits are counted at once
 
 
@@ -80,10 +81,10 @@ def fingerprints_of(offsets: np.ndarray, data: np.ndarray, shingle: int = SHINGL
 
 def _fingerprint(text_col: str, shingle: int):
     def run(batches):
-        for batch in batches:
-            values = fingerprints_of(*utf8(batch.column(text_col)), shingle).view(np.int64)
-            names = [c for c in batch.schema.names if c != text_col]
-            yield pa.record_batch({c: batch.column(c) for c in names} | {"fingerprint": pa.array(values)})
+        for piece in (p for batch in batches for p in pieces(batch, text_col, _PIECE)):
+            values = fingerprints_of(*utf8(piece.column(text_col)), shingle).view(np.int64)
+            names = [c for c in piece.schema.names if c != text_col]
+            yield pa.record_batch({c: piece.column(c) for c in names} | {"fingerprint": pa.array(values)})
     return run
 
 
