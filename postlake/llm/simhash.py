@@ -182,7 +182,8 @@ def _classed(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits
     rows = written(narrow.mapInArrow(_fingerprint("text", shingle), schema), "fingerprints")
     distinct = rows.groupBy("fingerprint").agg(F.min("id").alias("low"))
     if max_bits:
-        links = (distinct.select("fingerprint").repartition(blocks, "fingerprint")
+        # dealt by another key than the aggregate's, whose partitions would be coalesced for their few bytes
+        links = (distinct.select("fingerprint").repartition(blocks, F.xxhash64("fingerprint"))
                  .mapInArrow(_emit(max_bits, blocks, batch_rows), "block int, keys binary, members binary")
                  .repartitionById(blocks, F.col("block")).mapInArrow(_meet(max_bits), "u long, v long"))
         grouped = components(links)
