@@ -4,9 +4,10 @@ A task gathers the distinct pretokens of its batch that it hasn't met yet
 and replays the merges over all of them at once: an inverted index leads
 from a merge's rank to the word positions where its pair stands; ranks are
 taken upwards, positions from left to right, and a merge only looks at its
-two neighbours again.  With rank files a merge can give rise to a pair of a
-lower rank; such a pair is merged before the replay goes on, so every word
-sees its merges in the order that a word-by-word encoder takes.  A pretoken
+two neighbours again; the index has arrays of positions, so one step merges a
+pair wherever it stands.  With rank files a merge can give rise to a pair of
+a lower rank, which a word-by-word encoder takes before the word's other
+merges; such words, which are rare, are encoded by themselves.  A pretoken
 that is itself an entry of the vocabulary is one token.
 
 Plan: no shuffle.  Every pretoken is looked up in the task's table of known
@@ -30,9 +31,10 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, Stri
 
 from postlake.llm.common import pieces, table, with_fields, without
 
-_KNOWN = 600_000
+_KNOWN = 500_000
 _LONG = 256  # characters beyond which a pretoken isn't kept
-_PIECE = 4 << 20
+_PIECE = 6 << 20
+_NONE = 1 << 31
 
 
 class Vocabulary:
@@ -40,86 +42,153 @@ class Vocabulary:
 
     def __init__(self, content: bytes):
         self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in content.splitlines() if line.strip())}
-        self.tokens = {r: t for t, r in self.ranks.items()}
         missing = [b for b in range(256) if bytes([b]) not in self.ranks]
         if missing:
             raise ValueError(f"the vocabulary lacks {len(missing)} single bytes")
-        self.single = [self.ranks[bytes([b])] for b in range(256)]
+        self.tokens = {r: t for t, r in self.ranks.items()}
+        self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
         self.known: dict[str, bytes] = {}
-        self.pairs: dict[tuple[int, int], int] = {}
-
-    def rank(self, a: int, b: int) -> int:
-        """The rank of the merge of two tokens; -1 if there is none."""
-        got = self.pairs.get((a, b))
-        if got is None:
-            if len(self.pairs) >= 2_000_000:
-                self.pairs.clear()
-            got = self.pairs[a, b] = self.ranks.get(self.tokens[a] + self.tokens[b], -1)
-        return got
-
-    def replay(self, words: list[bytes]) -> list[list[int]]:
-        """The token ids of every word."""
-        single, rank = self.single, self.rank
-        ids: list[int] = []
-        after: list[int] = []  # the next live position in the word, -1 at its end
-        before: list[int] = []
-        heads: list[int] = []
-        index: dict[int, list[int]] = {}
-        for word in words:
-            head = len(ids)
-            heads.append(head)
-            ids.extend(map(single.__getitem__, word))
-            n = len(ids)
-            after.extend(range(head + 1, n))
-            before.extend(range(head - 1, n - 1))
-            if n > head:
-                after.append(-1)
-                before[head] = -1
-            for k in range(head, n - 1):
-                if (r := rank(ids[k], ids[k + 1])) >= 0:
-                    index.setdefault(r, []).append(k)
-        ranks = list(index)
-        heapq.heapify(ranks)
-        urgent: list[tuple[int, int]] = []
-
-        def merge(k: int, r: int, floor: int) -> None:
-            nxt = after[k]
-            if ids[k] < 0 or nxt < 0 or rank(ids[k], ids[nxt]) != r:
-                return
-            ids[k], ids[nxt] = r, -1
-            after[k] = far = after[nxt]
-            if far >= 0:
-                before[far] = k
-                note(k, rank(r, ids[far]), floor)
-            if (prior := before[k]) >= 0:
-                note(prior, rank(ids[prior], r), floor)
-
-        def note(k: int, r: int, floor: int) -> None:
-            if r < 0:
-                return
-            if r < floor:
-                heapq.heappush(urgent, (r, k))
-            elif r in index:
-                index[r].append(k)
-            else:
-                index[r] = [k]
-                heapq.heappush(ranks, r)
-
-        while ranks:
-            floor = heapq.heappop(ranks)
-            for k in sorted(index.pop(floor)):
-                merge(k, floor, floor)
-                while urgent:
-                    r, at = heapq.heappop(urgent)
-                    merge(at, r, floor)
-        out = []
-        for head, word in zip(heads, words, strict=True):
-            found, k = [], head if word else -1
-            while k >= 0:
-                found.append(ids[k])
-                k = after[k]
-            out.append(found)
-        return out
+        # every pair of tokens that joins to a token, in key order
+        get, found = self.ranks.get, {}
+        for token, rank in self.ranks.items():
+            for k in range(1, len(token)):
+                if (a := get(token[:k])) is not None and (b := get(token[k:])) is not None:
+                    found[a << 32 | b] = rank
+        self.pair_keys = np.array(sorted(found), np.int64)
+        self.pair_ranks = np.array([found[k] for k in self.pair_keys.tolist()], np.int64)
+        # decoding: all tokens' bytes one after the other
+        sizes = np.zeros(max(self.tokens) + 1, np.int64)
+        for rank, token in self.tokens.items():
+            sizes[rank] = len(token)
+        self.token_sizes = sizes
+        self.token_starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        self.token_bytes = np.frombuffer(b"".join(self.tokens[r] for r in sorted(self.tokens)), np.uint8)
+
+    def pair(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The ranks of the merges of token pairs; ``_NONE`` where there is none."""
+        keys = a << 32 | b
+        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], _NONE)
+
+    def alone(self, word: bytes) -> list[int]:
+        """One word by itself: always its lowest pair, the leftmost of equals."""
+        ids = self.single[np.frombuffer(word, np.uint8)].tolist()
+        get, tokens, n = self.ranks.get, self.tokens, len(word)
+        after, before = [*range(1, n), -1], [-1, *range(n - 1)]
+
+        def low(k):
+            return get(tokens[ids[k]] + tokens[ids[after[k]]], _NONE) if after[k] >= 0 else _NONE
+
+        rank = [low(k) for k in range(n)]
+        heap = [(r, k) for k, r in enumerate(rank) if r != _NONE]
+        heapq.heapify(heap)
+        while heap:
+            r, k = heapq.heappop(heap)
+            if rank[k] != r:
+                continue
+            gone = after[k]
+            ids[k], ids[gone], rank[gone] = r, -1, _NONE
+            after[k] = after[gone]
+            if after[k] >= 0:
+                before[after[k]] = k
+            for at in (k, before[k]):
+                if at >= 0:
+                    rank[at] = low(at)
+                    if rank[at] != _NONE:
+                        heapq.heappush(heap, (rank[at], at))
+        return [x for x in ids if x >= 0]
+
+    def replay(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words one after the other, number of ids of each word)."""
+        sizes = np.array([len(w) for w in words], np.int64)
+        ids = self.single[np.frombuffer(b"".join(words), np.uint8)]
+        n = len(ids)
+        if n == 0:
+            return ids, sizes
+        last = np.cumsum(sizes)[sizes > 0] - 1
+        word = np.repeat(np.arange(len(words)), sizes)
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        after[last] = -1
+        before[np.append(0, last[:-1] + 1)] = -1
+        rank = np.full(n, _NONE)  # of the pair that starts at a position
+        inner = np.flatnonzero(after >= 0)
+        rank[inner] = self.pair(ids[inner], ids[inner + 1])
+        # the index from a rank to positions, smallest rank first: as first found, and as merges add to it
+        order = np.argsort(rank, kind="stable")
+        order = order[:np.searchsorted(rank[order], _NONE)]
+        ranks, cuts = np.unique(rank[order], return_index=True)
+        stands = dict(zip(ranks.tolist(), np.split(order, cuts[1:]), strict=True)) if len(order) else {}
+        more: dict[int, list[np.ndarray]] = {}
+        heap = ranks.tolist()
+        odd: list[np.ndarray] = []
+        while heap:
+            r = heapq.heappop(heap)
+            at = stands.pop(r, None)
+            if r in more:
+                at = np.unique(np.concatenate(more.pop(r) + ([] if at is None else [at])))
+            if at is None:
+                continue
+            at = at[rank[at] == r]
+            if len(at) == 0:
+                continue
+            right = after[at]
+            if len(at) > 1 and (right[:-1] == at[1:]).any():  # runs such as aaa: from the left, none twice
+                kept, taken = [], -1
+                for k, q in zip(at.tolist(), right.tolist(), strict=True):
+                    if k != taken:
+                        kept.append(k)
+                        taken = q
+                at = np.array(kept)
+                right = after[at]
+            ids[at], ids[right], rank[right] = r, -1, _NONE
+            far = after[right]
+            after[at] = far
+            rank[at] = _NONE
+            ahead = far >= 0
+            before[far[ahead]] = at[ahead]
+            back = before[at]
+            touched = np.concatenate([at[ahead], back[back >= 0]])
+            if len(touched) == 0:
+                continue
+            new = self.pair(ids[touched], ids[after[touched]])
+            rank[touched] = new
+            some = new != _NONE
+            touched, new = touched[some], new[some]
+            if len(new) == 0:
+                continue
+            if (early := new < r).any():
+                odd.append(word[touched[early]])
+            order = np.argsort(new, kind="stable")
+            touched, new = touched[order], new[order]
+            heads = np.flatnonzero(np.concatenate([[True], new[1:] != new[:-1]])).tolist()
+            for a, b in zip(heads, [*heads[1:], len(new)], strict=True):
+                other = int(new[a])
+                if other in more:
+                    more[other].append(touched[a:b])
+                else:
+                    more[other] = [touched[a:b]]
+                    if other not in stands:
+                        heapq.heappush(heap, other)
+        live = ids >= 0
+        counts = np.bincount(word[live], minlength=len(words))
+        ids = ids[live]
+        if odd:
+            ends = np.cumsum(counts)
+            out = np.split(ids, ends[:-1])
+            for w in np.unique(np.concatenate(odd)).tolist():
+                out[w] = np.array(self.alone(words[w]), np.int64)
+            ids, counts = np.concatenate(out), np.array([len(x) for x in out])
+        return ids, counts
+
+    def text(self, ids: np.ndarray) -> np.ndarray:
+        """The bytes of ids one after the other."""
+        sizes = self.token_sizes[ids]
+        ends = np.cumsum(sizes)
+        if len(ids) == 0:
+            return np.zeros(0, np.uint8)
+        if (sizes == 0).any():
+            raise ValueError("an id isn't in the vocabulary")
+        return self.token_bytes[np.repeat(self.token_starts[ids] - ends + sizes, sizes) + np.arange(ends[-1])]
 
     def packed(self, texts: list[list[str]]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers, from its pretokens."""
@@ -130,9 +199,10 @@ class Vocabulary:
             fresh = list({w for words in texts for w in words})
         raw = [w.encode("utf-8", "surrogatepass") for w in fresh]
         whole = [self.ranks.get(b) for b in raw]
-        merged = iter(self.replay([b for b, r in zip(raw, whole, strict=True) if r is None]))
-        for w, r in zip(fresh, whole, strict=True):
-            known[w] = np.array([r] if r is not None else next(merged), "<u4").tobytes()
+        ids, counts = self.replay([b if r is None else b"" for b, r in zip(raw, whole, strict=True)])
+        flat, ends = ids.astype("<u4").tobytes(), (np.cumsum(counts) * 4).tolist()
+        for w, r, a, b in zip(fresh, whole, [0, *ends], ends):
+            known[w] = flat[a:b] if r is None else r.to_bytes(4, "little")
         out = [b"".join(map(known.__getitem__, words)) for words in texts]
         for w in fresh:
             if len(w) > _LONG:
@@ -178,11 +248,12 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text") ->
 
 def _decode(content, ids_col: str):
     def run(batches):
-        tokens = vocabulary(content.value).tokens
+        vocab = vocabulary(content.value)
         for batch in batches:
-            texts = [b"".join(map(tokens.__getitem__, ids)) if ids else b"" for ids in batch.column(ids_col).to_pylist()]
+            column = batch.column(ids_col)
+            rows = [vocab.text(x.values.to_numpy(zero_copy_only=False)).tobytes() if x.is_valid else b"" for x in column]
             yield pa.record_batch({c: batch.column(c) for c in batch.schema.names}
-                                  | {"decoded": pa.array(texts, pa.binary())})
+                                  | {"decoded": pa.array(rows, pa.binary())})
     return run
 
 
