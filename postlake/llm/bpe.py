@@ -31,9 +31,9 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, Stri
 
 from postlake.llm.common import pieces, table, with_fields, without
 
-_KNOWN = 500_000
+_KNOWN = 400_000
 _LONG = 256  # characters beyond which a pretoken isn't kept
-_PIECE = 6 << 20
+_PIECE = 4 << 20
 _NONE = 1 << 31
 
 
@@ -220,13 +220,13 @@ def _packed_array(packed: list[bytes]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(sizes), pa.array(np.frombuffer(b"".join(packed), "<u4").astype(np.int32)))
 
 
-def _encode(content, pattern: str, text_col: str):
+def _encode(content, pattern: str, text_col: str, keep_text: bool = True):
     def run(batches):
         vocab, cut = vocabulary(content.value), regex.compile(pattern)
         for batch in batches:
             for piece in pieces(batch, text_col, _PIECE):
                 texts = [cut.findall(t) if t else [] for t in piece.column(text_col).to_pylist()]
-                yield pa.record_batch({c: piece.column(c) for c in piece.schema.names}
+                yield pa.record_batch({c: piece.column(c) for c in piece.schema.names if keep_text or c != text_col}
                                       | {"ids": _packed_array(vocab.packed(texts))})
     return run
 
@@ -274,12 +274,21 @@ def _digest(batches):
             "decoded_sha256": pa.array([hashlib.sha256(x.as_buffer()).hexdigest() for x in batch.column("decoded")])})
 
 
+def _then(*runs):
+    """One pass through several functions of record batches: no copy of the ids goes through the JVM between them."""
+    def run(batches):
+        for f in runs:
+            batches = f(batches)
+        return batches
+    return run
+
+
 def op10(spark, sf_dir: str, path: str | None = None) -> DataFrame:
     import public_tokenizers
 
-    path = path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    content = spark.sparkContext.broadcast(Path(path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")).read_bytes())
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    done = decode(encode(docs, path, public_tokenizers.PATTERN).select("doc_id", "ids"), path)
-    return done.mapInArrow(_digest, StructType([
+    done = _then(_encode(content, public_tokenizers.PATTERN, "text", False), _decode(content, "ids"), _digest)
+    return docs.mapInArrow(done, StructType([
         StructField("doc_id", docs.schema["doc_id"].dataType), StructField("n_tokens", LongType()),
         StructField("ids_sha256", StringType()), StructField("decoded_sha256", StringType())]))
