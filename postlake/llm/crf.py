@@ -27,7 +27,7 @@ from postlake.llm.common import mix64, pieces, span_hashes, table, utf8, with_fi
 
 FIT_DOCS, FIT_LINES, STEPS = 4000, 400, 200
 THRESHOLD = 0.7
-_PIECE = 4 << 20
+_PIECE = 2 << 20
 
 
 def _class(chars: bytes) -> np.ndarray:
