@@ -11,8 +11,8 @@ merges; such words, which are rare, are encoded by themselves.  A pretoken
 that is itself an entry of the vocabulary is one token.
 
 Plan: no shuffle.  Every pretoken is looked up in the task's table of known
-words (at most ``_KNOWN`` of them, then started afresh); texts are joined
-from packed ids.  The vocabulary (about 1 MB, a fixed file) is broadcast.
+words (at most ``_KNOWN`` of them, then started afresh; dropped with the
+task); texts are joined from packed ids.  The vocabulary (about 1 MB, a fixed file) is broadcast.
 """
 
 from __future__ import annotations
@@ -228,6 +228,7 @@ def _encode(content, pattern: str, text_col: str, keep_text: bool = True):
                 texts = [cut.findall(t) if t else [] for t in piece.column(text_col).to_pylist()]
                 yield pa.record_batch({c: piece.column(c) for c in piece.schema.names if keep_text or c != text_col}
                                       | {"ids": _packed_array(vocab.packed(texts))})
+        vocab.known.clear()  # the worker may serve other stages next
     return run
 
 
@@ -283,6 +284,14 @@ def _then(*runs):
     return run
 
 
+def round_trip(docs: DataFrame, path: str, pattern: str, text_col: str = "text") -> DataFrame:
+    """``docs`` without its text, with ``ids`` and ``decoded``: ``encode`` and ``decode`` in one pass over the rows."""
+    docs = without(docs, "ids", "decoded")
+    content = docs.sparkSession.sparkContext.broadcast(Path(path).read_bytes())
+    return docs.mapInArrow(_then(_encode(content, pattern, text_col, False), _decode(content, "ids")),
+                           with_fields(docs.drop(text_col).schema, ("ids", ArrayType(IntegerType())), ("decoded", BinaryType())))
+
+
 def op10(spark, sf_dir: str, path: str | None = None) -> DataFrame:
     import public_tokenizers
 
