@@ -42,9 +42,9 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    done = bpe.encode(docs.select("doc_id", "source", "text"), path, public_tokenizers.PATTERN)
-    return bpe.decode(done.drop("text"), path).select("doc_id", "source", "ids", F.size("ids").cast("long").alias("n_tokens"),
-                                                      F.col("decoded").cast("string").alias("text"))
+    done = bpe.round_trip(docs.select("doc_id", "source", "text"), path, public_tokenizers.PATTERN)
+    return done.select("doc_id", "source", "ids", F.size("ids").cast("long").alias("n_tokens"),
+                       F.col("decoded").cast("string").alias("text"))
 
 
 STAGES = [
