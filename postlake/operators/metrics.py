@@ -15,19 +15,21 @@ into one task.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlake.functions import to_class
+from postlake.session import materialise, shuffle_partitions
 
 
 def running_desc(g: DataFrame, part: list[str], order_col: str, sums: list[str],
-                 buckets: int = 64) -> DataFrame:
+                 buckets: int | None = None) -> DataFrame:
     """Inclusive running sums of ``sums`` by ``order_col`` descending within ``part``.
 
-    Adds ``cum_<c>`` for every ``c`` in ``sums``.
+    Adds ``cum_<c>`` for every ``c`` in ``sums``.  ``buckets`` ranges per
+    group (the session's shuffle partitions unless given) run in parallel.
     """
+    buckets = max(2, buckets or shuffle_partitions(g.sparkSession))
     if not part:
         g, part = g.withColumn("_all", F.lit(0)), ["_all"]
         return running_desc(g, part, order_col, sums, buckets).drop("_all")
@@ -54,9 +56,9 @@ def evaluate(scored: DataFrame, model_col: str = "model", y: str = "y", p: str =
     s = scored.select(F.col(model_col).alias("model"), F.col(y).cast("int").alias("y"),
                       F.col(p).cast("double").alias("p"))
     # one pass over the input: everything below derives from the distinct-score table,
-    # which is persisted because three branches read it
-    g = (s.groupBy("model", "p").agg(F.sum("y").alias("pos"), F.count(F.lit(1)).alias("cnt"))
-          .persist(StorageLevel.MEMORY_AND_DISK))
+    # which is written because three branches read it; rows without a score or a label don't count
+    g = materialise(s.where("p IS NOT NULL AND y IS NOT NULL").groupBy("model", "p")
+                    .agg(F.sum("y").alias("pos"), F.count(F.lit(1)).alias("cnt")), "scores")
     pred = to_class("p", threshold)
     neg = F.col("cnt") - F.col("pos")
     cls = g.groupBy("model").agg(
@@ -98,11 +100,6 @@ def champion(metrics: DataFrame, order: list[str] | None = None, by: str = "roc_
                   .select(F.col("w.model").alias("champion"), F.col(f"w.{by}").alias(by))
 
 
-def class_count(df: DataFrame, y: str) -> int:
-    """A2: number of distinct target values, stopping at two."""
-    return df.select(y).distinct().limit(2).count()
-
-
 def positive_rate(df: DataFrame, y: str, by: list[str] | None = None) -> DataFrame:
     """Share of positives (overall or per group, e.g. per split)."""
     return df.groupBy(*(by or [])).agg(F.avg(F.col(y).cast("double")).alias("positive_rate"),

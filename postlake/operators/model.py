@@ -1,10 +1,16 @@
 """Training, evaluation, persistence and scoring (M1..M10) with MLlib.
 
 One fitted unit = the category vocabulary (rare values grouped, fitted on
-the train split) + a ``PipelineModel`` (string indexing with an extra
-bucket for unseen values, sparse one-hot without that bucket, numeric
-scaling, assembly, classifier).  Unseen categories therefore encode as all
-zeros, rare ones share a column, and one-hot vectors stay sparse.
+the train split) + mean and population std of the numbers + a
+``PipelineModel`` (string indexing with an extra last bucket for unseen
+values, sparse one-hot that drops this bucket, assembly, classifier).
+Unseen categories therefore encode as all zeros, rare ones share a column,
+and one-hot vectors stay sparse.
+
+Tree learners seed their sampling by partition, so the training rows are
+dealt by a hash of the id into ``partitions`` partitions, a parameter that
+neither the machine nor the number of rows changes, and sorted in them: the
+same data gives the same model on any cluster.
 
 ``train_and_select`` fits every candidate on the same persisted train split,
 scores the test split once per candidate, evaluates all of them in one
@@ -20,17 +26,19 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlake import schemas
 from postlake.functions import (domain, ends_with_question, has_url, title_length, to_class, word_count)
-from postlake.operators.encoding import apply_vocabulary, category_vocabulary
+from postlake.operators.encoding import apply_vocabulary, category_vocabulary, standard_stats, standardize
 from postlake.operators.metrics import champion, evaluate, metrics_long
 from postlake.operators.quality import gate_min_rows, gate_two_classes
 from postlake.operators.split import stratified_split
+from postlake.session import materialise
+from postlake.sources.lake import latest_version, resolve_first, versions, write_marker
 
 CAT_SUFFIX = "_cat"
 MIN_FREQUENCY = 5
@@ -51,7 +59,7 @@ def boosted_trees(seed: int = 42, max_iter: int = 300, max_depth: int = 6, step:
 
 
 def default_candidates(seed: int = 42) -> list[tuple[str, object]]:
-    return [("random_forest", random_forest(seed)), ("xgboost", boosted_trees(seed))]
+    return [("random_forest", random_forest(seed)), ("boosted_trees", boosted_trees(seed))]
 
 
 def _pipeline(classifier) -> Pipeline:
@@ -60,81 +68,85 @@ def _pipeline(classifier) -> Pipeline:
     ohe = [c + "_ohe" for c in cats]
     return Pipeline(stages=[
         StringIndexer(inputCols=cats, outputCols=idx, handleInvalid="keep", stringOrderType="alphabetAsc"),
-        OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True, handleInvalid="keep"),
-        VectorAssembler(inputCols=schemas.NUMERIC_FEATURES, outputCol="_num"),
-        StandardScaler(inputCol="_num", outputCol="_num_scaled", withMean=True, withStd=True),
-        VectorAssembler(inputCols=["_num_scaled"] + ohe, outputCol="features"),
+        # the indexer's bucket for unseen values is the last category: dropped, it leaves all zeros
+        OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True),
+        VectorAssembler(inputCols=schemas.NUMERIC_FEATURES + ohe, outputCol="features"),
         classifier,
     ])
 
 
 @dataclass
 class FittedModel:
-    """M4: vocabulary + pipeline, fitted on the train split only."""
+    """M4: vocabulary, number statistics and pipeline, fitted on the train split only."""
     name: str
     vocab: DataFrame
+    stats: DataFrame
     pipeline: PipelineModel
+    stage: str = "candidate"
 
-    def score(self, features: DataFrame, threshold: float = 0.5) -> DataFrame:
-        """``probability`` of the positive class and ``prediction`` (p >= 0.5)."""
+    def encoded(self, features: DataFrame) -> DataFrame:
+        """M2, M3: the input of the classifier beside the given columns."""
+        kept = [c for c in features.columns if c not in schemas.NUMERIC_FEATURES]
         x = apply_vocabulary(features, self.vocab, schemas.CATEGORICAL_FEATURES, CAT_SUFFIX)
-        for c in schemas.NUMERIC_FEATURES:
-            x = x.withColumn(c, F.col(c).cast("double"))
-        out = self.pipeline.transform(x)
+        numbers = {c: F.col(c).alias("_given_" + c) for c in schemas.NUMERIC_FEATURES}
+        x = x.select(*[F.col(f"`{c}`") for c in x.columns if c in kept or c.endswith(CAT_SUFFIX)], *numbers.values(),
+                     *schemas.NUMERIC_FEATURES)
+        return standardize(x, self.stats, schemas.NUMERIC_FEATURES)
+
+    def score(self, features: DataFrame, threshold: float = 0.5) -> DataFrame:
+        """``probability`` of the positive class, ``prediction`` (p >= 0.5) and the model's identity."""
+        out = self.pipeline.transform(self.encoded(features))
         p = vector_to_array("probability")[1]
-        keep = [c for c in features.columns]
-        return out.select(*keep, p.alias("probability")).withColumn("prediction", to_class("probability", threshold))
+        given = [F.col("_given_" + c).alias(c) if c in schemas.NUMERIC_FEATURES else F.col(f"`{c}`") for c in features.columns]
+        return (out.select(*given, p.alias("probability")).withColumn("prediction", to_class("probability", threshold))
+                .withColumns({"model_name": F.lit(self.name), "model_stage": F.lit(self.stage)}))
 
-    def save(self, root: str) -> str:
-        """M8: ``<root>/<name>/v=<n>`` holding ``vocab`` and ``pipeline``."""
-        from postlake.sources.lake import versions, write_marker
+    def save(self, root: str, stage: str | None = None) -> str:
+        """M8: ``<root>/<stage or name>/v=<n>`` holding ``vocab``, ``stats``, ``pipeline`` and the model's name."""
         spark = self.vocab.sparkSession
-        base = f"{root}/{self.name}"
+        base = f"{root}/{stage or self.name}"
         existing = versions(spark, base, complete_only=False)
         path = f"{base}/v={(existing[-1] + 1) if existing else 1}"
-        self.vocab.write.mode("overwrite").parquet(f"{path}/vocab")
+        self.vocab.write.parquet(f"{path}/vocab")
+        self.stats.write.parquet(f"{path}/stats")
+        spark.createDataFrame([(self.name, stage or self.stage)], "name string, stage string").write.parquet(f"{path}/meta")
         self.pipeline.write().overwrite().save(f"{path}/pipeline")
         write_marker(spark, path)
         return path
 
 
-def load_model(spark: SparkSession, path: str, name: str | None = None) -> FittedModel:
-    return FittedModel(name or path.rstrip("/").split("/")[-2], spark.read.parquet(f"{path}/vocab"),
-                       PipelineModel.load(f"{path}/pipeline"))
+def load_model(spark: SparkSession, path: str) -> FittedModel:
+    meta = spark.read.parquet(f"{path}/meta").first()
+    return FittedModel(meta.name, spark.read.parquet(f"{path}/vocab"), spark.read.parquet(f"{path}/stats"),
+                       PipelineModel.load(f"{path}/pipeline"), meta.stage)
 
 
 def load_preferred(spark: SparkSession, root: str, preference: list[str]) -> FittedModel:
     """The newest complete version of the first name in ``preference``
     that has one (e.g. champion, then any candidate)."""
-    from postlake.sources.lake import latest_version
-    for name in preference:
-        v = latest_version(spark, f"{root}/{name}")
-        if v is not None:
-            return load_model(spark, f"{root}/{name}/v={v}", name)
-    raise FileNotFoundError(f"no model under {root} for {preference}")
+    found = resolve_first(spark, [f"{root}/{name}" for name in preference])
+    if found is None:
+        raise FileNotFoundError(f"no model under {root} for {preference}")
+    return load_model(spark, f"{found}/v={latest_version(spark, found)}")
 
 
-ROWS_PER_PARTITION = 100_000
+TRAIN_PARTITIONS = 8
 
 
-def fit(name: str, classifier, train: DataFrame) -> FittedModel:
-    """M4: vocabulary, then the pipeline on the train split only.
+def fit(name: str, classifier, train: DataFrame, partitions: int = TRAIN_PARTITIONS) -> FittedModel:
+    """M4: vocabulary and statistics, then the pipeline, on the train split only.
 
-    Tree learners run several small jobs per tree level; the training input
-    is sized to about ``ROWS_PER_PARTITION`` rows per partition (capped at
-    the cluster's cores) and cached, so a small set is not spread over many
-    near-empty tasks and a large one uses the whole cluster.
+    ``partitions`` sets the parallelism of the fit and, with the data and the
+    seed, the model; choose it for the size of the train split.
     """
-    vocab = category_vocabulary(train, schemas.CATEGORICAL_FEATURES, MIN_FREQUENCY).cache()
-    x = apply_vocabulary(train, vocab, schemas.CATEGORICAL_FEATURES, CAT_SUFFIX)
-    for c in schemas.NUMERIC_FEATURES:
-        x = x.withColumn(c, F.col(c).cast("double"))
-    n = x.count()
-    cores = x.sparkSession.sparkContext.defaultParallelism
-    x = x.repartition(max(1, min(cores, -(-n // ROWS_PER_PARTITION)))).cache()
-    model = _pipeline(classifier).fit(x)
+    train = materialise(train.select("id", schemas.TARGET, *schemas.FEATURE_COLUMNS), "train")
+    vocab = materialise(category_vocabulary(train, schemas.CATEGORICAL_FEATURES, MIN_FREQUENCY), "vocab")
+    stats = materialise(standard_stats(train, schemas.NUMERIC_FEATURES), "stats")
+    model = FittedModel(name, vocab, stats, None)
+    x = model.encoded(train).repartition(partitions, "id").sortWithinPartitions("id", *train.columns[1:2]).cache()
+    model.pipeline = _pipeline(classifier).fit(x)
     x.unpersist()
-    return FittedModel(name, vocab, model)
+    return model
 
 
 def primitive_params(estimator) -> dict[str, str]:
@@ -158,25 +170,22 @@ def run_log_rows(spark: SparkSession, run_id: str, name: str, estimator, metrics
 
 
 def train_and_select(features: DataFrame, workdir: str, candidates=None, seed: int = 42,
-                     test_fraction: float = 0.2) -> dict:
+                     test_fraction: float = 0.2, partitions: int = TRAIN_PARTITIONS) -> dict:
     """M1 + M4..M10: gates, split, fit all, evaluate in one pass, keep the
     argmax, persist it, append the run log.  Returns a small summary."""
     spark = features.sparkSession
     gate_two_classes(gate_min_rows(features))                                     # P11, P12
-    split_path = f"{workdir}/split-{uuid.uuid4().hex[:8]}"
-    stratified_split(features, schemas.TARGET, "id", test_fraction, seed).write.parquet(split_path)
-    data = spark.read.parquet(split_path)                                          # reused by every fit
+    data = materialise(stratified_split(features, schemas.TARGET, "id", test_fraction, seed), "split")
     train, test = data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
     candidates = candidates or default_candidates(seed)
     fitted, scored = [], None
     for name, est in candidates:
-        m = fit(name, est, train)
+        m = fit(name, est, train, partitions)
         s = m.score(test).select(F.lit(name).alias("model"), F.col(schemas.TARGET).alias("y"),
                                  F.col("probability").alias("p"))
         fitted.append((name, est, m))
         scored = s if scored is None else scored.unionByName(s)
-    scored = scored.cache()               # (model, y, p) only: read twice by the evaluation
-    metrics = evaluate(scored).cache()
+    metrics = materialise(evaluate(scored), "metrics")
     order = [n for n, _ in candidates]
     win = champion(metrics, order).first()
     run_id = uuid.uuid4().hex
@@ -186,9 +195,9 @@ def train_and_select(features: DataFrame, workdir: str, candidates=None, seed: i
         log = rows if log is None else log.unionByName(rows)
     log.write.mode("append").parquet(f"{workdir}/runs")
     best = next(m for n, _, m in fitted if n == win.champion)
-    path = best.save(f"{workdir}/models")
+    path = best.save(f"{workdir}/models", "champion")
     return {"run_id": run_id, "champion": win.champion, "roc_auc": win.roc_auc, "model_path": path,
-            "metrics": {r["model"]: r.asDict() for r in metrics.collect()}, "split_path": split_path}
+            "metrics": {r["model"]: r.asDict() for r in metrics.collect()}, "n_test": test.count()}
 
 
 def request_features(requests: DataFrame) -> DataFrame:

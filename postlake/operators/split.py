@@ -5,10 +5,12 @@ reproduce it).  Per class, the ``ceil(fraction * n_class)`` rows with the
 smallest ``(hash, id)`` form the test set: exact class proportions, the
 same rows on every run, independent of partitioning.
 
-Finding the cut without sorting a whole class in one task: the high 16
-bits of the hash give 65,536 buckets; bucket counts per class (a small
-aggregate) locate the one bucket that straddles the cut, and only rows of
-that bucket are ranked.  Everything else is a narrow comparison.
+Finding the cut without sorting a whole class in one task: the input is
+read once for the narrow rows ``(label, id, hash)``, written to the shared
+folder; the high 16 bits of the hash give 65,536 buckets; bucket counts per
+class locate the one bucket that straddles the cut, and only rows of that
+bucket are ranked.  The limit ``(hash, id)`` of each class, one row per
+class, is then compared with every row in a single pass over the features.
 """
 
 from __future__ import annotations
@@ -16,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from postlake.session import materialise
+
 HASH_BITS = 32
 BUCKET_SHIFT = 16
 
@@ -27,27 +31,27 @@ def split_hash(id_col: str = "id", seed: int = 42) -> Column:
 
 def stratified_split(df: DataFrame, label: str, id_col: str = "id", test_fraction: float = 0.2,
                      seed: int = 42, split_col: str = "split") -> DataFrame:
-    """Adds ``split`` in {'train', 'test'}."""
-    h = df.withColumn("_h", split_hash(id_col, seed)).withColumn("_bk", F.shiftright("_h", BUCKET_SHIFT))
-    counts = h.groupBy(label, "_bk").agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(label).orderBy("_bk").rowsBetween(Window.unboundedPreceding, 0)
+    """Adds ``split`` in {'train', 'test'}; a null label is train.  Rows of one id are split alike."""
+    narrow = materialise(df.select(F.col(label).alias("_label"), F.col(id_col).alias("_id"),
+                                   split_hash(id_col, seed).alias("_h")), "split")
+    bucketed = narrow.withColumn("_bk", F.shiftright("_h", BUCKET_SHIFT))
+    counts = bucketed.groupBy("_label", "_bk").agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.partitionBy("_label").orderBy("_bk").rowsBetween(Window.unboundedPreceding, 0)
     cum = (counts.withColumn("_cum", F.sum("_c").over(w))
-                 .withColumn("_n", F.sum("_c").over(Window.partitionBy(label)))
+                 .withColumn("_n", F.sum("_c").over(Window.partitionBy("_label")))
                  .withColumn("_k", F.ceil(F.col("_n") * F.lit(test_fraction)).cast("long")))
     # per class: the bucket where the cumulative count reaches k, and rows still needed there
     cut = (cum.where((F.col("_cum") >= F.col("_k")) & (F.col("_cum") - F.col("_c") < F.col("_k")))
-              .select(label, F.col("_bk").alias("_cut_bk"), (F.col("_k") - (F.col("_cum") - F.col("_c"))).alias("_need")))
+              .select("_label", "_bk", (F.col("_k") - (F.col("_cum") - F.col("_c"))).alias("_need")))
+    rank = F.row_number().over(Window.partitionBy("_label").orderBy("_h", "_id"))
     # at most (number of classes) rows: size bounded by the label domain
-    j = h.join(F.broadcast(cut), label, "left")
-    in_cut = F.col("_bk") == F.col("_cut_bk")
-    boundary = j.where(in_cut).withColumn(
-        "_r", F.row_number().over(Window.partitionBy(label).orderBy("_h", id_col)))
-    boundary = boundary.withColumn("_test", F.col("_r") <= F.col("_need")).drop("_r")
-    rest = j.where(~in_cut | F.col("_cut_bk").isNull()).withColumn(
-        "_test", F.coalesce(F.col("_bk") < F.col("_cut_bk"), F.lit(False)))
-    out = rest.unionByName(boundary)
-    return (out.withColumn(split_col, F.when(F.col("_test"), F.lit("test")).otherwise(F.lit("train")))
-               .drop("_h", "_bk", "_cut_bk", "_need", "_test"))
+    limit = (bucketed.join(F.broadcast(cut), ["_label", "_bk"]).withColumn("_r", rank).where("_r = _need")
+             .select(F.col("_label").alias("_of"), F.col("_h").alias("_limit_h"), F.col("_id").alias("_limit_id")))
+    here = split_hash(id_col, seed)
+    test = (here < F.col("_limit_h")) | ((here == F.col("_limit_h")) & (F.col(id_col) <= F.col("_limit_id")))
+    return (df.join(F.broadcast(limit), F.col(label) == F.col("_of"), "left")
+              .withColumn(split_col, F.when(test, F.lit("test")).otherwise(F.lit("train")))
+              .drop("_of", "_limit_h", "_limit_id"))
 
 
 def split_sql(src: str, label: str, id_col: str = "id", test_fraction: float = 0.2, seed: int = 42) -> str:

@@ -14,11 +14,10 @@ we create one (tests, laptops).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -83,8 +82,21 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the checkpoint root for one job."""
-    path = f"{checkpoint_root(spark)}/postlake/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-    return path
+    """A fresh, unique path under the checkpoint root for one job; the writer creates it."""
+    return f"{checkpoint_root(spark)}/postlake/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back.
+
+    For what several branches of a job read: unlike a cache it needs no
+    release and outlives the executors that wrote it.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    """The session's shuffle parallelism, which users size to their input."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -7,27 +7,15 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
-# tables whose rows carry whole texts or vectors: CPU-heavy per row
-WIDE_TABLES = {"documents", "pages", "conversations", "embeddings", "benchmark"}
+#: A user's setting: read the given tables into so many partitions.  Unset (the default) the scan's splits stay.
+SCAN_PARTITIONS = "spark.postlake.scanPartitions"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool | None = None) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table.  With ``spark.postlake.scanPartitions`` set, rows are dealt round robin into that many
+    partitions: useful where one small file holds whole texts, as in tests; never derived from the machine."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if spread_rows if spread_rows is not None else name in WIDE_TABLES:
-        df = spread(df)
-    return df
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has cores.
-
-    A single large row group is one task; per-row text work then runs on one
-    core.  On a cluster scan splits far outnumber cores and this is a no-op,
-    so it never adds a shuffle to a large input.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
+    wanted = spark.conf.get(SCAN_PARTITIONS, None)
+    return df.repartition(int(wanted)) if wanted else df

@@ -3,9 +3,12 @@ from pyspark.sql import functions as F
 
 from postlake.operators import quality
 from postlake.operators.features import build_tabular_features
-from postlake.operators.model import fit, load_preferred, random_forest, request_features
+from postlake.operators.model import (boosted_trees, fit, load_preferred, random_forest, request_features,
+                                      train_and_select)
 from postlake.plans.posts import posts
+from postlake.session import materialise
 from conftest import SF_SMALL
+from oracle_util import compare, duck
 
 
 def test_validate_predict(spark):
@@ -34,14 +37,53 @@ def test_fit_save_load_unseen(spark, workdir):
     feats = build_tabular_features(posts(spark, SF_SMALL))
     m = fit("random_forest", random_forest(num_trees=5, max_depth=4), feats)
     scored = m.score(feats)
-    assert scored.where((F.col("probability") < 0) | (F.col("probability") > 1)).count() == 0
-    assert scored.where(F.col("prediction") != (F.col("probability") >= 0.5).cast("int")).count() == 0
-    path = m.save(workdir)
+    m.save(workdir)
     again = load_preferred(spark, workdir, ["champion", "random_forest"])
     a = {r.id: r.probability for r in scored.collect()}
-    b = {r.id: r.probability for r in again.score(feats).collect()}
-    assert a == b
-    req = spark.createDataFrame([("Brand new author?", None, "nobody-ever", 3, 2)],
-                                "title string, url string, by_author string, hour int, weekday int")
+    assert a == {r.id: r.probability for r in again.score(feats).collect()}
+    with pytest.raises(FileNotFoundError):
+        load_preferred(spark, workdir, ["champion"])
+    req = spark.createDataFrame([(1, "Brand new author?", None, "nobody-ever", 3, 2)],
+                                "id bigint, title string, url string, by_author string, hour int, weekday int")
+    x = m.pipeline.transform(m.encoded(request_features(req))).first()
+    assert x.by_author_cat_ohe.numNonzeros() == 0 and x.domain_cat_ohe.numNonzeros() == 1
     out = m.score(request_features(req)).first()
-    assert 0.0 <= out.probability <= 1.0
+    assert 0.0 <= out.probability <= 1.0 and (out.model_name, out.model_stage) == ("random_forest", "candidate")
+
+
+def test_numbers_are_scaled_by_the_population(spark):
+    feats = build_tabular_features(posts(spark, SF_SMALL))
+    x = fit("tiny", random_forest(num_trees=1, max_depth=1), feats).encoded(feats)
+    r = x.agg(F.avg("title_len").alias("m"), F.stddev_pop("title_len").alias("s")).first()
+    assert abs(r.m) < 1e-9 and abs(r.s - 1) < 1e-9
+
+
+def test_the_model_depends_on_data_and_seed_alone(spark):
+    feats = materialise(build_tabular_features(posts(spark, SF_SMALL)), "feats")
+    scores = []
+    for dealt in (feats.coalesce(1), feats.repartition(7)):
+        m = fit("f", random_forest(num_trees=8, max_depth=5), dealt)
+        scores.append({r.id: r.probability for r in m.score(feats).collect()})
+    assert scores[0] == scores[1]
+
+
+def test_boosted_rows_match_the_oracle(spark):
+    from postlake.plans.catalog import ORACLE, _scored_rows
+    ok, said = compare(_scored_rows(spark, SF_SMALL, "boosted_trees", boosted_trees(max_iter=3)), duck(SF_SMALL), ORACLE["m6_boosted"])
+    assert ok, said
+
+
+def test_train_and_select_logs_and_keeps_the_best(spark, workdir):
+    feats = materialise(build_tabular_features(posts(spark, SF_SMALL)), "feats")
+    said = train_and_select(feats, workdir, [("random_forest", random_forest(num_trees=5, max_depth=3)),
+                                             ("boosted_trees", boosted_trees(max_iter=3, max_depth=3))])
+    best = max(said["metrics"].values(), key=lambda m: m["roc_auc"])
+    assert said["champion"] == best["model"] and said["roc_auc"] == best["roc_auc"]
+    model = load_preferred(spark, f"{workdir}/models", ["champion"])
+    assert (model.name, model.stage) == (said["champion"], "champion")
+    log = spark.read.parquet(f"{workdir}/runs").where(F.col("run_id") == said["run_id"]).collect()
+    metrics = {(r.model, r.key): float(r.value) for r in log if r.kind == "metric"}
+    for name, row in said["metrics"].items():
+        assert all(abs(metrics[name, k] - row[k]) < 1e-12 for k in ("accuracy", "f1", "roc_auc", "pr_auc"))
+    assert {r.value for r in log if r.kind == "tag"} == {"random_forest", "boosted_trees"}
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
