@@ -87,9 +87,10 @@ def _fetch_partition(fetch: Callable, attempts: int, base: float, cap: float,
 def hydrate(ids: DataFrame, fetch: Callable[[int], dict | None], partitions: int | None = None,
             attempts: int = 3, backoff_base: float = 1.0, backoff_cap: float = 10.0,
             retry_on: tuple = (OSError, TimeoutError, ConnectionError)) -> DataFrame:
-    """Ids -> fetched items plus per-id errors (``error`` not NULL)."""
-    n = partitions or ids.sparkSession.sparkContext.defaultParallelism
-    return ids.select("id").repartition(n).mapInPandas(
+    """Ids -> fetched items plus per-id errors (``error`` not NULL); ``partitions`` fetchers work side by
+    side (unless given, as many as ``ids`` has partitions)."""
+    ids = ids.select("id")
+    return (ids.repartition(partitions) if partitions else ids).mapInPandas(
         _fetch_partition(fetch, attempts, backoff_base, backoff_cap, retry_on), FETCHED)
 
 
@@ -112,20 +113,30 @@ def missing_ids(ids: DataFrame, items: DataFrame, key: str = "id") -> DataFrame:
     return ids.join(items.select(key), key, "left_anti")
 
 
-def decode_json_column(df: DataFrame, col: str, schema: str | T.StructType) -> DataFrame:
-    """S3 on a string column: ``from_json`` with a fixed schema."""
-    parsed = F.from_json(F.col(col), schema)
-    fields = (schema.fieldNames() if isinstance(schema, T.StructType)
-              else T._parse_datatype_string(schema).fieldNames())
+def decode_json_column(df: DataFrame, col: str, schema: str | T.StructType, bad_col: str | None = None) -> DataFrame:
+    """S3 on a string column: ``from_json`` with a fixed schema.
+
+    A field that doesn't parse is NULL; with ``bad_col`` the text of such a
+    row (of a field or the whole) is kept there for a report.
+    """
+    struct = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    fields, options = struct.fieldNames(), {}
+    if bad_col:
+        struct, options = T.StructType([*struct.fields, T.StructField(bad_col, T.StringType())]), {"columnNameOfCorruptRecord": bad_col}
+        fields = [*fields, bad_col]
+    parsed = F.from_json(F.col(col), struct, options)
     return df.withColumn("_json", parsed).select("*", *[F.col(f"_json.{f}").alias(f) for f in fields]).drop("_json")
 
 
 def read_items_json(spark: SparkSession, path: str) -> DataFrame:
-    """S3: JSON lines -> ITEM rows; ``null``/empty/corrupt lines give no row."""
-    schema = T.StructType(schemas.ITEM.fields + [T.StructField("_corrupt", T.StringType())])
-    df = (spark.read.schema(schema).option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", "_corrupt").json(path))
-    return df.where(F.col("id").isNotNull()).drop("_corrupt")
+    """S3: JSON lines -> ITEM rows; ``null``/empty/corrupt lines give no row (``json_rejects`` has the latter)."""
+    return spark.read.schema(schemas.ITEM).option("mode", "PERMISSIVE").json(path).where(F.col("id").isNotNull())
+
+
+def json_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """S3: (id, line) of the lines that don't parse in full, also those whose other fields make a row."""
+    lines = spark.read.text(path).where(~F.trim("value").isin("", "null"))
+    return decode_json_column(lines, "value", schemas.ITEM, "line").select("id", "line").where(F.col("line").isNotNull())
 
 
 def require_rows(df: DataFrame, what: str = "batch") -> DataFrame:

@@ -1,7 +1,10 @@
 """The three-layer Parquet lake (S5..S10, D6, D7).
 
-* raw: Hive partitions ``dt=YYYY-MM-DD/hr=HH``; writing an hour replaces
-  that hour only (dynamic partition overwrite), other hours survive.
+* raw: Hive partitions ``dt=YYYY-MM-DD/hr=HH/batch=...``; a batch job's write
+  replaces the hours it is for (an empty one clears its hour), a stream adds
+  a folder per micro-batch, other hours survive.  A replacing write first
+  adds its own folder and then drops the hour's other folders, so a job that
+  dies in between leaves the old rows and can simply be run again.
 * curated / features / vectors: *versioned snapshots* ``<root>/v=<n>``.
   A new version is written next to the old one and becomes visible when its
   ``_SUCCESS`` marker exists; readers take the highest complete version
@@ -15,6 +18,7 @@ local disk, HDFS or an object store.
 from __future__ import annotations
 
 import re
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postlake.functions import partition_date, partition_hour
+from postlake.session import shuffle_partitions
 
 
 @dataclass(frozen=True)
@@ -60,22 +65,50 @@ class Layout:
 
 # ------------------------------------------------------------------ raw layer
 
+BATCH = "batch"
+
+
+def _replace_hours(df: DataFrame, raw_root: str, hours: list[tuple[str, str]] | None) -> None:
+    """Write ``df`` (with dt, hr) as one new batch folder per hour and drop the hours' other folders."""
+    spark = df.sparkSession
+    name = f"run-{uuid.uuid4().hex[:12]}"
+    (df.withColumn(BATCH, F.lit(name)).write.mode("append").partitionBy("dt", "hr", BATCH).parquet(raw_root))
+    fs, root, jvm = _fs(spark, raw_root)
+    for dt, hr in hours if hours is not None else _hours(spark, raw_root):
+        hour = jvm.org.apache.hadoop.fs.Path(root, f"dt={dt}/hr={hr}")
+        folders = [f.getPath() for f in fs.listStatus(hour)] if fs.exists(hour) else []
+        if hours is None and not any(f.getName() == f"{BATCH}={name}" for f in folders):
+            continue
+        for f in folders:
+            if f.getName() != f"{BATCH}={name}":
+                fs.delete(f, True)
+
+
 def write_hour(df: DataFrame, raw_root: str, dt: str, hr: str) -> None:
-    """One run's batch into its own ``dt``/``hr`` partition."""
-    (df.withColumn("dt", F.lit(dt)).withColumn("hr", F.lit(hr))
-       .write.mode("overwrite").partitionBy("dt", "hr").parquet(raw_root))
+    """One run's batch into its own ``dt``/``hr`` partition, in place of what the hour held.
 
+    An empty batch clears the hour; callers for whom that is an error ask
+    ``ingest.require_rows`` (P10) first.
+    """
+    _replace_hours(df.withColumns({"dt": F.lit(dt), "hr": F.lit(hr)}), raw_root, [(dt, hr)])
 
-def write_by_time(df: DataFrame, raw_root: str, ts_col: str) -> None:
+
+def write_by_time(df: DataFrame, raw_root: str, ts_col: str, salt: int = 4) -> None:
     """S5 for many hours at once; partitions derived from a timestamp.
 
-    Rows are range-partitioned on (dt, hr, ts) so each task writes few
-    partitions, and a hot hour is split across several tasks instead of
-    landing in one.
+    Rows are dealt by (dt, hr, a salt of ``salt`` values), so a task writes
+    few partitions and a hot hour goes to several tasks; no sampling pass.
     """
-    out = df.withColumn("dt", partition_date(ts_col)).withColumn("hr", partition_hour(ts_col))
-    (out.repartitionByRange("dt", "hr", ts_col).write.mode("overwrite")
-        .partitionBy("dt", "hr").parquet(raw_root))
+    out = df.withColumns({"dt": partition_date(ts_col), "hr": partition_hour(ts_col)})
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c, t in df.dtypes if not t.startswith("map")]), F.lit(salt))
+    n = shuffle_partitions(df.sparkSession)
+    _replace_hours(out.repartition(n, "dt", "hr", spread), raw_root, None)
+
+
+def write_stream_batch(df: DataFrame, raw_root: str, stream: str, batch_id: int) -> None:
+    """One micro-batch, added to its hours; writing it again replaces its own folders only."""
+    (df.withColumn(BATCH, F.lit(f"{stream}-{batch_id}")).write.mode("overwrite")
+       .option("partitionOverwriteMode", "dynamic").partitionBy("dt", "hr", BATCH).parquet(raw_root))
 
 
 def read_raw(spark: SparkSession, raw_root: str, dt: str | None = None, hr: str | None = None,
@@ -84,8 +117,9 @@ def read_raw(spark: SparkSession, raw_root: str, dt: str | None = None, hr: str
     reader = spark.read
     if schema is not None:
         reader = reader.schema(T.StructType(schema.fields + [T.StructField("dt", T.StringType()),
-                                                             T.StructField("hr", T.StringType())]))
-    df = reader.parquet(raw_root)
+                                                             T.StructField("hr", T.StringType()),
+                                                             T.StructField(BATCH, T.StringType())]))
+    df = reader.parquet(raw_root).drop(BATCH)
     if dt is not None:
         df = df.where(F.col("dt") == dt)
     if hr is not None:
@@ -93,9 +127,18 @@ def read_raw(spark: SparkSession, raw_root: str, dt: str | None = None, hr: str
     return df
 
 
+def _hours(spark: SparkSession, raw_root: str) -> list[tuple[str, str]]:
+    fs, root, _ = _fs(spark, raw_root)
+    if not fs.exists(root):
+        return []
+    days = [f.getPath() for f in fs.listStatus(root) if f.getPath().getName().startswith("dt=")]
+    return sorted((d.getName()[3:], h.getPath().getName()[3:]) for d in days for h in fs.listStatus(d)
+                  if h.getPath().getName().startswith("hr=") and len(fs.listStatus(h.getPath())))
+
+
 def list_partitions(spark: SparkSession, raw_root: str) -> DataFrame:
-    """The (dt, hr) partitions present."""
-    return spark.read.parquet(raw_root).select("dt", "hr").distinct()
+    """The (dt, hr) partitions present, from folder names alone."""
+    return spark.createDataFrame(_hours(spark, raw_root), "dt string, hr string")
 
 
 # ------------------------------------------------------------- snapshots
@@ -135,12 +178,37 @@ def write_snapshot(df: DataFrame, root: str, version: int | None = None) -> int:
     version (a replay) replaces only that version."""
     spark = df.sparkSession
     if version is None:
-        existing = versions(spark, root, complete_only=False)
-        version = (existing[-1] + 1) if existing else 1
+        version = next_version(spark, root)
     df.write.mode("overwrite").parquet(f"{root}/v={version}")
     return version
 
 
+def next_version(spark: SparkSession, root: str) -> int:
+    """One above every version begun so far, complete or not."""
+    existing = versions(spark, root, complete_only=False)
+    return (existing[-1] + 1) if existing else 1
+
+
+def prune_versions(spark: SparkSession, root: str, keep: int = 3) -> list[int]:
+    """Retention: drop all but the newest ``keep`` complete versions (and what older jobs left unfinished);
+    readers of a dropped version fail, so keep as many as the longest reader outlives."""
+    if keep < 1:
+        raise ValueError("at least one version has to stay")
+    complete = versions(spark, root)
+    if len(complete) <= keep:
+        return []
+    fs, p, jvm = _fs(spark, root)
+    gone = [v for v in versions(spark, root, complete_only=False) if v < complete[-keep]]
+    for v in gone:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(p, f"v={v}"), True)
+    return gone
+
+
+def marked(spark: SparkSession, path: str, name: str) -> bool:
+    fs, p, jvm = _fs(spark, path)
+    return fs.exists(jvm.org.apache.hadoop.fs.Path(p, name))
+
+
 def read_snapshot(spark: SparkSession, root: str, schema: T.StructType | None = None,
                   version: int | None = None) -> DataFrame:
     """Newest complete version; an absent layer reads as an empty

@@ -2,14 +2,17 @@
 
 An upsert replaces whole rows: every column of an existing id is replaced
 by the new row's value, NULL included, and ``indexed_at`` is refreshed.
-Expressed as ``existing LEFT ANTI JOIN new`` union ``new``, written as the
-next snapshot version (readers keep seeing the previous version until the
-new one is complete).  Within one batch, a repeated id keeps a single row
-chosen by a total order (``dedup_order``), so the outcome does not depend on
-partitioning.
+Expressed as ``existing LEFT ANTI JOIN new`` union ``new``.  Within one
+batch, a repeated id keeps a single row chosen by a total order
+(``dedup_order``), so the outcome does not depend on partitioning.
+
+On the lake the table is cut into ``buckets`` by a hash of the id, each a
+snapshot of its own (``<root>/bucket=<b>/v=<n>``).  A batch reads and
+rewrites only the buckets its ids fall in; the files of the others stay.
 
 Constraint checks (S12) return a rejects frame ``(id, reason)`` instead of
-failing a whole batch on the first bad row.
+failing a whole batch on the first bad row; rows without an id are rejected
+before an upsert, as no row could ever replace them.
 """
 
 from __future__ import annotations
@@ -19,23 +22,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from postlake.functions import now_utc
 from postlake.operators.curate import best_per_key
-from postlake.schemas import EMBEDDING_DIM
-
-VECTOR_COLUMNS = ["id", "title", "url", "score", "by_author", "created_ts", "embedding",
-                  "model_name", "model_run_id", "indexed_at"]
-
+from postlake.schemas import EMBEDDING_DIM, VECTORS
+from postlake.session import materialise
+from postlake.sources.lake import latest_version, prune_versions, read_snapshot, write_snapshot
 
 def with_lineage(df: DataFrame, model_name: str, run_id: str | None) -> DataFrame:
-    """Contract types (NULLs preserved) and lineage columns."""
-    return df.select(
-        F.col("id").cast("bigint").alias("id"), F.col("title").cast("string").alias("title"),
-        F.col("url").cast("string").alias("url"), F.col("score").cast("int").alias("score"),
-        F.col("by_author").cast("string").alias("by_author"), F.col("created_ts"),
-        F.col("embedding").cast("array<float>").alias("embedding"),
-        F.lit(model_name).alias("model_name"), F.lit(run_id).cast("string").alias("model_run_id"),
-        F.current_timestamp().alias("indexed_at"),
-    )
+    """Contract types (NULLs preserved) and lineage columns, in the order of ``schemas.VECTORS``."""
+    stamped = df.withColumns({"model_name": F.lit(model_name), "model_run_id": F.lit(run_id), "indexed_at": now_utc()})
+    return stamped.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in VECTORS.fields])
 
 
 def upsert(existing: DataFrame | None, new: DataFrame, key: str = "id",
@@ -48,16 +44,40 @@ def upsert(existing: DataFrame | None, new: DataFrame, key: str = "id",
     return kept.unionByName(fresh, allowMissingColumns=True)
 
 
-def upsert_snapshot(root: str, new: DataFrame, key: str = "id") -> int:
-    """S11 on the lake: reads the newest version, writes the next one.
-    Returns the number of input rows (0 and no new version when empty)."""
-    from postlake.sources.lake import latest_version, read_snapshot, write_snapshot
-    if new.isEmpty():
-        return 0
+def _bucket_of(key: str, buckets: int):
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
+
+
+def upsert_snapshot(root: str, new: DataFrame, key: str = "id", buckets: int = 16, keep_versions: int = 2) -> int:
+    """S11 on the lake: rewrites the buckets that ``new`` touches.  Returns the number of ids written
+    (0 and nothing changed when empty).
+
+    The batch is evaluated once, written beside the table; the touched
+    buckets (at most ``buckets`` numbers on the driver) are rewritten one
+    snapshot each, and a job that dies between two of them is run again with
+    the same result.  ``buckets`` belongs to the table: keep it.
+    """
     spark = new.sparkSession
-    cur = read_snapshot(spark, root) if latest_version(spark, root) is not None else None
-    write_snapshot(upsert(cur, new, key), root)
-    return new.count()
+    fresh = materialise(upsert(None, new.where(F.col(key).isNotNull()), key).withColumn("_bucket", _bucket_of(key, buckets)),
+                        "upsert")
+    touched = {r["_bucket"]: r["n"] for r in fresh.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n")).collect()}
+    for bucket in sorted(touched):
+        path = f"{root}/bucket={bucket}"
+        version = latest_version(spark, path)
+        current = read_snapshot(spark, path, version=version) if version is not None else None
+        write_snapshot(upsert(current, fresh.where(F.col("_bucket") == bucket).drop("_bucket"), key), path)
+        prune_versions(spark, path, keep_versions)
+    return sum(touched.values())
+
+
+def read_vectors(spark, root: str, buckets: int = 16) -> DataFrame | None:
+    """The newest rows of all buckets; None if there are none yet."""
+    out = None
+    for bucket in range(buckets):
+        if (version := latest_version(spark, f"{root}/bucket={bucket}")) is not None:
+            part = read_snapshot(spark, f"{root}/bucket={bucket}", version=version)
+            out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
 
 
 def constraint_violations(df: DataFrame, key: str = "id", dim: int = EMBEDDING_DIM,
@@ -79,7 +99,7 @@ def write_vectors_sorted(df: DataFrame, path: str, author_col: str = "by_author"
     inside each file, so Parquet min/max statistics let an author lookup skip
     row groups (the btree indexes of the original table)."""
     (df.repartitionByRange(author_col, ts_col).sortWithinPartitions(author_col, F.desc(ts_col))
-       .write.mode("overwrite").parquet(path))
+       .write.mode("overwrite").parquet(path))  # one unpartitioned table: static overwrite
 
 
 def author_lookup(spark, path: str, author: str, n: int | None = None,

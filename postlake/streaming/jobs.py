@@ -1,24 +1,29 @@
 """Incremental jobs with Structured Streaming (R1..R4).
 
-* ``stream_raw`` (R1): landed files -> raw layer partitioned by dt/hr, file
-  sink with exactly-once commit log; ``availableNow`` processes what has
-  landed and stops (an hourly run), a processing-time trigger keeps going.
-* ``stream_curate`` (R2): each micro-batch is merged into the curated
-  snapshot (union + best row per key) and written as version
-  ``batch_id + 1``.  A replayed batch rewrites the same version, so a
-  restart after a failure cannot double-apply it.  One writer per target.
+* ``stream_raw`` (R1): landed files -> raw layer partitioned by dt/hr, a
+  folder per micro-batch inside the hour, the layout that batch jobs write
+  too; ``availableNow`` processes what has landed and stops (an hourly run),
+  a processing-time trigger keeps going.
+* ``stream_curate`` (R2): each micro-batch is merged into the newest curated
+  snapshot (union + best row per key), whoever wrote it, and becomes the next
+  version, marked with the stream and the batch.  A replayed batch whose mark
+  stands on the newest version is skipped; should the job have died before
+  the mark, applying the batch again changes nothing, as the merge is
+  idempotent.  One writer per target.
 * ``stream_best_state`` (R3): the best row per key kept in the state store
   (``max_by`` over the ordering struct, update mode); each batch's changed
-  keys are upserted into a snapshot table.  State grows with the number of
-  distinct keys; a watermark is not needed for correctness (R4: the
-  reduction is commutative and idempotent), only to bound state.
+  keys are merged into the newest snapshot the same way.  State grows with
+  the number of distinct keys; a watermark is not needed for correctness (R4:
+  the reduction is commutative and idempotent), only to bound state.
 
+Old versions are pruned after each batch (``keep_versions``).
 Checkpoints live under the shared checkpoint folder, so a restarted query on
 another executor or driver resumes where it stopped.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +32,9 @@ from pyspark.sql import types as T
 
 from postlake.functions import partition_date, partition_hour
 from postlake.operators.curate import _order_key, best_per_key, union_by_name
-from postlake.sources.lake import read_snapshot, write_snapshot
+from postlake.session import shuffle_partitions
+from postlake.sources.lake import (latest_version, marked, prune_versions, read_snapshot, write_marker, write_snapshot,
+                                   write_stream_batch)
 
 
 def read_landing(spark: SparkSession, landing: str, schema: T.StructType, fmt: str = "parquet",
@@ -38,46 +45,65 @@ def read_landing(spark: SparkSession, landing: str, schema: T.StructType, fmt: s
     return r.load(landing)
 
 
-def stream_raw(stream: DataFrame, raw_root: str, checkpoint: str, ts_col: str, available_now: bool = True):
-    """Raw layer, partitioned by the event hour."""
-    out = stream.withColumn("dt", partition_date(ts_col)).withColumn("hr", partition_hour(ts_col))
-    w = (out.writeStream.format("parquet").partitionBy("dt", "hr")
-            .option("checkpointLocation", checkpoint).outputMode("append"))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 hour")
-    return w.start(raw_root)
+def _stream_name(checkpoint: str) -> str:
+    """Names a stream by its checkpoint, which a restart keeps."""
+    return "stream-" + hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+
+
+def _trigger(writer, available_now: bool):
+    return writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 hour")
+
+
+def stream_raw(stream: DataFrame, raw_root: str, checkpoint: str, ts_col: str, available_now: bool = True, salt: int = 4):
+    """Raw layer, partitioned by the event hour; rows dealt by hour and a salt, so that files stay few."""
+    out = stream.withColumns({"dt": partition_date(ts_col), "hr": partition_hour(ts_col)})
+    name = _stream_name(checkpoint)
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        dealt = batch.repartition(shuffle_partitions(batch.sparkSession), "dt", "hr", F.pmod(F.xxhash64(ts_col), F.lit(salt)))
+        write_stream_batch(dealt, raw_root, name, batch_id)
+
+    return _trigger(out.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint), available_now).start()
+
+
+def _merge_into(root: str, checkpoint: str, merge, keep_versions: int):
+    """A foreachBatch function: the newest snapshot merged with the batch becomes the next one."""
+    name = _stream_name(checkpoint)
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        spark, mark = batch.sparkSession, f"_{name}-{batch_id}"
+        newest = latest_version(spark, root)
+        if newest is not None and marked(spark, f"{root}/v={newest}", mark):
+            return
+        current = read_snapshot(spark, root, version=newest) if newest is not None else None
+        version = write_snapshot(merge(current, batch), root)
+        write_marker(spark, f"{root}/v={version}", mark)
+        prune_versions(spark, root, keep_versions)
+    return apply
 
 
 def stream_curate(stream: DataFrame, curated_root: str, checkpoint: str, key: str,
-                  order_by: Sequence[str], available_now: bool = True):
+                  order_by: Sequence[str], available_now: bool = True, keep_versions: int = 3):
     """R2: merge every micro-batch into the curated snapshot."""
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        # versions map 1:1 to batch ids: the state before batch b is version b,
-        # so a replayed batch reads the same input and rewrites the same output
-        spark = batch.sparkSession
-        cur = read_snapshot(spark, curated_root, version=batch_id) if batch_id > 0 else None
-        merged = batch if cur is None else union_by_name(cur, batch)
-        write_snapshot(best_per_key(merged, key, order_by), curated_root, version=batch_id + 1)
+    def merge(current, batch):
+        return best_per_key(batch if current is None else union_by_name(current, batch), key, order_by)
 
-    w = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 hour")
-    return w.start()
+    writer = stream.writeStream.foreachBatch(_merge_into(curated_root, checkpoint, merge, keep_versions))
+    return _trigger(writer.option("checkpointLocation", checkpoint), available_now).start()
 
 
 def stream_best_state(stream: DataFrame, state_root: str, checkpoint: str, key: str,
-                      order_by: Sequence[str], available_now: bool = True):
-    """Best row per key in the state store; changed keys upserted per batch."""
+                      order_by: Sequence[str], available_now: bool = True, keep_versions: int = 3):
+    """Best row per key in the state store; the changed keys merged per batch."""
     cols = stream.columns
     payload = [c for c in cols if c != key]
     best = (stream.groupBy(key)
                   .agg(F.max_by(F.struct(*[F.col(c) for c in payload]), _order_key(order_by, cols)).alias("_b"))
                   .select(key, *[F.col(f"_b.{c}").alias(c) for c in payload]))
 
-    def upsert(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        cur = read_snapshot(spark, state_root, version=batch_id) if batch_id > 0 else None
-        out = batch if cur is None else cur.join(batch.select(key), key, "left_anti").unionByName(batch)
-        write_snapshot(out, state_root, version=batch_id + 1)
+    def merge(current, batch):
+        # the snapshot may hold rows this stream has never seen, so the better row wins, not the newer
+        return batch if current is None else best_per_key(union_by_name(current, batch), key, order_by)
 
-    w = best.writeStream.outputMode("update").foreachBatch(upsert).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 hour")
-    return w.start()
+    writer = best.writeStream.outputMode("update").foreachBatch(_merge_into(state_root, checkpoint, merge, keep_versions))
+    return _trigger(writer.option("checkpointLocation", checkpoint), available_now).start()

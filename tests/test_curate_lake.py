@@ -58,3 +58,18 @@ def test_snapshot_versions_numeric_and_empty_start(spark, workdir):
     assert lake.latest_version(spark, root) == 10
     assert lake.read_snapshot(spark, root).first().id == 10
     assert lake.write_snapshot(df, root) == 11
+
+
+def test_hours_listing_empty_rerun_and_pruning(spark, workdir):
+    root = f"{workdir}/raw"
+    one = spark.createDataFrame([(1,)], "id bigint")
+    assert lake.list_partitions(spark, root).count() == 0
+    for hr in ("07", "08"):
+        lake.write_hour(one, root, "2024-01-01", hr)
+    lake.write_hour(one.where("false"), root, "2024-01-01", "07")
+    assert [tuple(r) for r in lake.list_partitions(spark, root).collect()] == [("2024-01-01", "08")]
+    snap = f"{workdir}/snap"
+    for _ in range(5):
+        lake.write_snapshot(one, snap)
+    assert lake.prune_versions(spark, snap, 2) == [1, 2, 3] and lake.versions(spark, snap) == [4, 5]
+    assert lake.write_snapshot(one, snap) == 6

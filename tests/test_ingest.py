@@ -1,4 +1,5 @@
 import json
+import os
 
 from pyspark.sql import functions as F
 
@@ -38,8 +39,10 @@ def test_retry_backoff():
 
 
 def test_json_items_null_line(spark, workdir):
+    os.makedirs(workdir.replace("file:", ""))
     path = f"{workdir}/items.json"
     with open(path.replace("file:", ""), "w") as f:
-        f.write(json.dumps({"id": 1, "type": "story", "title": "x"}) + "\nnull\n\n{bad json\n")
+        f.write(json.dumps({"id": 1, "type": "story", "title": "x"}) + "\nnull\n\n{bad json\n" + '{"id": 2, "score": "abc"}\n')
     rows = ingest.read_items_json(spark, path).collect()
-    assert [(r.id, r.title) for r in rows] == [(1, "x")]
+    assert [(r.id, r.title) for r in rows] == [(1, "x"), (2, None)]
+    assert {r.line for r in ingest.json_rejects(spark, path).collect()} == {"{bad json", '{"id": 2, "score": "abc"}'}
