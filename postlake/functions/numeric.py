@@ -32,8 +32,12 @@ def lenient_int(c, dtype: T.DataType | None = None) -> Column:
     else:
         s = x.cast("string")
         d = F.when(F.lower(s).rlike(NUMERIC_TEXT), F.trim(s).try_cast("double"))
+        whole = F.when(s.rlike(r"^\s*[+-]?\d+\s*$"), F.trim(s).try_cast("bigint"))  # exact beyond 2**53
     finite = d.isNotNull() & ~F.isnan(d) & (F.abs(d) < F.lit(float("inf")))
-    return F.coalesce(F.when(finite, d.try_cast("bigint")), F.lit(0).cast("bigint"))
+    parsed = F.when(finite, d.try_cast("bigint"))
+    if not isinstance(dtype, (T.DoubleType, T.FloatType, T.DecimalType)):
+        parsed = F.coalesce(whole, parsed)
+    return F.coalesce(parsed, F.lit(0).cast("bigint"))
 
 
 def is_numeric_null(c, dtype: T.DataType | None = None) -> Column:

@@ -17,8 +17,9 @@ def _col(c) -> Column:
 
 
 def epoch_to_ts(c) -> Column:
-    """Epoch seconds to a UTC timestamp, out of range to NULL (no overflow)."""
-    t = _col(c)
+    """Epoch seconds to a UTC timestamp; out of range (no overflow) or not a number: NULL."""
+    t = _col(c).try_cast("double")
+    t = F.when(~F.isnan(t) & (F.abs(t) < 2.0**62), F.floor(t).cast("bigint"))
     return F.when(t.between(EPOCH_SECONDS_MIN, EPOCH_SECONDS_MAX),
                   F.timestamp_seconds(t).cast("timestamp_ntz"))
 

@@ -9,11 +9,16 @@ The domain rule follows ``urllib.parse.urlsplit(url).netloc.lower()
 * an authority with an unbalanced bracket, or a bracketed host that is not
   an IPv6 literal / IPvFuture (approximated by its character set), is
   invalid, so ``'no_url'``;
+* an authority whose NFKC form holds one of ``/ ? # @ :`` that it didn't hold
+  itself is invalid;
 * user info is *not* removed: ``user:pw@h.com`` gives ``user``.
 """
 
 from __future__ import annotations
 
+import functools
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,6 +27,13 @@ AUTHORITY_PATTERN = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)"
 BRACKETED_HOST_PATTERN = r"^\[(v[0-9A-Fa-f]+\..+|[0-9A-Fa-f.]*:[0-9A-Fa-f:.]*(%[^\]]*)?)\](:.*)?$"
 
 
+@functools.cache
+def nfkc_delimiters() -> str:
+    """Characters whose compatibility form holds one of / ? # @ : (found by rule over all of Unicode)."""
+    return "".join(c for c in map(chr, range(128, 0x110000)) if not 0xD800 <= ord(c) < 0xE000
+                   and set(unicodedata.normalize("NFKC", c)) & set("/?#@:"))
+
+
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -43,4 +55,5 @@ def domain(c) -> Column:
     has_open, has_close = netloc.contains("["), netloc.contains("]")
     bracket_ok = (~has_open & ~has_close) | (has_open & has_close & host_part.rlike(BRACKETED_HOST_PATTERN))
     first = F.split(F.lower(netloc), ":", 2).getItem(0)
-    return F.when(bracket_ok & (first != ""), first).otherwise(F.lit(NO_URL))
+    normal = ~netloc.rlike("[" + nfkc_delimiters() + "]")
+    return F.when(bracket_ok & normal & (first != ""), first).otherwise(F.lit(NO_URL))

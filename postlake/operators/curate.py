@@ -51,11 +51,6 @@ def curate(current: DataFrame | None, new: DataFrame, key: str = "id",
     return best_per_key(merged, key, order_by)
 
 
-def first_per_key(df: DataFrame, key: str = "id") -> DataFrame:
-    """One row per key, any of them (``dropDuplicates``)."""
-    return df.dropDuplicates([key])
-
-
 def sort_desc_nulls_last(df: DataFrame, col: str = "score", tiebreak: str = "id") -> DataFrame:
     """D3: global sort, range-partitioned."""
     return df.orderBy(F.desc_nulls_last(col), F.asc(tiebreak))

@@ -5,11 +5,10 @@ No transformer weights are available offline, so the built-in encoder is a
 ``int(md5(token)[:8], 16) % dim``, term counts, L2-normalised.  It is
 lexical, not semantic; a semantic model plugs in through ``encode_with``.
 
-* ``hashed_terms`` (E2): the sparse long form ``(id, bucket, weight)`` with
-  Spark expressions only: explode tokens, partial + final aggregate per
-  (id, bucket), norm per id.
-* ``hashed_vectors``: dense ``array<float>``: tokens and buckets are computed
-  in the JVM; a small Arrow-batched helper scatters them with ``bincount``.
+* ``hashed_terms`` (E2): the sparse long form ``(id, bucket, weight)`` from
+  the dense vectors by ``posexplode``: row-local, no shuffle.
+* ``hashed_vectors``: dense ``array``: tokens and buckets are computed in the
+  JVM; an Arrow-batched helper scatters a whole batch with one ``bincount``.
 * ``encode_with`` (E1): any ``encoder(texts) -> ndarray`` in ``mapInPandas``,
   built once per task, fed in batches (default 32).
 * ``encode_frame`` (E3): add ``embedding``, stamp model name and a fresh run
@@ -24,12 +23,15 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postlake.functions import tokens
 from postlake.schemas import EMBEDDING_DIM
+from postlake.session import materialise
+from postlake.sources.vectors import with_lineage
 
 HASHED_MODEL_NAME = "hashed-bow-md5"
 TOKEN_PATTERN = r"[^\p{L}\p{N}]+"
@@ -40,30 +42,38 @@ def token_bucket(tok, dim: int = EMBEDDING_DIM) -> Column:
 
 
 def hashed_terms(df: DataFrame, id_col: str = "id", text_col: str = "title", dim: int = EMBEDDING_DIM) -> DataFrame:
-    """E2 long form: ``(id, bucket, weight)``, weights of one id have unit norm."""
-    toks = df.select(F.col(id_col).alias("id"), F.explode(tokens(text_col)).alias("tok"))
-    tf = toks.groupBy("id", token_bucket(F.col("tok"), dim).alias("bucket")).agg(F.count(F.lit(1)).alias("tf"))
-    norm = F.sqrt(F.sum(F.col("tf") * F.col("tf")).over(Window.partitionBy("id")))
-    return tf.select("id", "bucket", (F.col("tf") / norm).alias("weight"))
+    """E2 long form: ``(id, bucket, weight)``, weights of one row have unit norm."""
+    dense = hashed_vectors(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text")), "_text", dim, "_v", "double")
+    return dense_to_terms(dense, "id", "_v")
 
 
-def _bincount_unit(dim: int):
-    @F.pandas_udf(T.ArrayType(T.FloatType()))
-    def scatter(buckets: pd.Series) -> pd.Series:
+def _bincount_unit(dim: int, element_type: str):
+    np_type = np.float32 if element_type == "float" else np.float64
+
+    @F.arrow_udf(T.ArrayType(T.FloatType() if element_type == "float" else T.DoubleType()))
+    def scatter(buckets: pa.Array) -> pa.Array:
         out = []
-        for b in buckets:
-            v = np.bincount(np.asarray(b, dtype=np.int64), minlength=dim).astype(np.float64)
-            n = np.sqrt(v @ v)
-            out.append((v / n if n > 0 else v).astype(np.float32))
-        return pd.Series(out)
+        for at in range(0, len(buckets), ROWS_AT_ONCE):
+            some = buckets.slice(at, ROWS_AT_ONCE)
+            sizes = some.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            flat = some.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            counts = np.bincount(np.repeat(np.arange(len(some)), sizes) * dim + flat, minlength=len(some) * dim)
+            counts = counts.reshape(len(some), dim).astype(np.float64)
+            norms = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
+            out.append(np.divide(counts, norms, out=counts, where=norms > 0).astype(np_type))
+        flat = np.concatenate(out).ravel() if out else np.zeros(0, np_type)
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(buckets) + 1, dtype=np.int32) * dim), pa.array(flat))
     return scatter
 
 
+ROWS_AT_ONCE = 1024
+
+
 def hashed_vectors(df: DataFrame, text_col: str = "title", dim: int = EMBEDDING_DIM,
-                   out_col: str = "embedding") -> DataFrame:
+                   out_col: str = "embedding", element_type: str = "float") -> DataFrame:
     """Dense unit vectors of the hashed encoder, row-local (no shuffle)."""
-    buckets = F.transform(tokens(text_col), lambda t: token_bucket(t, dim))
-    return df.withColumn(out_col, _bincount_unit(dim)(buckets))
+    buckets = F.coalesce(F.transform(tokens(text_col), lambda t: token_bucket(t, dim)), F.array().cast("array<int>"))
+    return df.withColumn(out_col, _bincount_unit(dim, element_type)(buckets))
 
 
 class HashedBagOfWords:
@@ -78,11 +88,11 @@ class HashedBagOfWords:
         return int(hashlib.md5(tok.encode("utf-8")).hexdigest()[:8], 16) % self.dim
 
     def __call__(self, texts: list[str], dtype=np.float32) -> np.ndarray:
-        out = np.zeros((len(texts), self.dim), dtype=np.float64)
-        for i, t in enumerate(texts):
-            for tok in self._split((t or "").lower()):
-                if tok:
-                    out[i, self.bucket(tok)] += 1.0
+        found = [[tok for tok in self._split((t or "").lower()) if tok] for t in texts]
+        known = {tok: self.bucket(tok) for tok in {tok for row in found for tok in row}}  # each distinct token is hashed once
+        flat = np.fromiter((known[tok] for row in found for tok in row), np.int64)
+        row = np.repeat(np.arange(len(texts)), [len(f) for f in found])
+        out = np.bincount(row * self.dim + flat, minlength=len(texts) * self.dim).reshape(len(texts), self.dim).astype(np.float64)
         norms = np.sqrt((out * out).sum(axis=1, keepdims=True))
         return np.divide(out, norms, out=np.zeros_like(out), where=norms > 0).astype(dtype)
 
@@ -113,18 +123,25 @@ def dense_to_terms(df: DataFrame, id_col: str = "id", vec_col: str = "embedding"
               .select("id", F.col("bucket").cast("int"), F.col("weight").cast("double")))
 
 
-def encode_frame(df: DataFrame, workdir: str, text_col: str = "title", dim: int = EMBEDDING_DIM,
+def encode_frame(df: DataFrame, text_col: str = "title", dim: int = EMBEDDING_DIM,
                  model_name: str = HASHED_MODEL_NAME, encoder_factory=None) -> tuple[DataFrame, str, dict]:
     """Encode once, stamp lineage, materialise; returns (frame, run_id, report)."""
     run_id = uuid.uuid4().hex
     enc = (hashed_vectors(df, text_col, dim) if encoder_factory is None
            else encode_with(df, encoder_factory, text_col))
-    enc = enc.withColumn("model_name", F.lit(model_name)).withColumn("model_run_id", F.lit(run_id))   # S14
-    path = f"{workdir}/encoded-{run_id}"
-    enc.write.mode("overwrite").parquet(path)                     # materialised once (no second encode)
-    out = df.sparkSession.read.parquet(path)
+    out = materialise(with_lineage(enc, model_name, run_id), "encoded")                                   # S14
     stats = out.agg(F.count(F.lit(1)).alias("n_vectors"), F.max(F.size("embedding")).alias("vector_dim")).first()
     sample = [r.asDict() for r in out.select("id", text_col).orderBy("id").limit(10).collect()]  # S15
     report = {"n_inputs": stats.n_vectors, "n_vectors": stats.n_vectors, "vector_dim": stats.vector_dim,
               "embedding_model": model_name, "sample_inputs": sample}
     return out, run_id, report
+
+
+def encoding_log(spark, run_id: str, report: dict) -> DataFrame:
+    """The run record of an encoding, ``(run_id, model, kind, key, value)`` like that of a training."""
+    rows = [(run_id, report["embedding_model"], "param", "embedding_model", report["embedding_model"]),
+            (run_id, report["embedding_model"], "param", "vector_dim", str(report["vector_dim"])),
+            (run_id, report["embedding_model"], "metric", "n_inputs", str(report["n_inputs"])),
+            (run_id, report["embedding_model"], "metric", "n_vectors", str(report["n_vectors"]))]
+    rows += [(run_id, report["embedding_model"], "sample", str(r["id"]), str(r.get("title"))) for r in report["sample_inputs"]]
+    return spark.createDataFrame(rows, "run_id string, model string, kind string, key string, value string")

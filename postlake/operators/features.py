@@ -16,6 +16,7 @@ from postlake import schemas
 from postlake.functions import (domain, ends_with_question, epoch_to_ts, has_url, hour_utc,
                                 is_numeric_null, lenient_int, strip_ws, target_flag, title_length,
                                 weekday_monday0, word_count)
+from postlake.operators.curate import best_per_key
 
 ITEM_COLUMNS = ["id", "type", "by", "time", "title", "url", "score"]
 
@@ -75,7 +76,7 @@ def build_text_features(curated: DataFrame) -> DataFrame:
         F.coalesce("by", F.lit("unknown")).alias("by_author"),                             # P9
         epoch_to_ts("time").alias("created_ts"),                                           # T9
     ).where(F.length("title") > 0)                                                         # P4
-    return df.dropDuplicates(["id"])                                                       # D2
+    return best_per_key(df, "id", ("created_ts", "score"))                                 # D2
 
 
 def model_input(features: DataFrame, with_target: bool = True) -> DataFrame:

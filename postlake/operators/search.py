@@ -1,20 +1,20 @@
 """Cosine search (K1..K4, T18, D5, J2, J3).
 
-Exact top-k (K1) is a scatter-gather over the vector table: every task
-scores its vectors against all queries with one matrix product (numpy over
-Arrow batches), keeps a running top-k per query, and emits at most k rows
-per query; the final top-k per query is a window over those partial
-winners.  No (query, vector) pair is ever materialised as a row, and the
-vector table is scanned once, in place.
-
-The query matrix is shipped to tasks as a broadcast variable *only* after
-its size is checked (``max_query_bytes``); a larger query set is searched
-in several passes of bounded size.
-
-Approximate top-k (K2) is an IVF index: k-means cells over unit vectors,
-the table written partitioned by cell, each query probing its ``nprobe``
-nearest cells.  The scan reads only the probed cells (partition pruning)
-and scores a vector only for the queries that probe its cell.
+Exact top-k (K1) works in blocks: vectors are dealt to blocks of about
+``block_rows``, queries to tiles of about ``tile_queries``, and every (block,
+tile) cell is one grouped task that multiplies the two matrices and returns
+the best ``k`` rows of each of its queries.  Neither side is collected or
+broadcast, a cell's product matrix has a fixed size, and no (query, vector)
+pair becomes a row.  The winners of up to ``merge_blocks`` blocks are merged
+in the task that computed them (a task takes a run of blocks); the final
+top-k per query is a window over those, cut before the shuffle by the
+literal largest k.
+
+Approximate top-k (K2) is an IVF index: k-means cells over unit vectors, kept
+with their centroids as versioned snapshots; rows without a direction (zero
+vectors) stay in a reserved cell that every query probes.  Each query goes to
+its ``nprobe`` nearest cells, and the same cell-wise search runs there.  A
+query gets fewer than k hits if its probed cells hold fewer rows.
 
 Ordering everywhere: similarity descending, NULL (zero vector) last, then
 id ascending.  Similarities equal to ``TIE_DECIMALS`` places are ties (so
@@ -24,7 +24,7 @@ exact copies rank by id whatever the summation order of the hardware).
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
@@ -32,164 +32,161 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DEFAULT_MAX_QUERY_BYTES = 64 << 20
-TIE_DECIMALS = 9
-
+from postlake.session import materialise
+from postlake.sources.lake import latest_version, next_version, write_marker
 
-def _query_matrix(queries: DataFrame, qid: str, qvec: str, k_col: str | None, default_k: int):
-    cols = [F.col(qid).alias("qid"), F.col(qvec).alias("v")]
-    cols.append(F.col(k_col).alias("k") if k_col else F.lit(default_k).alias("k"))
-    rows = queries.select(*cols).collect()
-    ids = [r.qid for r in rows]
-    ks = np.array([int(r.k) for r in rows], dtype=np.int64)
-    dim = max((len(r.v) for r in rows if r.v is not None), default=0)
-    q = np.zeros((len(rows), dim), dtype=np.float64)
-    for i, r in enumerate(rows):
-        if r.v is not None and len(r.v) == dim:
-            q[i] = np.asarray(r.v, dtype=np.float64)
-    n = np.sqrt((q * q).sum(axis=1))
-    qn = np.divide(q, n[:, None], out=np.zeros_like(q), where=n[:, None] > 0)
-    return ids, ks, qn, n > 0
-
-
-def _select_top(sim: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Indices of the k best by (sim desc, id asc); sim already has -inf for NULL."""
-    n = sim.shape[0]
-    if n > k:
-        thr = np.partition(sim, n - k)[n - k]
-        cand = np.nonzero(sim >= thr)[0]
-    else:
-        cand = np.arange(n)
-    order = np.lexsort((ids[cand], -sim[cand]))
-    return cand[order[:k]]
-
-
-def _partial_topk(bq, id_col: str, vec_col: str, payload: list[str], cell_col: str | None = None):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        qids, ks, qn, qok, probes = bq.value
-        kmax = int(ks.max()) if len(ks) else 0
-        best: list[pd.DataFrame | None] = [None] * len(qids)
-        for pdf in batches:
-            if pdf.empty or not len(qids):
-                continue
-            vecs = pdf[vec_col].tolist()
-            dim = qn.shape[1]
-            good = np.array([v is not None and len(v) == dim for v in vecs])
-            v = np.zeros((len(vecs), dim), dtype=np.float64)
-            if good.any():
-                v[good] = np.stack([np.asarray(x, dtype=np.float64) for x, g in zip(vecs, good) if g])
-            vn = np.sqrt((v * v).sum(axis=1))
-            sims = (v @ qn.T) / np.where(vn > 0, vn, 1.0)[:, None]
-            valid = (vn > 0)[:, None] & qok[None, :]
-            ranked = np.where(valid, np.round(sims, TIE_DECIMALS), -np.inf)
-            ids = pdf[id_col].to_numpy()
-            cells = pdf[cell_col].to_numpy() if cell_col else None
-            for j in range(len(qids)):
-                col = ranked[:, j]
-                if cells is not None:
-                    col = np.where(np.isin(cells, probes[j]), col, np.nan)
-                    keep = ~np.isnan(col)
-                    if not keep.any():
-                        continue
-                    idx_all = np.nonzero(keep)[0]
-                    sel = idx_all[_select_top(col[idx_all], ids[idx_all], kmax)]
-                else:
-                    sel = _select_top(col, ids, kmax)
-                part = pdf.iloc[sel][[id_col] + payload].copy()
-                s = sims[sel, j]
-                part["similarity"] = np.where(valid[sel, j], s, np.nan)
-                part["_rank_key"] = col[sel]
-                best[j] = part if best[j] is None else pd.concat([best[j], part], ignore_index=True)
-                if len(best[j]) > kmax:
-                    b = best[j]
-                    keep_idx = _select_top(b["_rank_key"].to_numpy(), b[id_col].to_numpy(), kmax)
-                    best[j] = b.iloc[keep_idx].reset_index(drop=True)
-        for j, b in enumerate(best):
-            if b is not None and len(b):
-                out = b.drop(columns=["_rank_key"])
-                out.insert(0, "query_id", qids[j])
-                out["k"] = int(ks[j])
-                out["similarity"] = out["similarity"].astype("float64")
-                yield out
+TIE_DECIMALS = 9
+ZERO_CELL = -1
+
+
+def _unit_rows(vectors: list, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """Unit rows and whether each has a direction (right length, not zero)."""
+    out = np.zeros((len(vectors), dim))
+    good = np.array([v is not None and len(v) == dim for v in vectors], bool)
+    if good.any():
+        out[good] = np.stack([np.asarray(v, dtype=np.float64) for v, g in zip(vectors, good, strict=True) if g])
+    norm = np.sqrt((out * out).sum(axis=1))
+    return np.divide(out, norm[:, None], out=out, where=norm[:, None] > 0), norm > 0
+
+
+def _best(similar: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """(n_queries, min(k, rows)) row numbers by similarity descending, id ascending; NaN last."""
+    ranked = np.where(np.isnan(similar), -np.inf, np.round(similar, TIE_DECIMALS))
+    by_id = np.argsort(ids, kind="stable")
+    # a stable sort of the negated similarities over rows in id order breaks ties by id
+    order = np.argsort(-ranked[:, by_id], axis=1, kind="stable")[:, :k]
+    return by_id[order]
+
+
+def _cell(kmax: int, payload: list[str], tile_queries: int, block_rows: int):
+    """One group: the best rows of each of its queries among its vectors, in slices of fixed size."""
+    def run(rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+        empty = pd.DataFrame({c: [] for c in ["query_id", "id", *payload, "similarity", "k"]})
+        if rows.empty or queries.empty:
+            return empty
+        dim = max((len(v) for v in queries["vector"] if v is not None), default=0)
+        found = []
+        for a in range(0, len(queries), tile_queries):
+            asked = queries.iloc[a:a + tile_queries]
+            q, q_ok = _unit_rows(asked["vector"].tolist(), dim)
+            held: list[pd.DataFrame] = []
+            for b in range(0, len(rows), block_rows):
+                some = rows.iloc[b:b + block_rows]
+                v, v_ok = _unit_rows(some["vector"].tolist(), dim)
+                similar = q @ v.T
+                similar[~q_ok[:, None] | ~v_ok[None, :]] = np.nan
+                top = _best(similar, some["id"].to_numpy(), kmax)
+                at = np.repeat(np.arange(len(asked)), top.shape[1])
+                part = some.iloc[top.ravel()][["id", *payload]].reset_index(drop=True)
+                part["similarity"] = similar[at, top.ravel()]
+                part["_q"] = at
+                held.append(part)
+            whole = pd.concat(held, ignore_index=True)
+            whole["_s"] = np.where(whole["similarity"].isna(), -np.inf, whole["similarity"].round(TIE_DECIMALS))
+            whole = whole.sort_values(["_q", "_s", "id"], ascending=[True, False, True], kind="stable")
+            whole = whole[whole.groupby("_q").cumcount() < kmax]
+            whole.insert(0, "query_id", asked["query_id"].to_numpy()[whole["_q"]])
+            whole["k"] = asked["k"].to_numpy()[whole["_q"]]
+            found.append(whole.drop(columns=["_q", "_s"]))
+        return pd.concat(found, ignore_index=True)
     return run
 
 
-def _final_topk(partial: DataFrame, id_col: str) -> DataFrame:
-    w = Window.partitionBy("query_id").orderBy(F.desc_nulls_last(F.round("similarity", TIE_DECIMALS)), F.asc(id_col))
-    return (partial.withColumn("rank", F.row_number().over(w))
+def _final_topk(partial: DataFrame, kmax: int) -> DataFrame:
+    w = Window.partitionBy("query_id").orderBy(F.desc_nulls_last(F.round("similarity", TIE_DECIMALS)), F.asc("id"))
+    return (partial.withColumn("similarity", F.when(~F.isnan("similarity"), F.col("similarity")))
+                   .withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= F.lit(kmax))  # literal: a limit per group
                    .where(F.col("rank") <= F.col("k")).drop("k"))
 
 
+def _search(rows: DataFrame, queries: DataFrame, keys: list[str], kmax: int, payload: list[str], id_name: str, id_type,
+            query_type, tile_queries: int, block_rows: int) -> DataFrame:
+    schema = T.StructType([T.StructField("query_id", query_type), T.StructField("id", id_type)]
+                          + [rows.schema[c] for c in payload]
+                          + [T.StructField("similarity", T.DoubleType()), T.StructField("k", T.LongType())])
+    partial = (rows.groupBy(*keys).cogroup(queries.groupBy(*keys))
+               .applyInPandas(_cell(kmax, payload, tile_queries, block_rows), schema))
+    return _final_topk(partial, kmax).withColumnRenamed("id", id_name)
+
+
+def _queries(queries: DataFrame, query_id: str, query_vec: str, k_col: str | None, k: int) -> DataFrame:
+    """The query set, evaluated once: (query_id, vector, k)."""
+    wanted = F.col(k_col).cast("long") if k_col else F.lit(k).cast("long")
+    return materialise(queries.select(F.col(query_id).alias("query_id"), F.col(query_vec).cast("array<double>").alias("vector"),
+                                      wanted.alias("k")), "queries")
+
+
 def knn(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "id", vec_col: str = "embedding",
         query_id: str = "query_id", query_vec: str = "embedding", k_col: str | None = None,
-        payload: Sequence[str] = (), max_query_bytes: int = DEFAULT_MAX_QUERY_BYTES) -> DataFrame:
+        payload: Sequence[str] = (), block_rows: int = 4096, tile_queries: int = 1024, merge_blocks: int = 16) -> DataFrame:
     """K1: exact cosine top-k per query -> ``(query_id, id, *payload, similarity, rank)``."""
-    spark = vectors.sparkSession
-    est = queries.select(F.size(query_vec).alias("d")).agg(F.count(F.lit(1)).alias("n"), F.max("d").alias("d")).first()
-    n_q, dim = est.n or 0, est.d or 0
-    passes = max(1, math.ceil(n_q * max(dim, 1) * 8 / max_query_bytes))
-    if passes > 1:
-        parts = [knn(vectors, queries.where(F.pmod(F.xxhash64(query_id), F.lit(passes)) == i), k, id_col, vec_col,
-                     query_id, query_vec, k_col, payload, max_query_bytes * passes) for i in range(passes)]
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
-    qids, ks, qn, qok = _query_matrix(queries, query_id, query_vec, k_col, k)
-    bq = spark.sparkContext.broadcast((qids, ks, qn, qok, None))
     payload = list(payload)
-    vschema = vectors.schema
-    qtype = queries.schema[query_id].dataType
-    out_schema = T.StructType(
-        [T.StructField("query_id", qtype), vschema[id_col]] + [vschema[c] for c in payload]
-        + [T.StructField("similarity", T.DoubleType()), T.StructField("k", T.LongType())])
-    partial = vectors.select(id_col, vec_col, *payload).mapInPandas(
-        _partial_topk(bq, id_col, vec_col, payload), out_schema)
-    return _final_topk(partial, id_col)
+    rows = materialise(vectors.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vector"), *payload),
+                       "vectors")
+    asked = _queries(queries, query_id, query_vec, k_col, k)
+    size = asked.agg(F.count(F.lit(1)).alias("n"), F.max("k").alias("k")).first()
+    groups = max(1, math.ceil(rows.count() / (block_rows * merge_blocks)))
+    tiles = max(1, math.ceil(size.n / tile_queries))
+    # a group of blocks meets a tile in one task; each side goes as often as the other has parts
+    here = rows.withColumn("_group", F.pmod(F.xxhash64("id", "vector"), F.lit(groups)).cast("int")).withColumn(
+        "_tile", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))))
+    there = asked.withColumn("_tile", F.pmod(F.xxhash64("query_id"), F.lit(tiles)).cast("int")).withColumn(
+        "_group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    return _search(here, there, ["_group", "_tile"], int(size.k or k), payload, id_col, vectors.schema[id_col].dataType,
+                   queries.schema[query_id].dataType, tile_queries, block_rows)
 
 
 # ------------------------------------------------------------------ IVF (K2)
 
-def _unit_vector_col(vec_col: str):
-    from pyspark.ml.functions import array_to_vector
-    return array_to_vector(F.col(vec_col))
-
-
 def build_ivf(vectors: DataFrame, path: str, cells: int = 16, id_col: str = "id", vec_col: str = "embedding",
-              seed: int = 42, max_iter: int = 20) -> np.ndarray:
-    """K2 index: k-means (cosine) over all vectors; the table written
-    partitioned by ``cell``.  Returns the centroids (cells x dim)."""
+              seed: int = 42, max_iter: int = 20) -> str:
+    """K2 index: k-means (cosine) over all vectors; returns the path of the new version,
+    with the rows by ``cell`` and the ``centroids`` (cells x dim numbers)."""
     from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import vector_to_array  # noqa: F401
-    data = vectors.withColumn("_features", _unit_vector_col(vec_col))
-    km = KMeans(k=cells, seed=seed, maxIter=max_iter, featuresCol="_features", predictionCol="cell",
-                distanceMeasure="cosine")
-    model = km.fit(data)
-    model.transform(data).drop("_features").write.mode("overwrite").partitionBy("cell").parquet(path)
-    return np.array([np.asarray(c, dtype=np.float64) for c in model.clusterCenters()])
-
-
-def ivf_search(spark: SparkSession, index_path: str, centroids: np.ndarray, queries: DataFrame, k: int = 10,
-               nprobe: int = 4, id_col: str = "id", vec_col: str = "embedding", query_id: str = "query_id",
-               query_vec: str = "embedding", payload: Sequence[str] = ()) -> DataFrame:
-    """K2: approximate cosine top-k probing the ``nprobe`` nearest cells."""
-    qids, ks, qn, qok = _query_matrix(queries, query_id, query_vec, None, k)
-    cn = centroids / np.maximum(np.linalg.norm(centroids, axis=1, keepdims=True), 1e-300)
-    near = np.argsort(-(qn @ cn.T), axis=1, kind="stable")[:, :nprobe]
-    probes = [np.array(sorted(int(c) for c in row)) for row in near]
-    wanted = sorted({int(c) for row in near for c in row})
-    bq = spark.sparkContext.broadcast((qids, ks, qn, qok, probes))
+    from pyspark.ml.functions import array_to_vector
+    spark = vectors.sparkSession
+    norm = F.aggregate(vec_col, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
+    data = materialise(vectors.withColumn("_norm", norm), "ivf")
+    full = data.where("_norm > 0").withColumn("_features", array_to_vector(F.col(vec_col)))
+    where = f"{path}/v={next_version(spark, path)}"
+    cached = full.select("_features").cache()
+    model = KMeans(k=cells, seed=seed, maxIter=max_iter, featuresCol="_features", predictionCol="cell",
+                   distanceMeasure="cosine").fit(cached)
+    cached.unpersist()
+    placed = model.transform(full).drop("_features").unionByName(
+        data.where("_norm IS NULL OR NOT _norm > 0").withColumn("cell", F.lit(ZERO_CELL))).drop("_norm")
+    # dealt by cell and a hash: few files a cell, and a large cell in several tasks
+    (placed.repartition("cell", F.pmod(F.xxhash64(id_col), F.lit(4))).write.partitionBy("cell").parquet(f"{where}/rows"))
+    centres = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
+    spark.createDataFrame(centres, "cell int, centre array<double>").write.parquet(f"{where}/centroids")
+    write_marker(spark, where)
+    return where
+
+
+def ivf_search(spark: SparkSession, index_path: str, queries: DataFrame, k: int = 10, nprobe: int = 4, id_col: str = "id",
+               vec_col: str = "embedding", query_id: str = "query_id", query_vec: str = "embedding",
+               payload: Sequence[str] = (), sub_blocks: int = 4, block_rows: int = 4096, tile_queries: int = 1024) -> DataFrame:
+    """K2: approximate cosine top-k over the newest version, probing the ``nprobe`` nearest cells."""
+    where = f"{index_path}/v={latest_version(spark, index_path)}"
     payload = list(payload)
-    index = (spark.read.parquet(index_path).where(F.col("cell").isin([str(c) for c in wanted]))  # pruning
-                  .withColumn("cell", F.col("cell").cast("int")))
-    vschema = index.schema
-    out_schema = T.StructType(
-        [T.StructField("query_id", queries.schema[query_id].dataType), vschema[id_col]]
-        + [vschema[c] for c in payload] + [T.StructField("similarity", T.DoubleType()),
-                                           T.StructField("k", T.LongType())])
-    partial = index.select(id_col, vec_col, "cell", *payload).mapInPandas(
-        _partial_topk(bq, id_col, vec_col, payload, cell_col="cell"), out_schema)
-    return _final_topk(partial, id_col)
+    rows = spark.read.parquet(f"{where}/rows").withColumn("cell", F.col("cell").cast("int"))
+    asked = _queries(queries, query_id, query_vec, None, k)
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    # bounded by the index: cells x dim numbers
+    centres = spark.read.parquet(f"{where}/centroids").agg(F.collect_list(F.struct("cell", "centre")).alias("c"))
+    near = asked.join(F.broadcast(centres)).withColumn("_by", F.sort_array(F.transform("c", lambda c: F.struct(
+        (dot(c["centre"], F.col("vector")) / F.sqrt(dot(c["centre"], c["centre"]))).alias("s"), (-c["cell"]).alias("cell"))),
+        asc=False))
+    probes = F.concat(F.transform(F.slice("_by", 1, nprobe), lambda c: -c["cell"]), F.array(F.lit(ZERO_CELL)))
+    there = near.select("query_id", "vector", "k", F.explode(probes).alias("cell"))
+    wanted = [r.cell for r in there.select("cell").distinct().collect()]  # at most the index's cells
+    block = F.pmod(F.xxhash64("id"), F.lit(sub_blocks)).cast("int")
+    here = (rows.where(F.col("cell").isin(wanted))  # prunes the folders of other cells
+            .select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vector"), "cell", *payload)
+            .withColumn("_block", block))
+    there = there.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(sub_blocks - 1))))
+    return _search(here, there, ["cell", "_block"], k, payload, id_col, rows.schema[id_col].dataType,
+                   queries.schema[query_id].dataType, tile_queries, block_rows)
 
 
 def recall_at_k(approx: DataFrame, exact: DataFrame, id_col: str = "id") -> float:

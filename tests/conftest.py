@@ -14,7 +14,7 @@ SF_MID = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from postlake.session import build_session
-    s = build_session("local[4]", shuffle_partitions=4)
+    s = build_session("local[4]", shuffle_partitions=4, extra={"spark.postlake.scanPartitions": "4"})
     yield s
     s.stop()
 
@@ -22,19 +22,18 @@ def spark():
 ITEM_DDL = ("id bigint, type string, by string, time bigint, title string, url string, "
             "score bigint, descendants bigint")
 
-# the five story items of the reference's fixture (FIXTURES.md F1)
-FIVE_ITEMS = [
-    (1, "story", "alice", 1700000000, "Show HN: Cool MLOps project", "https://github.com/cool", 250, 30),
-    (2, "story", "bob", 1700003600, "Why Rust is great?", "https://blog.rust.org/post", 5, 1),
-    (3, "story", "carol", 1700007200, "Ask HN: What is your favorite editor", None, 120, 80),
-    (4, "story", "alice", 1700010800, "OpenAI releases something new", "https://openai.com/news", 50, 10),
-    (5, "job", "company", 1700014400, "Hiring senior engineer", "https://x.com/job", 1, 0),
+ITEMS = [
+    (11, "story", "dana", 1709251200, "Which index should a small table use?", "http://db.example.org:8080/q/7", 100, 3),
+    (12, "story", "erik", 1704067199, "Year end notes", "https://Notes.Example.net/2023", 99, 0),
+    (13, "story", None, 1718452800, "A tour of window functions", None, 640, 51),
+    (14, "story", "dana", 1709289000, "Ask: why", "mailto:x@example.org", 0, 2),
+    (15, "poll", "erik", 1709289000, "Vote?", None, 500, 9),
 ]
 
 
 @pytest.fixture(scope="session")
 def items(spark):
-    return spark.createDataFrame(FIVE_ITEMS, ITEM_DDL)
+    return spark.createDataFrame(ITEMS, ITEM_DDL)
 
 
 @pytest.fixture()

@@ -4,39 +4,31 @@ from postlake import schemas
 from postlake.operators.features import build_tabular_features, build_text_features
 
 
-def test_tabular_basics(items):
+#: By hand: length, words, hour and weekday (Monday 0) in UTC, URL, question, domain, author, target.
+EXPECTED = {
+    11: (37, 7, 0, 4, 1, 1, "db.example.org", "dana", 1),
+    12: (14, 3, 23, 6, 1, 0, "notes.example.net", "erik", 0),
+    13: (26, 5, 12, 5, 0, 0, "no_url", "unknown", 1),
+    14: (8, 2, 10, 4, 1, 0, "no_url", "dana", 0),
+}
+
+
+def test_hand_derived_features(items):
     out = build_tabular_features(items)
-    rows = {r.id: r for r in out.collect()}
-    assert len(rows) == 4
     assert out.columns == schemas.TABULAR_COLUMNS
-    assert {i for i, r in rows.items() if r.vai_bombar == 1} == {1, 3}
+    cols = schemas.FEATURE_COLUMNS + [schemas.TARGET]
+    assert {r.id: tuple(r[c] for c in cols) for r in out.collect()} == EXPECTED
 
 
-def test_domain_and_question(items):
-    rows = {r.id: r for r in build_tabular_features(items).collect()}
-    assert rows[1].domain == "github.com" and rows[3].domain == "no_url"
-    assert rows[2].has_question == 1 and rows[1].has_question == 0
+def test_text_columns(items):
+    out = build_text_features(items)
+    assert out.columns == schemas.TEXT_COLUMNS and {r.id for r in out.collect()} == set(EXPECTED)
 
 
-def test_hand_derived_features(items):
-    # FIXTURES.md F1, derived by hand from the feature rules
-    expected = {
-        1: (27, 5, 22, 1, 1, 0, "github.com", "alice", 1),
-        2: (18, 4, 23, 1, 1, 1, "blog.rust.org", "bob", 0),
-        3: (36, 7, 0, 2, 0, 0, "no_url", "carol", 1),
-        4: (29, 4, 1, 2, 1, 0, "openai.com", "alice", 0),
-    }
-    cols = ["title_len", "n_words_title", "hour", "weekday", "has_url", "has_question", "domain",
-            "by_author", "vai_bombar"]
-    got = {r.id: tuple(r[c] for c in cols) for r in build_tabular_features(items).collect()}
-    assert got == expected
-
-
-def test_text_features(items):
-    out = build_text_features(items)
-    assert out.count() == 4
-    assert "embedding" not in out.columns
-    assert set(schemas.TEXT_COLUMNS) <= set(out.columns)
+def test_one_text_per_id_is_the_latest(spark):
+    rows = [(1, "story", "a", 1700000000 + k, f"t{k}", None, "5") for k in range(5)]
+    for order in (rows, rows[::-1]):
+        assert [r.title for r in build_text_features(spark.createDataFrame(order, EDGE_DDL)).collect()] == ["t4"]
 
 
 EDGE_DDL = "id bigint, type string, by string, time bigint, title string, url string, score string"
@@ -76,3 +68,12 @@ def test_missing_column_is_null(spark):
     df = spark.createDataFrame([(1, "story", 1700000000, "t", 3)], "id bigint, type string, time bigint, title string, score bigint")
     out = build_tabular_features(df).collect()
     assert out[0].by_author == "unknown" and out[0].domain == "no_url"
+    late = spark.createDataFrame([(1, "story", "a", "t", 3)], "id bigint, type string, by string, title string, score bigint")
+    assert build_tabular_features(late).count() == 0 and build_text_features(late).count() == 0
+
+
+def test_dirty_time_text(spark):
+    df = spark.createDataFrame([(1, "story", "a", "soon", "t", None, "5"), (2, "story", "a", "1700000000", "t", None, "5")],
+                               EDGE_DDL.replace("time bigint", "time string"))
+    assert [r.id for r in build_tabular_features(df).collect()] == [2]
+    assert {r.id: r.created_ts is None for r in build_text_features(df).collect()} == {1: True, 2: False}
