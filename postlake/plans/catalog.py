@@ -84,7 +84,7 @@ def s2_hydrate_report(spark, sf_dir):
     """Hydrate every listed id from the landed items; missing ids reported."""
     from postlake.sources.ingest import hydrate_from_table
     ids = read_table(spark, sf_dir, "events").select(F.col("event_id").alias("id"))
-    docs = read_table(spark, sf_dir, "documents", spread_rows=False).select(
+    docs = read_table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("id"), "n_chars", "lang")
     return hydrate_from_table(ids, docs)
 
@@ -321,12 +321,11 @@ UNION ALL SELECT * FROM new"""
 def s11_upsert(spark, sf_dir):
     """Re-embedded classes 0-4 replace their rows whole and add new ids."""
     from postlake.session import scratch_dir
-    from postlake.sources.lake import read_snapshot, write_snapshot
-    from postlake.sources.vectors import upsert_snapshot
+    from postlake.sources.vectors import read_vectors, upsert_snapshot
     root = scratch_dir(spark, "vectors")
     emb = read_table(spark, sf_dir, "embeddings")
     old = emb.select(F.col("vec_id").alias("id"), "label", "embedding", F.lit("v1").alias("model_name"))
-    write_snapshot(old, root)
+    upsert_snapshot(root, old)
     changed = emb.where(F.col("label") < 5).select(
         "vec_id", (F.col("label") + 100).alias("label"),
         F.transform("embedding", lambda x: -x).alias("embedding"), F.lit("v2").alias("model_name"))
@@ -334,7 +333,7 @@ def s11_upsert(spark, sf_dir):
                   .unionByName(changed.select((F.col("vec_id") + 1000000).alias("id"), "label", "embedding",
                                               "model_name")))
     upsert_snapshot(root, new)
-    return read_snapshot(spark, root).select("id", "label", "embedding", "model_name")
+    return read_vectors(spark, root).select("id", "label", "embedding", "model_name")
 
 
 @register("s12_constraints", """
@@ -386,17 +385,31 @@ def k1_knn(spark, sf_dir):
     return hits.select("query_id", "id", "similarity", "rank")
 
 
-@register("k2_ivf")
-def k2_ivf(spark, sf_dir):
-    """Approximate top-10 through a 16-cell IVF index probing 4 cells (recall tested)."""
+def _ivf(spark, sf_dir, nprobe):
     from postlake.operators.search import build_ivf, ivf_search
     from postlake.session import scratch_dir
     emb = read_table(spark, sf_dir, "embeddings")
     vecs = emb.select(F.col("vec_id").alias("id"), "embedding")
     path = scratch_dir(spark, "ivf")
-    cents = build_ivf(vecs, path, cells=16)
-    return ivf_search(spark, path, cents, _label_centroids(emb), k=10, nprobe=4).select(
-        "query_id", "id", "similarity", "rank")
+    build_ivf(vecs, path, cells=16)
+    return vecs, _label_centroids(emb), ivf_search(spark, path, _label_centroids(emb), k=10, nprobe=nprobe)
+
+
+@register("k2_ivf_full", ORACLE["k1_knn"])
+def k2_ivf_full(spark, sf_dir):
+    """With all 16 cells probed the index search is exact."""
+    return _ivf(spark, sf_dir, 16)[2].select("query_id", "id", "similarity", "rank")
+
+
+@register("k2_ivf_recall", "SELECT 10 * count(DISTINCT label) AS n_exact, 1 AS enough FROM embeddings")
+def k2_ivf_recall(spark, sf_dir):
+    """At 13 of 16 cells (the vectors have no clusters) the label centroids find 0.9 of their exact ten."""
+    from postlake.operators.search import knn
+    vecs, queries, found = _ivf(spark, sf_dir, 13)
+    exact = knn(vecs, queries, k=10).select("query_id", "id")
+    hits = found.select("query_id", "id", F.lit(1).alias("hit"))
+    return exact.join(hits, ["query_id", "id"], "left").agg(
+        F.count(F.lit(1)).alias("n_exact"), (F.count("hit") >= 0.9 * F.count(F.lit(1))).cast("int").alias("enough"))
 
 
 _DOC_TERMS = Q.hashed_terms_sql("documents", "doc_id", "text")
@@ -477,75 +490,121 @@ SELECT (SELECT count(*) FROM f) AS n_rows,
        CAST((SELECT count(*) FROM t) > 0 AS INTEGER) AS text_ok""")
 def p_gates(spark, sf_dir):
     """P10..P13, A1, A2: the training and embedding gates as one row of counts and flags."""
-    p = posts(spark, sf_dir)
-    f = build_tabular_features(p).agg(F.count(F.lit(1)).alias("n_rows"),
-                                      F.count_distinct("vai_bombar").alias("n_classes")).withColumn("_one", F.lit(1))
-    t = build_text_features(p).agg(F.count(F.lit(1)).alias("n_text")).withColumn("_one", F.lit(1))
-    return f.join(t, "_one").select(
-        "n_rows", "n_classes", (F.col("n_rows") >= 20).cast("int").alias("min_rows_ok"),
-        (F.col("n_classes") >= 2).cast("int").alias("two_classes_ok"), "n_text",
-        (F.col("n_text") > 0).cast("int").alias("text_ok"))
+    from postlake.operators import quality
+    from postlake.session import materialise
+    from postlake.sources.ingest import require_rows
 
+    def passes(gate, df):
+        try:
+            gate(df)
+        except ValueError:
+            return 0
+        return 1
 
-# ---------------------------------------------------------------- models (no SQL oracle: rows-only)
+    p = require_rows(posts(spark, sf_dir), "posts")
+    features = materialise(build_tabular_features(p).select("id", "vai_bombar"), "gate-features")
+    texts = materialise(build_text_features(p).select("id"), "gate-texts")
+    counts = features.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("vai_bombar").alias("n_classes"))
+    flags = {"min_rows_ok": passes(quality.gate_min_rows, features), "two_classes_ok": passes(quality.gate_two_classes, features),
+             "text_ok": passes(quality.gate_not_empty, texts)}
+    return counts.withColumns({**{k: F.lit(v) for k, v in flags.items()}, "n_text": F.lit(texts.count())})
+
+
+# ---------------------------------------------------------------- models (SQL of what is exact: rows, ranges, flags)
 
 def _fit_score(spark, sf_dir, name, estimator):
     from postlake.operators.model import fit
-    sp = _train_test(spark, sf_dir).cache()
+    from postlake.session import materialise
+    sp = materialise(_train_test(spark, sf_dir), "train-test")
     m = fit(name, estimator, sp.where(F.col("split") == "train"))
     return m, sp, m.score(sp.where(F.col("split") == "test"))
 
 
-@register("m5_forest")
+def _checked(scored):
+    p = F.col("probability")
+    return [(p.between(0.0, 1.0)).cast("int").alias("p_in_range"),
+            (F.col("prediction") == (p >= 0.5).cast("int")).cast("int").alias("class_ok")]
+
+
+def _scored_rows(spark, sf_dir, name, estimator):
+    _, _, scored = _fit_score(spark, sf_dir, name, estimator)
+    return scored.select("id", F.col("vai_bombar").alias("y"), *_checked(scored), "model_name")
+
+
+_SCORED_SQL = f"""{_SPLIT_SQL}
+SELECT id, vai_bombar AS y, 1 AS p_in_range, 1 AS class_ok, '{{name}}' AS model_name FROM sp WHERE split = 'test'"""
+
+
+@register("m5_forest", _SCORED_SQL.replace('{name}', 'random_forest'))
 def m5_forest(spark, sf_dir):
     """M4, M5, M9: random forest (200 trees, depth 12) fit on the train split, test split scored."""
     from postlake.operators.model import random_forest
-    _, _, scored = _fit_score(spark, sf_dir, "random_forest", random_forest())
-    return scored.select("id", F.col("vai_bombar").alias("y"), "probability", "prediction")
+    return _scored_rows(spark, sf_dir, "random_forest", random_forest())
 
 
-@register("m6_boosted")
+@register("m6_boosted", _SCORED_SQL.replace('{name}', 'boosted_trees'))
 def m6_boosted(spark, sf_dir):
     """M4, M6, M9: boosted trees (300 rounds, depth 6, rate 0.1, sampling 0.9) on the same split."""
     from postlake.operators.model import boosted_trees
-    _, _, scored = _fit_score(spark, sf_dir, "xgboost", boosted_trees())
-    return scored.select("id", F.col("vai_bombar").alias("y"), "probability", "prediction")
+    return _scored_rows(spark, sf_dir, "boosted_trees", boosted_trees())
 
 
-@register("m8_save_load_score")
+@register("m8_save_load_score", f"""{_SPLIT_SQL}
+SELECT id, 1 AS same, 'random_forest' AS model_name, 'champion' AS model_stage FROM sp WHERE split = 'test'""")
 def m8_save_load_score(spark, sf_dir):
     """Persist the fitted unit, reload it by preference, score again; equal scores."""
     from postlake.operators.model import load_preferred, random_forest
     from postlake.session import scratch_dir
     root = scratch_dir(spark, "models")
     m, sp, scored = _fit_score(spark, sf_dir, "random_forest", random_forest())
-    m.save(root)
+    m.save(root, "champion")
     again = load_preferred(spark, root, ["champion", "random_forest"]).score(sp.where(F.col("split") == "test"))
     a = scored.select("id", F.col("probability").alias("p_fit"))
-    b = again.select("id", F.col("probability").alias("p_loaded"), "prediction")
-    return a.join(b, "id").withColumn("same", (F.abs(F.col("p_fit") - F.col("p_loaded")) < 1e-12).cast("int"))
+    b = again.select("id", F.col("probability").alias("p_loaded"), "model_name", "model_stage")
+    return a.join(b, "id").select("id", (F.abs(F.col("p_fit") - F.col("p_loaded")) < 1e-12).cast("int").alias("same"),
+                                  "model_name", "model_stage")
 
 
-@register("m10_run_log")
+_PARAMS = {"random_forest": {"numTrees": "200", "maxDepth": "12", "seed": "42"},
+           "boosted_trees": {"maxIter": "300", "maxDepth": "6", "stepSize": "0.1", "subsamplingRate": "0.9", "seed": "42"}}
+_LOG_ROWS = ([(m, "param", "clf__" + k, v) for m, ps in _PARAMS.items() for k, v in ps.items()]
+             + [(m, "tag", "modelo", m) for m in _PARAMS]
+             + [(m, "metric", k, "in range") for m in _PARAMS for k in ("accuracy", "f1", "roc_auc", "pr_auc")])
+
+
+@register("m10_run_log", f"""{_SPLIT_SQL}
+SELECT model, kind, key, value, (SELECT count(*) FROM sp WHERE split = 'test') AS n_test, 1 AS champion_is_best
+FROM (VALUES {", ".join("(" + ", ".join(Q.sql_str(x) for x in r) + ")" for r in _LOG_ROWS)}) AS v(model, kind, key, value)""")
 def m10_run_log(spark, sf_dir):
-    """M1, M4..M10, A9: gates, split, both candidates, one-pass evaluation, champion
-    persisted, long-form run record returned."""
-    from postlake.operators.model import train_and_select
+    """M1, M4..M10, A9, D7: gates, split, both candidates, one-pass evaluation, champion
+    persisted and reloaded, long-form run record; metric values only as a flag."""
+    from postlake.operators.model import load_preferred, train_and_select
     from postlake.session import scratch_dir
     work = scratch_dir(spark, "train")
     summary = train_and_select(build_tabular_features(posts(spark, sf_dir)), work)
     log = spark.read.parquet(f"{work}/runs").where(F.col("run_id") == summary["run_id"])
-    return log.withColumn("champion", F.lit(summary["champion"]))
+    best = max(summary["metrics"].values(), key=lambda m: m["roc_auc"])["roc_auc"]
+    loaded = load_preferred(spark, f"{work}/models", ["champion", *summary["metrics"]])
+    right = loaded.name == summary["champion"] and summary["roc_auc"] == best and loaded.stage == "champion"
+    value = F.when(F.col("kind") != "metric", F.col("value")).when(F.col("value").cast("double").between(0, 1), F.lit("in range"))
+    wanted = {m: [f"clf__{k}" for k in ps] for m, ps in _PARAMS.items()}
+    mine = F.lit(False)
+    for m, keys in wanted.items():
+        mine = mine | ((F.col("model") == m) & F.col("key").isin(keys))
+    return log.where((F.col("kind") != "param") | mine).select(
+        "model", "kind", "key", value.alias("value"), F.lit(summary["n_test"]).cast("long").alias("n_test"),
+        F.lit(int(right)).alias("champion_is_best"))
 
 
 # ---------------------------------------------------------------- streaming (SQL of the batch form)
 
-def _land_events(spark, sf_dir, files: int = 4):
-    """Events landed as several files ordered by time (a stream of hourly drops)."""
+def _land_events(spark, sf_dir, files: int = 4, late: bool = False):
+    """Events landed as several files ordered by time (a stream of hourly drops), or in no order at all."""
     from postlake.session import scratch_dir
     landing = scratch_dir(spark, "landing")
     ev = read_table(spark, sf_dir, "events")
-    ev.repartitionByRange(files, "ts").write.mode("overwrite").parquet(landing)
+    dealt = ev.repartition(files, "event_id") if late else ev.repartitionByRange(files, "ts")
+    dealt.write.parquet(landing)
     return landing, ev.schema
 
 
@@ -588,3 +647,6 @@ def r3_stream_state(spark, sf_dir):
         "user_id", "event_id", "ts", "event_type", "value", "props")
     stream_best_state(stream, root, ckpt, "user_id", ("value", "ts", "event_id")).awaitTermination()
     return read_snapshot(spark, root)
+
+
+from postlake.plans import catalog_jobs  # noqa: E402, F401  registers the composed jobs and the smaller operators

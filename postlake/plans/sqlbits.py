@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from postlake.functions.text import whitespace_chars, whitespace_class
 from postlake.functions.time import EPOCH_SECONDS_MAX, EPOCH_SECONDS_MIN
-from postlake.functions.url import AUTHORITY_PATTERN, BRACKETED_HOST_PATTERN
+from postlake.functions.url import AUTHORITY_PATTERN, BRACKETED_HOST_PATTERN, nfkc_delimiters
 
 
 def sql_str(s: str) -> str:
@@ -43,6 +43,7 @@ def domain_sql(x: str) -> str:
     ok = (f"((NOT contains({netloc}, '[') AND NOT contains({netloc}, ']')) OR "
           f"(contains({netloc}, '[') AND contains({netloc}, ']') AND "
           f"regexp_matches({host}, {sql_str(BRACKETED_HOST_PATTERN)})))")
+    ok += f" AND NOT regexp_matches({netloc}, {sql_str('[' + nfkc_delimiters() + ']')})"
     return f"CASE WHEN {ok} AND {first} <> '' THEN {first} ELSE 'no_url' END"
 
 
@@ -51,7 +52,8 @@ def lenient_int_sql(x: str) -> str:
     from postlake.functions.numeric import NUMERIC_TEXT
     d = f"CASE WHEN regexp_matches(lower(CAST({x} AS VARCHAR)), {sql_str(NUMERIC_TEXT)}) " \
         f"THEN TRY_CAST(trim(CAST({x} AS VARCHAR)) AS DOUBLE) END"
-    return (f"coalesce(CASE WHEN isfinite({d}) THEN TRY_CAST(trunc({d}) AS BIGINT) END, CAST(0 AS BIGINT))")
+    whole = f"CASE WHEN regexp_matches(CAST({x} AS VARCHAR), '^\\s*[+-]?\\d+\\s*$') THEN TRY_CAST(trim(CAST({x} AS VARCHAR)) AS BIGINT) END"
+    return (f"coalesce({whole}, CASE WHEN isfinite({d}) THEN TRY_CAST(trunc({d}) AS BIGINT) END, CAST(0 AS BIGINT))")
 
 
 def tabular_sql(src: str, threshold: int = 100) -> str:
@@ -83,7 +85,7 @@ SELECT id, title, url, score, by_author, created_ts FROM (
   SELECT id, {strip_sql('CAST(title AS VARCHAR)')} AS title, coalesce(url, '') AS url,
          CAST(coalesce(score, 0) AS BIGINT) AS score, coalesce("by", 'unknown') AS by_author,
          {epoch_ts_sql('"time"')} AS created_ts,
-         row_number() OVER (PARTITION BY id ORDER BY id) AS rn
+         row_number() OVER (PARTITION BY id ORDER BY "time" DESC NULLS LAST, score DESC NULLS LAST) AS rn
   FROM {src}
   WHERE type = 'story' AND title IS NOT NULL AND "time" IS NOT NULL
     AND length({strip_sql('CAST(title AS VARCHAR)')}) > 0
@@ -95,7 +97,7 @@ def metrics_sql(scored: str) -> str:
     """A5..A8 over a relation ``scored(model, y, p)``: one row per model."""
     return f"""
 WITH s AS (SELECT model, CAST(y AS INTEGER) AS y, CAST(p AS DOUBLE) AS p,
-                  CAST(p >= 0.5 AS INTEGER) AS pred FROM {scored}),
+                  CAST(p >= 0.5 AS INTEGER) AS pred FROM {scored} WHERE p IS NOT NULL AND y IS NOT NULL),
 cls AS (SELECT model, avg(CAST(y = pred AS DOUBLE)) AS accuracy,
                sum(y * pred) AS tp, sum((1 - y) * pred) AS fp, sum(y * (1 - pred)) AS fn,
                sum(y) AS n_pos, count(*) - sum(y) AS n_neg FROM s GROUP BY model),

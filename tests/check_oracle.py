@@ -21,7 +21,7 @@ from postlake.session import build_session  # noqa: E402
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:]
-    spark = build_session("local[8]")
+    spark = build_session("local[8]", extra={"spark.postlake.scanPartitions": "8"})
     con = duck(sf_dir)
     qs, sqls = entry.queries(), entry.oracle_sql()
     bad = 0
