@@ -61,13 +61,3 @@ def ends_with_question(c) -> Column:
     ``(?d)`` (UNIX_LINES) makes '\\n' the only line terminator, as in Python.
     """
     return _col(c).rlike(r"(?d)\?$").cast("int")
-
-
-def as_string(c) -> Column:
-    """T14."""
-    return _col(c).cast("string")
-
-
-def tokens(c) -> Column:
-    """Lower-cased letter/digit runs; the encoder's tokeniser."""
-    return F.filter(F.split(F.lower(_col(c)), r"[^\p{L}\p{N}]+"), lambda t: F.length(t) > 0)

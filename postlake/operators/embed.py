@@ -7,8 +7,8 @@ lexical, not semantic; a semantic model plugs in through ``encode_with``.
 
 * ``hashed_terms`` (E2): the sparse long form ``(id, bucket, weight)`` from
   the dense vectors by ``posexplode``: row-local, no shuffle.
-* ``hashed_vectors``: dense ``array``: tokens and buckets are computed in the
-  JVM; an Arrow-batched helper scatters a whole batch with one ``bincount``.
+* ``hashed_vectors``: dense ``array`` by ``mapInArrow``; the distinct tokens of
+  a batch are hashed and the whole batch is scattered with one ``bincount``.
 * ``encode_with`` (E1): any ``encoder(texts) -> ndarray`` in ``mapInPandas``,
   built once per task, fed in batches (default 32).
 * ``encode_frame`` (E3): add ``embedding``, stamp model name and a fresh run
@@ -24,11 +24,10 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postlake.functions import tokens
 from postlake.schemas import EMBEDDING_DIM
 from postlake.session import materialise
 from postlake.sources.vectors import with_lineage
@@ -37,43 +36,35 @@ HASHED_MODEL_NAME = "hashed-bow-md5"
 TOKEN_PATTERN = r"[^\p{L}\p{N}]+"
 
 
-def token_bucket(tok, dim: int = EMBEDDING_DIM) -> Column:
-    return F.pmod(F.conv(F.substring(F.md5(tok), 1, 8), 16, 10).cast("bigint"), F.lit(dim)).cast("int")
-
-
 def hashed_terms(df: DataFrame, id_col: str = "id", text_col: str = "title", dim: int = EMBEDDING_DIM) -> DataFrame:
     """E2 long form: ``(id, bucket, weight)``, weights of one row have unit norm."""
     dense = hashed_vectors(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text")), "_text", dim, "_v", "double")
     return dense_to_terms(dense, "id", "_v")
 
 
-def _bincount_unit(dim: int, element_type: str):
-    np_type = np.float32 if element_type == "float" else np.float64
-
-    @F.arrow_udf(T.ArrayType(T.FloatType() if element_type == "float" else T.DoubleType()))
-    def scatter(buckets: pa.Array) -> pa.Array:
-        out = []
-        for at in range(0, len(buckets), ROWS_AT_ONCE):
-            some = buckets.slice(at, ROWS_AT_ONCE)
-            sizes = some.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            flat = some.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            counts = np.bincount(np.repeat(np.arange(len(some)), sizes) * dim + flat, minlength=len(some) * dim)
-            counts = counts.reshape(len(some), dim).astype(np.float64)
-            norms = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
-            out.append(np.divide(counts, norms, out=counts, where=norms > 0).astype(np_type))
-        flat = np.concatenate(out).ravel() if out else np.zeros(0, np_type)
-        return pa.ListArray.from_arrays(pa.array(np.arange(len(buckets) + 1, dtype=np.int32) * dim), pa.array(flat))
-    return scatter
-
-
 ROWS_AT_ONCE = 1024
 
 
 def hashed_vectors(df: DataFrame, text_col: str = "title", dim: int = EMBEDDING_DIM,
                    out_col: str = "embedding", element_type: str = "float") -> DataFrame:
-    """Dense unit vectors of the hashed encoder, row-local (no shuffle)."""
-    buckets = F.coalesce(F.transform(tokens(text_col), lambda t: token_bucket(t, dim)), F.array().cast("array<int>"))
-    return df.withColumn(out_col, _bincount_unit(dim, element_type)(buckets))
+    """Dense unit vectors of the hashed encoder, row-local (no shuffle).
+
+    Arrow batches, each distinct token of a batch hashed once.  Not a UDF
+    column: filters inferred above it would evaluate it twice.
+    """
+    np_type = np.float32 if element_type == "float" else np.float64
+    element = T.FloatType() if element_type == "float" else T.DoubleType()
+    schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.ArrayType(element))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = HashedBagOfWords(dim)
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                some = batch.slice(at, ROWS_AT_ONCE)
+                flat = pa.array(encoder(some.column(text_col).to_pylist(), dtype=np_type).ravel())
+                ends = pa.array(np.arange(some.num_rows + 1, dtype=np.int32) * dim)
+                yield pa.record_batch({c: some.column(c) for c in some.schema.names} | {out_col: pa.ListArray.from_arrays(ends, flat)})
+    return df.mapInArrow(run, schema)
 
 
 class HashedBagOfWords:

@@ -204,6 +204,15 @@ def prune_versions(spark: SparkSession, root: str, keep: int = 3) -> list[int]:
     return gone
 
 
+def drop_folders(spark: SparkSession, root: str, prefix: str, keep: set[str]) -> None:
+    """Drop the folders of ``root`` whose name starts with ``prefix``, but for those in ``keep``."""
+    fs, p, _ = _fs(spark, root)
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if name.startswith(prefix) and name not in keep:
+            fs.delete(st.getPath(), True)
+
+
 def marked(spark: SparkSession, path: str, name: str) -> bool:
     fs, p, jvm = _fs(spark, path)
     return fs.exists(jvm.org.apache.hadoop.fs.Path(p, name))
