@@ -31,9 +31,9 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, Stri
 
 from postlake.llm.common import pieces, table, with_fields, without
 
-_KNOWN = 400_000
+_KNOWN = 300_000
 _LONG = 256  # characters beyond which a pretoken isn't kept
-_PIECE = 4 << 20
+_PIECE = 2 << 20
 _NONE = 1 << 31
 
 
