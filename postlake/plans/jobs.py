@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postlake import schemas
 from postlake.operators.curate import curate
 from postlake.operators.embed import HASHED_MODEL_NAME, encode_frame, encoding_log, hashed_vectors
 from postlake.operators.features import build_tabular_features, build_text_features, model_input
@@ -57,8 +58,9 @@ def index_daily(spark: SparkSession, layout: Layout, dim: int = 384) -> dict:
 
 
 def predict(spark: SparkSession, layout: Layout, requests: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Batch prediction: (valid rows with probability, prediction, model_name, model_stage; rejects with reasons)."""
-    valid, rejected = split_valid(validate_predict(requests))
+    """Batch prediction: (rows with an id; valid ones with probability, prediction, model_name, model_stage; rejects with reasons)."""
+    typed = requests.select("id", *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.PREDICT_REQUEST.fields])
+    valid, rejected = split_valid(validate_predict(typed))
     model = load_preferred(spark, layout.models, MODEL_PREFERENCE)
     featured = request_features(valid.drop("reasons", "valid"))
     scored = model.score(model_input(featured, with_target=False))

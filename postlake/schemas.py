@@ -23,9 +23,6 @@ ITEM = T.StructType([
     T.StructField("dead", T.BooleanType()),
 ])
 
-# raw rows carry the ingestion stamp
-RAW = T.StructType(ITEM.fields + [T.StructField("ingested_at", T.TimestampType())])
-
 # model input columns, in the fixed order used for training and scoring
 NUMERIC_FEATURES = ["title_len", "n_words_title", "hour", "weekday", "has_url", "has_question"]
 CATEGORICAL_FEATURES = ["domain", "by_author"]
