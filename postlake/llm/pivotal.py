@@ -11,9 +11,10 @@ total misses its target by less than the size of its last open document.
 
 Plan: documents fold to narrow rows first (id, hash, words).  They are dealt
 by source and a hash cell of about ``stream_docs`` documents, so a source
-with a third of all rows has that many more streams; a stream takes large documents first and keeps
-one open document, its smallest as a rule.  The open documents of that many cells meet on the next level of a tree, down to one
-per source.  Draws are hashes of the document and the level, so reruns agree
+with a third of all rows has that many more streams.  A stream takes large
+documents first and keeps one open document, its smallest as a rule.  The
+open documents of that many cells meet on the next level of a tree, down to
+one per source.  Draws are hashes of the document and the level, so reruns agree
 whatever the partitions are.  Totals and targets are aggregates with one row
 per source.
 """
