@@ -404,12 +404,12 @@ def k2_ivf_full(spark, sf_dir):
 @register("k2_ivf_recall", "SELECT 10 * count(DISTINCT label) AS n_exact, 1 AS enough FROM embeddings")
 def k2_ivf_recall(spark, sf_dir):
     """At 13 of 16 cells (the vectors have no clusters) the label centroids find 0.9 of their exact ten."""
-    from postlake.operators.search import knn
+    from postlake.operators.search import knn, recall_at_k
+    from postlake.session import materialise
     vecs, queries, found = _ivf(spark, sf_dir, 13)
-    exact = knn(vecs, queries, k=10).select("query_id", "id")
-    hits = found.select("query_id", "id", F.lit(1).alias("hit"))
-    return exact.join(hits, ["query_id", "id"], "left").agg(
-        F.count(F.lit(1)).alias("n_exact"), (F.count("hit") >= 0.9 * F.count(F.lit(1))).cast("int").alias("enough"))
+    exact = materialise(knn(vecs, queries, k=10).select("query_id", "id"), "exact")
+    enough = recall_at_k(found, exact) >= 0.9
+    return exact.agg(F.count(F.lit(1)).alias("n_exact"), F.lit(int(enough)).alias("enough"))
 
 
 _DOC_TERMS = Q.hashed_terms_sql("documents", "doc_id", "text")

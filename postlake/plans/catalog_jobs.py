@@ -105,7 +105,7 @@ SELECT event_id AS id, CASE WHEN event_id % 11 = 0 THEN NULL ELSE 2 * event_id E
 FROM events WHERE event_id % 11 = 0 OR event_id % 7 <> 0""")
 def s2_hydrate_fetch(spark, sf_dir):
     """Ids through a fetcher with deleted (7), failing (11) and flaky (13) items; errors and attempts per id."""
-    from postlake.sources.ingest import hydrate
+    from postlake.sources.ingest import hydrate, split_errors
     tried: dict[int, int] = {}
 
     def fetch(i):
@@ -119,7 +119,9 @@ def s2_hydrate_fetch(spark, sf_dir):
         return {"id": i, "score": 2 * i, "descendants": tried[i]}
 
     ids = read_table(spark, sf_dir, "events").select(F.col("event_id").alias("id"))
-    return hydrate(ids, fetch, backoff_base=0.0, backoff_cap=0.0).select("id", "score", F.col("descendants").alias("attempts"), "error")
+    fetched = materialise(hydrate(ids, fetch, backoff_base=0.0, backoff_cap=0.0), "fetched")
+    good, bad = split_errors(fetched)
+    return good.select("id", "score", F.col("descendants").alias("attempts")).unionByName(bad, allowMissingColumns=True)
 
 
 @register("s3_json_rejects", """
@@ -298,6 +300,17 @@ def e3_encode_frame(spark, sf_dir):
     return encoding_log(spark, run_id, report).select("kind", "key", "value")
 
 
+@register("k4_author_lookup", f"""{_TEXTS}
+SELECT by_author, id, title, created_ts FROM t WHERE by_author = (SELECT min(by_author) FROM t)""")
+def k4_author_lookup(spark, sf_dir):
+    """K4: one author's rows from the layout sorted by author, by a filter that reaches the scan."""
+    from postlake.sources.vectors import author_lookup, write_vectors_sorted
+    texts, path = materialise(build_text_features(posts(spark, sf_dir)), "texts"), scratch_dir(spark, "by-author")
+    write_vectors_sorted(texts, path)
+    first = texts.agg(F.min("by_author").alias("a")).first().a
+    return author_lookup(spark, path, first).select("by_author", "id", "title", "created_ts")
+
+
 # ---------------------------------------------------------------- the composed jobs
 
 def _items(spark, sf_dir):

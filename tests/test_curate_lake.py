@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from postlake.operators.curate import best_per_key, curate, union_by_name
 from postlake.sources import lake

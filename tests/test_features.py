@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from postlake import schemas
 from postlake.operators.features import build_tabular_features, build_text_features
 

@@ -1,8 +1,6 @@
-import math
 from urllib.parse import urlsplit
 
 import pytest
-from pyspark.sql import functions as F
 
 from postlake.functions import domain, lenient_int, strip_ws, word_count, ends_with_question
 from postlake.functions import to_class
