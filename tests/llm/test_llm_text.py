@@ -172,6 +172,17 @@ def plain_marginals(unary, links):
     return good / total
 
 
+def test_line_scores_equal_those_of_neighbours_laid_side_by_side():
+    r = np.random.default_rng(4)
+    for count in ([1], [1, 1], [3, 1, 4, 1, 5]):
+        count = np.array(count)
+        first, own = np.concatenate([[0], np.cumsum(count)])[:-1], r.normal(size=(count.sum(), crf.N_FEATURES)).astype(np.float32)
+        k = 3 * crf.N_FEATURES + 2
+        field = crf.Field(r.normal(size=k), r.uniform(0.5, 2, k), r.normal(size=k), 0.3, np.zeros((2, 2)))
+        want = (crf.neighbours(own, first, count) - field.mean) / field.scale @ field.weights + field.bias
+        assert np.allclose(field.unary(own, first, count), want)
+
+
 def test_marginals_match_enumeration():
     r = np.random.default_rng(0)
     count = np.array([3, 1, 7, 2])
