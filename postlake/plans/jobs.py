@@ -17,26 +17,26 @@ from postlake.operators.model import load_preferred, request_features, train_and
 from postlake.operators.quality import gate_not_empty, search_hits, split_valid, validate_predict, validate_search
 from postlake.operators.search import knn
 from postlake.sources.ingest import require_rows
-from postlake.sources.lake import Layout, latest_version, prune_versions, read_raw, read_snapshot, write_hour, write_snapshot
+from postlake.sources.lake import Layout, merge_snapshot, prune_versions, read_raw, read_snapshot, write_hour, write_snapshot
 from postlake.sources.vectors import constraint_violations, read_vectors, upsert_snapshot
 
 MODEL_PREFERENCE = ["champion", "boosted_trees", "random_forest"]
 
 
-def ingest_hour(spark: SparkSession, layout: Layout, items: DataFrame, dt: str, hr: str, keep: int = 3) -> dict[str, int]:
-    """Hourly: land the fetched items, merge them into the curated snapshot, derive both feature layers.
+def ingest_hour(spark: SparkSession, layout: Layout, items: DataFrame, dt: str, hr: str, keep: int = 3,
+                buckets: int = 16) -> dict[str, int]:
+    """Hourly: land the fetched items, merge them into their buckets of the curated snapshot, derive both feature layers.
 
     Returns the versions written.  Running an hour again replaces its raw
     rows and merges the same best rows.
     """
     write_hour(require_rows(items, f"hour {dt} {hr}"), layout.raw, dt, hr)
     landed = read_raw(spark, layout.raw, dt, hr).drop("dt", "hr")
-    current = read_snapshot(spark, layout.curated) if latest_version(spark, layout.curated) is not None else None
-    out = {"curated": write_snapshot(curate(current, landed), layout.curated)}
+    out = {"curated": merge_snapshot(layout.curated, landed, "id", curate, buckets, keep_versions=keep)}
     curated = read_snapshot(spark, layout.curated)
     out["tabular"] = write_snapshot(build_tabular_features(curated), layout.tabular)
     out["text"] = write_snapshot(build_text_features(curated), layout.text)
-    for root in (layout.curated, layout.tabular, layout.text):
+    for root in (layout.tabular, layout.text):
         prune_versions(spark, root, keep)
     return out
 

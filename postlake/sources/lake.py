@@ -9,7 +9,10 @@
   A new version is written next to the old one and becomes visible when its
   ``_SUCCESS`` marker exists; readers take the highest complete version
   (numeric order).  No job ever overwrites the path it reads, and a job that
-  dies half way leaves the previous version intact.
+  dies half way leaves the previous version intact.  A version is either a
+  whole table or, as ``merge_snapshot`` writes it, a list of buckets whose
+  folders lie beside it: the next one lists the same folders but for the
+  buckets that a batch touched.
 
 Paths go through the Hadoop FileSystem API, so the same code works on a
 local disk, HDFS or an object store.
@@ -17,8 +20,10 @@ local disk, HDFS or an object store.
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -229,9 +234,90 @@ def read_snapshot(spark: SparkSession, root: str, schema: T.StructType | None =
             raise FileNotFoundError(f"no snapshot under {root} and no schema for an empty start")
         return spark.createDataFrame([], schema)
     reader = spark.read if schema is None else spark.read.schema(schema)
+    if listed := _bucket_list(spark, root, v):
+        return _read_folders(reader, root, listed["folders"].values())
     return reader.parquet(f"{root}/v={v}")
 
 
+# ------------------------------------------------- snapshots in buckets
+
+_BUCKETS = "_buckets.json"
+
+
+def _bucket_list(spark: SparkSession, root: str, version: int) -> dict | None:
+    """{"buckets": n, "folders": {bucket: folder under root}} of a version; None if it is a whole table."""
+    fs, p, jvm = _fs(spark, f"{root}/v={version}/{_BUCKETS}")
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        found = json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+    return found | {"folders": {int(b): f for b, f in found["folders"].items()}}
+
+
+def _read_folders(reader, root: str, folders) -> DataFrame:
+    return reader.option("mergeSchema", "true").parquet(*[f"{root}/{f}" for f in sorted(folders)])
+
+
+def merge_snapshot(root: str, batch: DataFrame, key: str, merge: Callable[[DataFrame | None, DataFrame], DataFrame],
+                   buckets: int = 16, files: int = 1, keep_versions: int = 3, mark: str | None = None) -> int | None:
+    """The next version: ``merge(rows of the same keys' buckets, batch)`` in place of the buckets that the batch touches.
+
+    ``merge(None, batch)`` reduces the batch by itself; ``merge`` must work
+    key by key.  The table is cut into ``buckets`` by a hash of the key (a
+    table's number is fixed by its first such version; with buckets of about
+    1 GB an hourly batch of n keys rewrites n GB at most, whatever the
+    table's size), each of ``files`` files.  A newest version that is a whole
+    table is cut into buckets once.  The list of folders, one entry a bucket,
+    goes through the driver.  Rows with a null key fall in one bucket.
+
+    Returns the version, or None if the batch is empty and there is none yet
+    or nothing to mark.  ``mark`` names a file that stands in the version as
+    soon as readers see it.  Folders that none of the newest
+    ``keep_versions`` versions lists are dropped; one writer per root.
+    """
+    spark = batch.sparkSession
+    newest = latest_version(spark, root)
+    listed = None if newest is None else _bucket_list(spark, root, newest)
+    known = listed["folders"] if listed else {}
+    n = listed["buckets"] if listed else buckets
+    bucket = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(n)).cast("int")
+    fresh = merge(None, batch).persist()
+    try:
+        touched = {r.b for r in fresh.select(bucket.alias("b")).distinct().collect()}
+        if not touched and (newest is None or mark is None):
+            return newest
+        if newest is not None and listed is None:
+            old, rewrite = read_snapshot(spark, root, version=newest), True
+        else:
+            same = [f for b, f in known.items() if b in touched]
+            old, rewrite = (_read_folders(spark.read, root, same) if same else None), bool(touched)
+        run = f"run-{uuid.uuid4().hex[:12]}"
+        if rewrite:
+            merged = fresh if old is None else merge(old, fresh)
+            # dealt by bucket and a hash of ``files`` values: few files a bucket, each in a task of its own
+            (merged.withColumn("_bucket", bucket)
+                   .repartition(shuffle_partitions(spark), "_bucket", F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(1)), F.lit(files)))
+                   .write.partitionBy("_bucket").parquet(f"{root}/{run}"))
+            fs, p, _ = _fs(spark, f"{root}/{run}")
+            names = [st.getPath().getName() for st in fs.listStatus(p)]
+            known |= {int(x.split("=")[1]): f"{run}/{x}" for x in names if x.startswith("_bucket=")}
+    finally:
+        fresh.unpersist()
+    version = next_version(spark, root)
+    path = f"{root}/v={version}"
+    write_marker(spark, path, _BUCKETS, json.dumps({"buckets": n, "folders": known}))
+    if mark:
+        write_marker(spark, path, mark)
+    write_marker(spark, path)
+    prune_versions(spark, root, keep_versions)
+    kept = [_bucket_list(spark, root, v) for v in versions(spark, root)]
+    drop_folders(spark, root, "run-", {f.split("/")[0] for x in kept if x for f in x["folders"].values()})
+    return version
+
+
 def resolve_first(spark: SparkSession, candidates: list[str]) -> str | None:
     """The first candidate root that has a complete version."""
     for root in candidates:
@@ -240,7 +326,12 @@ def resolve_first(spark: SparkSession, candidates: list[str]) -> str | None:
     return None
 
 
-def write_marker(spark: SparkSession, path: str, name: str = "_SUCCESS") -> None:
-    """Mark a version folder written by several jobs as complete."""
+def write_marker(spark: SparkSession, path: str, name: str = "_SUCCESS", text: str = "") -> None:
+    """A small file in a version folder; by default the one that says it is complete."""
     fs, p, jvm = _fs(spark, path)
-    fs.create(jvm.org.apache.hadoop.fs.Path(p, name), True).close()
+    out = fs.create(jvm.org.apache.hadoop.fs.Path(p, name), True)
+    try:
+        if text:
+            out.write(bytearray(text.encode()))
+    finally:
+        out.close()

@@ -7,10 +7,9 @@ batch, a repeated id keeps a single row chosen by a total order
 (``dedup_order``), so the outcome does not depend on partitioning.
 
 On the lake the table is cut into ``buckets`` by a hash of the id.  A batch
-reads and rewrites only the buckets its ids fall in, in one job, under a
-folder of its own; a manifest, written as a snapshot, says where each bucket
-is.  Readers see the newest complete manifest, so a job that dies leaves the
-table as it was, and the files of untouched buckets stay.
+reads and rewrites only the buckets its ids fall in (``lake.merge_snapshot``),
+so the files of untouched buckets stay, and a job that dies leaves the table
+as it was.
 
 Constraint checks (S12) return a rejects frame ``(id, reason)`` instead of
 failing a whole batch on the first bad row; rows without an id are rejected
@@ -19,7 +18,6 @@ before an upsert, as no row could ever replace them.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -29,7 +27,8 @@ from postlake.functions import now_utc
 from postlake.operators.curate import best_per_key
 from postlake.schemas import EMBEDDING_DIM, VECTORS
 from postlake.session import materialise
-from postlake.sources.lake import drop_folders, latest_version, prune_versions, read_snapshot, versions, write_snapshot
+from postlake.sources.lake import latest_version, merge_snapshot, read_snapshot
+
 
 def with_lineage(df: DataFrame, model_name: str, run_id: str | None) -> DataFrame:
     """Contract types (NULLs preserved) and lineage columns, in the order of ``schemas.VECTORS``."""
@@ -47,51 +46,25 @@ def upsert(existing: DataFrame | None, new: DataFrame, key: str = "id",
     return kept.unionByName(fresh, allowMissingColumns=True)
 
 
-def _manifest(spark, root: str, version: int | None = None) -> dict[int, str]:
-    """Folder of each bucket, relative to ``root``; at most one row per bucket."""
-    path = f"{root}/manifest"
-    version = latest_version(spark, path) if version is None else version
-    return {} if version is None else {r.bucket: r.folder for r in read_snapshot(spark, path, version=version).collect()}
-
-
-def _read_folders(spark, root: str, folders) -> DataFrame | None:
-    paths = [f"{root}/{f}" for f in sorted(folders)]
-    return spark.read.option("mergeSchema", "true").parquet(*paths) if paths else None
-
-
 def upsert_snapshot(root: str, new: DataFrame, key: str = "id", buckets: int = 16, files: int = 1,
                     keep_versions: int = 2) -> int:
     """S11 on the lake: rewrites the buckets that ``new`` touches.  Returns the number of ids written
     (0 and nothing changed when empty).
 
     The batch is evaluated once, written beside the table.  ``buckets``
-    belongs to the table: keep it.  One writer per table; folders that none
-    of the newest ``keep_versions`` manifests names are dropped.
+    belongs to the table; one writer per table.
     """
-    spark = new.sparkSession
     fresh = materialise(upsert(None, new.where(F.col(key).isNotNull()), key), "upsert")
-    bucket = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
-    touched = {r["b"]: r["n"] for r in fresh.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not touched:
-        return 0
-    known = _manifest(spark, root)
-    merged = upsert(_read_folders(spark, root, [f for b, f in known.items() if b in touched]), fresh, key)
-    run = f"run-{uuid.uuid4().hex[:12]}"
-    # dealt by bucket and a hash of ``files`` values: few files a bucket, each in a task of its own
-    (merged.withColumn("_bucket", bucket).repartition("_bucket", F.pmod(F.xxhash64(key), F.lit(files)))
-           .write.partitionBy("_bucket").parquet(f"{root}/{run}"))
-    known |= {b: f"{run}/_bucket={b}" for b in touched}
-    manifest = spark.createDataFrame(sorted(known.items()), "bucket int, folder string").coalesce(1)
-    write_snapshot(manifest, f"{root}/manifest")
-    prune_versions(spark, f"{root}/manifest", keep_versions)
-    named = {f.split("/")[0] for v in versions(spark, f"{root}/manifest") for f in _manifest(spark, root, v).values()}
-    drop_folders(spark, root, "run-", named)
-    return sum(touched.values())
+    n = fresh.count()
+    if n:
+        merge_snapshot(root, fresh, key, lambda existing, batch: batch if existing is None else upsert(existing, batch, key),
+                       buckets, files, keep_versions)
+    return n
 
 
 def read_vectors(spark, root: str) -> DataFrame | None:
     """The newest rows of all buckets; None if there are none yet."""
-    return _read_folders(spark, root, _manifest(spark, root).values())
+    return None if latest_version(spark, root) is None else read_snapshot(spark, root)
 
 
 def constraint_violations(df: DataFrame, key: str = "id", dim: int = EMBEDDING_DIM,

@@ -5,11 +5,12 @@
   too; ``availableNow`` processes what has landed and stops (an hourly run),
   a processing-time trigger keeps going.
 * ``stream_curate`` (R2): each micro-batch is merged into the newest curated
-  snapshot (union + best row per key), whoever wrote it, and becomes the next
-  version, marked with the stream and the batch.  A replayed batch whose mark
-  stands on the newest version is skipped; should the job have died before
-  the mark, applying the batch again changes nothing, as the merge is
-  idempotent.  One writer per target.
+  snapshot (union + best row per key), whoever wrote it.  Only the buckets
+  that hold keys of the batch are read and rewritten (``merge_snapshot``);
+  the next version is marked with the stream and the batch.  A replayed batch
+  whose mark stands on the newest version is skipped; applying any other
+  batch again changes nothing, as the merge is idempotent.  One writer per
+  target.
 * ``stream_best_state`` (R3): the best row per key kept in the state store
   (``max_by`` over the ordering struct, update mode); each batch's changed
   keys are merged into the newest snapshot the same way.  State grows with
@@ -33,8 +34,7 @@ from pyspark.sql import types as T
 from postlake.functions import partition_date, partition_hour
 from postlake.operators.curate import _order_key, best_per_key, union_by_name
 from postlake.session import shuffle_partitions
-from postlake.sources.lake import (latest_version, marked, prune_versions, read_snapshot, write_marker, write_snapshot,
-                                   write_stream_batch)
+from postlake.sources.lake import latest_version, marked, merge_snapshot, write_stream_batch
 
 
 def read_landing(spark: SparkSession, landing: str, schema: T.StructType, fmt: str = "parquet",
@@ -66,44 +66,40 @@ def stream_raw(stream: DataFrame, raw_root: str, checkpoint: str, ts_col: str, a
     return _trigger(out.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint), available_now).start()
 
 
-def _merge_into(root: str, checkpoint: str, merge, keep_versions: int):
-    """A foreachBatch function: the newest snapshot merged with the batch becomes the next one."""
+def _merge_into(root: str, checkpoint: str, key: str, order_by: Sequence[str], buckets: int, keep_versions: int):
+    """A foreachBatch function: the best rows of the newest snapshot and the batch become the next one."""
     name = _stream_name(checkpoint)
 
+    def merge(current, batch):
+        return best_per_key(batch if current is None else union_by_name(current, batch), key, order_by)
+
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark, mark = batch.sparkSession, f"_{name}-{batch_id}"
         newest = latest_version(spark, root)
-        if newest is not None and marked(spark, f"{root}/v={newest}", mark):
-            return
-        current = read_snapshot(spark, root, version=newest) if newest is not None else None
-        version = write_snapshot(merge(current, batch), root)
-        write_marker(spark, f"{root}/v={version}", mark)
-        prune_versions(spark, root, keep_versions)
+        if newest is None or not marked(spark, f"{root}/v={newest}", mark):
+            merge_snapshot(root, batch, key, merge, buckets, keep_versions=keep_versions, mark=mark)
     return apply
 
 
 def stream_curate(stream: DataFrame, curated_root: str, checkpoint: str, key: str,
-                  order_by: Sequence[str], available_now: bool = True, keep_versions: int = 3):
+                  order_by: Sequence[str], available_now: bool = True, keep_versions: int = 3, buckets: int = 16):
     """R2: merge every micro-batch into the curated snapshot."""
-    def merge(current, batch):
-        return best_per_key(batch if current is None else union_by_name(current, batch), key, order_by)
-
-    writer = stream.writeStream.foreachBatch(_merge_into(curated_root, checkpoint, merge, keep_versions))
+    writer = stream.writeStream.foreachBatch(_merge_into(curated_root, checkpoint, key, order_by, buckets, keep_versions))
     return _trigger(writer.option("checkpointLocation", checkpoint), available_now).start()
 
 
 def stream_best_state(stream: DataFrame, state_root: str, checkpoint: str, key: str,
-                      order_by: Sequence[str], available_now: bool = True, keep_versions: int = 3):
-    """Best row per key in the state store; the changed keys merged per batch."""
+                      order_by: Sequence[str], available_now: bool = True, keep_versions: int = 3, buckets: int = 16):
+    """Best row per key in the state store; the changed keys merged per batch.
+
+    The snapshot may hold rows this stream has never seen, so the better row wins, not the newer.
+    """
     cols = stream.columns
     payload = [c for c in cols if c != key]
     best = (stream.groupBy(key)
                   .agg(F.max_by(F.struct(*[F.col(c) for c in payload]), _order_key(order_by, cols)).alias("_b"))
                   .select(key, *[F.col(f"_b.{c}").alias(c) for c in payload]))
 
-    def merge(current, batch):
-        # the snapshot may hold rows this stream has never seen, so the better row wins, not the newer
-        return batch if current is None else best_per_key(union_by_name(current, batch), key, order_by)
-
-    writer = best.writeStream.outputMode("update").foreachBatch(_merge_into(state_root, checkpoint, merge, keep_versions))
+    writer = best.writeStream.outputMode("update").foreachBatch(
+        _merge_into(state_root, checkpoint, key, order_by, buckets, keep_versions))
     return _trigger(writer.option("checkpointLocation", checkpoint), available_now).start()

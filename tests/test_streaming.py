@@ -56,3 +56,29 @@ def test_stream_on_existing_history_and_replay(spark):
         stream_curate(s, root, f"{ck}/{k}", "user_id", ORDER, keep_versions=2).awaitTermination()
         assert sorted(read_snapshot(spark, root).collect()) == sorted(best_per_key(ev, "user_id", ORDER).collect())
     assert len(versions(spark, root)) == 2
+
+
+def test_a_batch_rewrites_its_own_buckets_only(spark):
+    from postlake.operators.curate import curate
+    from postlake.sources.lake import latest_version, marked, merge_snapshot, versions, write_snapshot
+    root = scratch_dir(spark, "cur")
+    ddl = "id bigint, score int, ingested_at bigint"
+
+    def merge(*rows, ddl=ddl, **options):
+        return merge_snapshot(root, spark.createDataFrame(rows, ddl), "id", curate, keep_versions=2, **options)
+
+    assert merge() is None and latest_version(spark, root) is None
+    write_snapshot(spark.createDataFrame([(k, k, 0) for k in range(300)], ddl), root)  # a whole table comes first
+    assert merge((1, 500, 1), (1, 400, 2), (2, 0, 9)) == 2
+    before = set(read_snapshot(spark, root).inputFiles())
+    assert merge((7, 900, 1), (None, 5, 1), (None, 6, 1)) == 3
+    after = read_snapshot(spark, root)
+    assert len(before & set(after.inputFiles())) >= len(before) * 3 // 4
+    got = {r.id: r.score for r in after.collect()}
+    assert after.count() == len(got) == 301
+    assert got == {k: k for k in range(300)} | {1: 500, 7: 900, None: 6}
+    assert merge() == 3 and merge(mark="_done") == 4 and marked(spark, f"{root}/v=4", "_done")
+    assert merge((8, 1000, 1, "x"), ddl=ddl + ", extra string") == 5
+    wide = read_snapshot(spark, root)
+    assert {r.id: r.extra for r in wide.collect() if r.extra} == {8: "x"} and wide.count() == 301
+    assert versions(spark, root) == [4, 5]
