@@ -9,15 +9,16 @@ Everything is Column expressions and Spark ML in the JVM.  Suffix statistics
 are counts over all URLs, aggregated before the shuffle; they are joined on
 the suffix with no hint, so a small table is broadcast by its measured size
 and otherwise adaptive execution splits a suffix that holds most rows.  The
-trees are fitted on at most ``fit_rows`` URLs of each verdict, picked by a
-hash.
+trees are fitted on at most ``fit_rows`` different URLs of each verdict, picked
+by a hash, so a URL that fills a third of the table is one row of the sample;
+only the picks (two numbers each) are broadcast.
 """
 
 from __future__ import annotations
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlake.llm.common import table, without, written
@@ -80,6 +81,15 @@ def _described(pages: DataFrame, url_col: str, rules) -> DataFrame:
                               **lexical(url, F.col("host"), F.col("path"))})
 
 
+def _sample(full: DataFrame, url_col: str, fit_rows: int) -> DataFrame:
+    """(label, _pick, features): the ``fit_rows`` different URLs of each verdict whose hashes are the smallest."""
+    labelled = full.where("_said IS NOT NULL").select((F.col("_said") == "block").cast("double").alias("label"),
+                                                      F.xxhash64(F.col(f"`{url_col}`").cast("string")).alias("_pick"), *FEATURES)
+    nth = F.row_number().over(Window.partitionBy("label").orderBy("_pick"))
+    picks = labelled.select("label", "_pick").distinct().withColumn("_nth", nth).where(F.col("_nth") <= fit_rows).drop("_nth")
+    return labelled.join(F.broadcast(picks), ["label", "_pick"]).dropDuplicates(["label", "_pick"])
+
+
 def url_verdicts(pages: DataFrame, url_col: str = "url", rules=RULES, fit_rows: int = 10_000, trees: int = 20,
                  depth: int = 4, seed: int = 7) -> DataFrame:
     """``pages`` with host, path, rule (or null) and verdict (block or allow).
@@ -102,21 +112,14 @@ def url_verdicts(pages: DataFrame, url_col: str = "url", rules=RULES, fit_rows:
     full = found.join(stats, found["_suffix"] == stats["_of"], "left")
     names = [c for c in found.columns if c not in (*FEATURES, "_said", "_suffix")]
 
-    url = F.col(f"`{url_col}`").cast("string")
-    picked = None
-    for verdict in ("block", "allow"):
-        some = (full.where(F.col("_said") == verdict)
-                .select((blocked.cast("double")).alias("label"), F.xxhash64(url).alias("_pick"), *FEATURES)
-                .orderBy("_pick", *FEATURES).limit(fit_rows))
-        picked = some if picked is None else picked.unionByName(some)
-    sample = written(picked.drop("_pick"), "url-sample")
+    sample = written(_sample(full, url_col, fit_rows), "url-sample")
     kinds = [r.label for r in sample.select("label").distinct().collect()]
     if len(kinds) < 2:
         other = F.lit("block" if kinds == [1.0] else "allow")
     else:
         features = VectorAssembler(inputCols=list(FEATURES), outputCol="_features")
         model = GBTClassifier(labelCol="label", featuresCol="_features", predictionCol="_prediction", maxIter=trees,
-                              maxDepth=depth, seed=seed).fit(features.transform(sample.repartition(1)))
+                              maxDepth=depth, seed=seed).fit(features.transform(sample.repartition(1).sortWithinPartitions("label", "_pick")))
         model = model.setRawPredictionCol("_raw").setProbabilityCol("_probability")
         full = model.transform(features.transform(full))
         other = F.when(F.col("_prediction") == 1.0, "block").otherwise("allow")

@@ -97,6 +97,16 @@ def test_url_trees_judge_unlabelled_urls_by_their_look(spark):
     assert len(free) == 200 and sum(free) >= 190
 
 
+def test_a_url_of_many_copies_is_one_row_of_the_sample(spark):
+    from pyspark.sql import functions as F
+    urls = [(v, f"http://{v}.test/{k}") for v in ("block", "allow") for k in range(30)] + [("block", "http://block.test/7")] * 500
+    full = spark.createDataFrame([*urls, (None, "http://free.test/")], "_said string, url string")
+    full = full.withColumns({f: F.length("url").cast("double") for f in urltrees.FEATURES})
+    for fit_rows, want in ((5, 5), (100, 30)):
+        got = urltrees._sample(full, "url", fit_rows).collect()
+        assert sorted(r.label for r in got) == [0.0] * want + [1.0] * want and len({r._pick for r in got}) == 2 * want
+
+
 def test_url_plan_has_no_python(spark):
     plan = urltrees.op4(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
