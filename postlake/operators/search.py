@@ -13,8 +13,9 @@ literal largest k.
 Approximate top-k (K2) is an IVF index: k-means cells over unit vectors, kept
 with their centroids as versioned snapshots; rows without a direction (zero
 vectors) stay in a reserved cell that every query probes.  Each query goes to
-its ``nprobe`` nearest cells, and the same cell-wise search runs there.  A
-query gets fewer than k hits if its probed cells hold fewer rows.
+its ``nprobe`` nearest cells, and the same cell-wise search runs there: the
+rows of an index cell are dealt to blocks and its queries to tiles, as many
+as their counts need, by keys that tell equal rows apart.  A query gets fewer than k hits if its probed cells hold fewer rows.
 
 Ordering everywhere: similarity descending, NULL (zero vector) last, then
 id ascending.  Similarities equal to ``TIE_DECIMALS`` places are ties (so
@@ -37,6 +38,8 @@ from postlake.sources.lake import latest_version, next_version, write_marker
 
 TIE_DECIMALS = 9
 ZERO_CELL = -1
+ROW_KEY = "_row"
+BLOCK_ROWS, MERGE_BLOCKS, SUB_BLOCKS = 4096, 16, 4
 
 
 def _unit_rows(vectors: list, dim: int) -> tuple[np.ndarray, np.ndarray]:
@@ -138,15 +141,27 @@ def knn(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "id",
 
 # ------------------------------------------------------------------ IVF (K2)
 
+def _blocks(sizes: dict[int, int], rows: int, least: int = 1) -> dict[int, int]:
+    """The number of parts of each cell that hold about ``rows`` rows at most."""
+    return {cell: max(least, math.ceil(n / rows)) for cell, n in sizes.items()}
+
+
+def _dealt(df: DataFrame, parts: dict[int, int], name: str, key: str) -> DataFrame:
+    """``df`` with the part of its cell that a hash of ``key`` deals each row to; as many parts as ``parts`` has for the cell."""
+    counts = F.broadcast(df.sparkSession.createDataFrame(list(parts.items()), "cell int, _parts long"))  # a row per cell
+    return df.join(counts, "cell").withColumn(name, F.pmod(F.xxhash64(key), "_parts").cast("int")).drop("_parts")
+
+
 def build_ivf(vectors: DataFrame, path: str, cells: int = 16, id_col: str = "id", vec_col: str = "embedding",
               seed: int = 42, max_iter: int = 20) -> str:
     """K2 index: k-means (cosine) over all vectors; returns the path of the new version,
-    with the rows by ``cell`` and the ``centroids`` (cells x dim numbers)."""
+    with the rows by ``cell``, the ``centroids`` (cells x dim numbers) and the ``sizes`` of the cells."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
     spark = vectors.sparkSession
     norm = F.aggregate(vec_col, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
-    data = materialise(vectors.withColumn("_norm", norm), "ivf")
+    # a key of its own for every row, fixed by the write: equal rows can be dealt apart
+    data = materialise(vectors.withColumns({"_norm": norm, ROW_KEY: F.monotonically_increasing_id()}), "ivf")
     full = data.where("_norm > 0").withColumn("_features", array_to_vector(F.col(vec_col)))
     where = f"{path}/v={next_version(spark, path)}"
     cached = full.select("_features").cache()
@@ -155,8 +170,12 @@ def build_ivf(vectors: DataFrame, path: str, cells: int = 16, id_col: str = "id"
     cached.unpersist()
     placed = model.transform(full).drop("_features").unionByName(
         data.where("_norm IS NULL OR NOT _norm > 0").withColumn("cell", F.lit(ZERO_CELL))).drop("_norm")
-    # dealt by cell and a hash: few files a cell, and a large cell in several tasks
-    (placed.repartition("cell", F.pmod(F.xxhash64(id_col), F.lit(4))).write.partitionBy("cell").parquet(f"{where}/rows"))
+    sizes = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n_rows")).collect()  # a row per cell
+    spark.createDataFrame(sizes, "cell int, n_rows long").write.parquet(f"{where}/sizes")
+    # dealt by cell and block: few files a cell, and a large cell in as many tasks as its rows need
+    blocks = _blocks({r.cell: r.n_rows for r in sizes}, BLOCK_ROWS * MERGE_BLOCKS, SUB_BLOCKS)
+    (_dealt(placed, blocks, "_block", ROW_KEY).repartition("cell", "_block").drop("_block")
+     .write.partitionBy("cell").parquet(f"{where}/rows"))
     centres = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
     spark.createDataFrame(centres, "cell int, centre array<double>").write.parquet(f"{where}/centroids")
     write_marker(spark, where)
@@ -165,8 +184,13 @@ def build_ivf(vectors: DataFrame, path: str, cells: int = 16, id_col: str = "id"
 
 def ivf_search(spark: SparkSession, index_path: str, queries: DataFrame, k: int = 10, nprobe: int = 4, id_col: str = "id",
                vec_col: str = "embedding", query_id: str = "query_id", query_vec: str = "embedding",
-               payload: Sequence[str] = (), sub_blocks: int = 4, block_rows: int = 4096, tile_queries: int = 1024) -> DataFrame:
-    """K2: approximate cosine top-k over the newest version, probing the ``nprobe`` nearest cells."""
+               payload: Sequence[str] = (), sub_blocks: int = SUB_BLOCKS, block_rows: int = BLOCK_ROWS, tile_queries: int = 1024,
+               merge_blocks: int = MERGE_BLOCKS) -> DataFrame:
+    """K2: approximate cosine top-k over the newest version, probing the ``nprobe`` nearest cells.
+
+    A cell is dealt to blocks of about ``block_rows * merge_blocks`` rows (``sub_blocks`` of them at least), its
+    queries to tiles of about ``tile_queries``: a group has a fixed bound whatever the table or its largest cell.
+    """
     where = f"{index_path}/v={latest_version(spark, index_path)}"
     payload = list(payload)
     rows = spark.read.parquet(f"{where}/rows").withColumn("cell", F.col("cell").cast("int"))
@@ -178,14 +202,21 @@ def ivf_search(spark: SparkSession, index_path: str, queries: DataFrame, k: int
         (dot(c["centre"], F.col("vector")) / F.sqrt(dot(c["centre"], c["centre"]))).alias("s"), (-c["cell"]).alias("cell"))),
         asc=False))
     probes = F.concat(F.transform(F.slice("_by", 1, nprobe), lambda c: -c["cell"]), F.array(F.lit(ZERO_CELL)))
-    there = near.select("query_id", "vector", "k", F.explode(probes).alias("cell"))
-    wanted = [r.cell for r in there.select("cell").distinct().collect()]  # at most the index's cells
-    block = F.pmod(F.xxhash64("id"), F.lit(sub_blocks)).cast("int")
-    here = (rows.where(F.col("cell").isin(wanted))  # prunes the folders of other cells
-            .select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vector"), "cell", *payload)
-            .withColumn("_block", block))
-    there = there.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(sub_blocks - 1))))
-    return _search(here, there, ["cell", "_block"], k, payload, id_col, rows.schema[id_col].dataType,
+    near = materialise(near.select("query_id", "vector", "k", probes.alias("cells")), "probes")
+    there = near.select("query_id", "vector", "k", F.explode("cells").alias("cell"))
+    probed = {r.cell: r["count"] for r in there.groupBy("cell").count().collect()}  # at most the index's cells
+    sizes = {r.cell: r.n_rows for r in spark.read.parquet(f"{where}/sizes").collect() if r.cell in probed}
+    blocks, tiles = _blocks(sizes, block_rows * merge_blocks, sub_blocks), _blocks(probed, tile_queries)
+    # a block of a cell meets a tile of its queries in one group; each side goes as often as the other has parts
+    counts = F.broadcast(spark.createDataFrame([(c, blocks[c], tiles[c]) for c in sizes], "cell int, _blocks int, _tiles int"))
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    here = (_dealt(rows.where(F.col("cell").isin(list(sizes)))  # prunes the folders of other cells
+                   .select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vector"), "cell", ROW_KEY, *payload),
+                   blocks, "_block", ROW_KEY)
+            .join(counts, "cell").withColumn("_tile", each("_tiles")).drop("_blocks", "_tiles", ROW_KEY))
+    there = (_dealt(there, {c: tiles[c] for c in sizes}, "_tile", "query_id")
+             .join(counts, "cell").withColumn("_block", each("_blocks")).drop("_blocks", "_tiles"))
+    return _search(here, there, ["cell", "_block", "_tile"], k, payload, id_col, rows.schema[id_col].dataType,
                    queries.schema[query_id].dataType, tile_queries, block_rows)
 
 

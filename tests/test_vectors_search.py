@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_MID
 from postlake.operators.embed import HashedBagOfWords, hashed_terms, hashed_vectors
+from postlake.operators import search
 from postlake.operators.search import build_ivf, ivf_search, knn, recall_at_k
 from postlake.sources.tables import read_table
 from postlake.sources.vectors import constraint_violations, read_vectors, upsert, upsert_snapshot
@@ -72,6 +73,31 @@ def test_ivf_recall_rebuild_and_zero_vector(spark, workdir):
     assert ivf_search(spark, workdir, q, k=1000, nprobe=2).where("query_id = 0").count() == 101
 
 
+def test_ivf_groups_are_bounded_in_a_cell_of_copies(spark, workdir, monkeypatch):
+    """Copies (some of one id) fill a cell, zero vectors another, and all queries probe them: no group outgrows its bound."""
+    rng = np.random.default_rng(2)
+    rows = [(i // 4 if i < 400 else i, [1.0, 0.0, 0.0]) for i in range(2400)] + [(i, [0.0] * 3) for i in range(3000, 4200)] + [
+        (i, rng.normal(size=3).tolist()) for i in range(5000, 5200)]
+    vecs = spark.createDataFrame(rows, "id bigint, embedding array<double>").repartition(3)
+    q = spark.createDataFrame([(i, rng.normal(size=3).tolist()) for i in range(60)], "query_id bigint, embedding array<double>")
+    exact = knn(vecs, q, k=7)
+    build_ivf(vecs, workdir, cells=3)
+    plain = search._cell
+
+    def bounded(kmax, payload, tile_queries, block_rows):
+        run = plain(kmax, payload, tile_queries, block_rows)
+
+        def checked(rows, queries):
+            assert len(rows) <= 2 * 16 * block_rows and len(queries) <= 3 * tile_queries, (len(rows), len(queries))
+            return run(rows, queries)
+        return checked
+
+    monkeypatch.setattr(search, "_cell", bounded)
+    found = ivf_search(spark, workdir, q, k=7, nprobe=3, sub_blocks=1, block_rows=8, tile_queries=10)
+    keys = ["query_id", "rank", "id"]
+    assert sorted(found.select(*keys).collect()) == sorted(exact.select(*keys).collect())
+
+
 def test_upsert_touches_only_its_buckets(spark, workdir):
     rows = [(i, f"t{i}", i) for i in range(200)] + [(None, "lost", 1)]
     ddl = "id bigint, title string, score int"
