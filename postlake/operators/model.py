@@ -26,7 +26,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -149,6 +149,29 @@ def fit(name: str, classifier, train: DataFrame, partitions: int = TRAIN_PARTITI
     return model
 
 
+def category_columns(model: FittedModel) -> DataFrame:
+    """M2: ``(feature, index, label)``, one row per one-hot column, numbered by the fitted indexer; written once."""
+    indexer = next(s for s in model.pipeline.stages if isinstance(s, StringIndexerModel))
+    out = None
+    for feature in schemas.CATEGORICAL_FEATURES:
+        labels = model.vocab.where(F.col("feature") == feature).select(F.col("mapped").alias(feature + CAT_SUFFIX)).distinct()
+        # a column that the frame lacks is passed over by the indexer
+        part = indexer.transform(labels).select(F.lit(feature).alias("feature"), F.col(f"{feature}{CAT_SUFFIX}_idx").cast("int").alias("index"),
+                                                F.col(feature + CAT_SUFFIX).alias("label"))
+        out = part if out is None else out.unionByName(part)
+    return materialise(out, "category-columns")
+
+
+def active_categories(model: FittedModel, features: DataFrame) -> DataFrame:
+    """``(id, feature, active)``, the label of the one-hot column that is set, or null; vectors stay sparse."""
+    found = model.pipeline.transform(model.encoded(features))
+    # the text of a sparse vector is (size,[indices],[values]): at most one index
+    at = {f: F.regexp_extract(F.col(f"{f}{CAT_SUFFIX}_ohe").cast("string"), r",\[(\d+)\],", 1) for f in schemas.CATEGORICAL_FEATURES}
+    pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.when(x != "", x).cast("int").alias("index")) for f, x in at.items()])
+    return (found.select("id", F.inline(pairs)).join(category_columns(model), ["feature", "index"], "left")
+            .select("id", "feature", F.col("label").alias("active")))
+
+
 def primitive_params(estimator) -> dict[str, str]:
     """Only primitive-valued parameters are recorded."""
     out = {}

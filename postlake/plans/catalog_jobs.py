@@ -235,23 +235,12 @@ r AS (SELECT id, 'domain' AS feature, CASE WHEN id % 7 = 0 THEN NULL ELSE domain
 SELECT r.id, r.feature, v.mapped AS active FROM r LEFT JOIN v USING (feature, category)""")
 def m2_one_hot(spark, sf_dir):
     """The active one-hot column of every story; unseen and null values have none, rare ones share one."""
-    from pyspark.ml.feature import StringIndexerModel
-    from pyspark.ml.functions import vector_to_array
-
-    from postlake.operators.model import CAT_SUFFIX, fit, random_forest
+    from postlake.operators.model import active_categories, fit, random_forest
     sp = materialise(_train_test(spark, sf_dir), "train-test")
     m = fit("tiny", random_forest(num_trees=1, max_depth=1), sp.where("split = 'train'"))
     odd = sp.withColumns({"domain": F.when(F.col("id") % 7 != 0, F.col("domain")),
                           "by_author": F.when(F.col("id") % 5 == 0, F.lit("nobody-ever")).otherwise(F.col("by_author"))})
-    indexer = next(s for s in m.pipeline.stages if isinstance(s, StringIndexerModel))
-    found = m.pipeline.transform(m.encoded(odd))
-    out = None
-    for feature, labels in zip(schemas.CATEGORICAL_FEATURES, indexer.labelsArray, strict=True):
-        at = F.array_position(vector_to_array(feature + CAT_SUFFIX + "_ohe"), 1.0)
-        part = found.select("id", F.lit(feature).alias("feature"),
-                            F.when(at > 0, F.element_at(F.array(*[F.lit(x) for x in labels]), at.cast("int"))).alias("active"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    return active_categories(m, odd)
 
 
 @register("d7_champion", f"""{_SPLIT_SQL}

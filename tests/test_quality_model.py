@@ -51,6 +51,28 @@ def test_fit_save_load_unseen(spark, workdir):
     assert 0.0 <= out.probability <= 1.0 and (out.model_name, out.model_stage) == ("random_forest", "candidate")
 
 
+def test_one_hot_labels_are_rows_not_literals(spark):
+    """No label stands in the plan, and no one-hot vector is made dense; names of any script get their own label back."""
+    from postlake.plans.catalog import QUERIES
+    out = QUERIES["m2_one_hot"](spark, SF_SMALL)
+    labels = {r.active for r in out.where("active IS NOT NULL").select("active").distinct().collect()} - {"no_url", "unknown", "__rare__"}
+    plan = out._jdf.queryExecution().analyzed().toString() + out._jdf.queryExecution().analyzed().toJSON()
+    assert len(labels) > 5 and not [x for x in labels if f'"value":"{x}"' in plan]
+    assert "vector_to_array" not in plan and "array_position" not in plan
+
+
+def test_active_categories_of_names_in_any_script(spark):
+    from postlake.operators.model import active_categories
+    feats = build_tabular_features(posts(spark, SF_SMALL)).drop("by_author", "domain")
+    name = F.concat(F.element_at(F.array(*[F.lit(x) for x in "a.b,\U0001f600,\uffee,[7],\u00e9".split(",")]),
+                                 F.pmod("id", F.lit(5)).cast("int") + 1), F.lit("-x"))
+    feats = materialise(feats.withColumns({"by_author": name, "domain": F.lit("one.org")}), "feats")
+    got = active_categories(fit("tiny", random_forest(num_trees=1, max_depth=1), feats), feats)
+    wanted = feats.select("id", F.lit("by_author").alias("feature"), F.col("by_author").alias("active")).unionByName(
+        feats.select("id", F.lit("domain").alias("feature"), F.col("domain").alias("active")))
+    assert got.count() == 2 * feats.count() and got.exceptAll(wanted).count() == 0
+
+
 def test_numbers_are_scaled_by_the_population(spark):
     feats = build_tabular_features(posts(spark, SF_SMALL))
     x = fit("tiny", random_forest(num_trees=1, max_depth=1), feats).encoded(feats)
