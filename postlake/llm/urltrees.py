@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postlake.llm.common import table, without, written
@@ -85,8 +85,10 @@ def _sample(full: DataFrame, url_col: str, fit_rows: int) -> DataFrame:
     """(label, _pick, features): the ``fit_rows`` different URLs of each verdict whose hashes are the smallest."""
     labelled = full.where("_said IS NOT NULL").select((F.col("_said") == "block").cast("double").alias("label"),
                                                       F.xxhash64(F.col(f"`{url_col}`").cast("string")).alias("_pick"), *FEATURES)
-    nth = F.row_number().over(Window.partitionBy("label").orderBy("_pick"))
-    picks = labelled.select("label", "_pick").distinct().withColumn("_nth", nth).where(F.col("_nth") <= fit_rows).drop("_nth")
+    different = labelled.select("label", "_pick").distinct()
+    # ordered limits: a task sends fit_rows picks of each verdict at most
+    least = lambda label: different.where(F.col("label") == label).orderBy("_pick").limit(fit_rows)
+    picks = least(0.0).unionByName(least(1.0))
     return labelled.join(F.broadcast(picks), ["label", "_pick"]).dropDuplicates(["label", "_pick"])
 
 

@@ -107,6 +107,18 @@ def test_a_url_of_many_copies_is_one_row_of_the_sample(spark):
         assert sorted(r.label for r in got) == [0.0] * want + [1.0] * want and len({r._pick for r in got}) == 2 * want
 
 
+def test_the_url_sample_is_limited_in_every_task(spark):
+    """At the registered 10,000 rows no window ranks all URLs of a verdict, and the picks are the smallest hashes."""
+    from pyspark.sql import functions as F
+    full = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, "block").otherwise("allow").alias("_said"), F.concat(
+        F.lit("http://a.test/"), F.col("id").cast("string")).alias("url"), *[F.lit(1.0).alias(f) for f in urltrees.FEATURES])
+    plan = urltrees._sample(full, "url", 10_000)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and plan.count("TakeOrderedAndProject") == 2
+    hashes = [(r.said, r.pick) for r in full.select(F.col("_said").alias("said"), F.xxhash64("url").alias("pick")).collect()]
+    want = {(float(v == "block"), p) for v in ("block", "allow") for p in sorted(p for s, p in hashes if s == v)[:40]}
+    assert {(r.label, r._pick) for r in urltrees._sample(full, "url", 40).collect()} == want
+
+
 def test_url_plan_has_no_python(spark):
     plan = urltrees.op4(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
