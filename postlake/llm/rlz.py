@@ -1,12 +1,13 @@
-"""Substring dedup by relative Lempel-Ziv parsing against a block index.
+"""Substring dedup by the first occurrence of word runs, from a block index.
 
-Every document is parsed against all documents with a smaller id.  The
+Every document is looked up in all documents with a smaller id.  The
 reference is an index of all runs of ``window`` words (a suffix index cut
 at that depth), split by key range into blocks; every batch of documents is
 looked up in every block that holds one of its keys.  A lookup returns the
-smallest document that holds the run.  The parse then takes, greedily from
-left to right, the longest factor that stays within one reference document;
-a factor is long enough if it spans ``window`` words.  Runs that straddle
+smallest document that holds the run.  This stands in for the longest-match
+parse of RLZ: neighbouring runs with the same smallest document are joined
+to a factor, whether or not they are neighbours in that document, so a
+longer match in a later document isn't found.  Runs that straddle
 the boundary between two factors are looked up like all others, so a
 repeated passage that two reference documents share between them isn't
 missed at the seam.
@@ -214,8 +215,9 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     a document with a smaller id; runs are judged on the input.  The result
     has the columns of ``docs``, the text without those words (and the gap
     after each; a text that loses none is unchanged), ``n_words`` and
-    ``n_removed`` (long) and ``factors``: the parse's long factors as
-    (start word, n_words, source_doc), where neighbours may overlap.
+    ``n_removed`` (long) and ``factors``: (start word, n_words, source_doc),
+    neighbouring removed runs of one first occurrence (see the module), where
+    neighbours may overlap.
 
     Null text: stays null, no words.  Texts of fewer words than ``window``
     lose none.  A null id sorts last: such a document never is a source.
