@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from postlake.llm import bitslice, bpe, chat, crf, ctph, cutbpe, fptree, pivotal, rlz, simhash, unigram, urltrees
+from postlake.llm import audit, bitslice, bpe, chat, crf, ctph, cutbpe, fptree, pivotal, rlz, simhash, unigram, urltrees
 
 QUERIES = {
     "op1_rlz_substring_dedup": rlz.op1,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_ctph": ctph.op8,
     "op9_unigram_counts": unigram.op9,
     "op10_bpe_replay": bpe.op10,
+    "op11_audit_repair": audit.op11,
     "op12_fp_tree_rank": fptree.op12,
     "op13_cut_bpe": cutbpe.op13,
 }
