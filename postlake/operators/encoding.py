@@ -35,22 +35,22 @@ def category_vocabulary(train: DataFrame, cols: Sequence[str], min_frequency: in
 
 
 def apply_vocabulary(df: DataFrame, vocab: DataFrame, cols: Sequence[str], suffix: str = "_cat",
-                     hot: Sequence[str] = ("no_url", "unknown")) -> DataFrame:
-    """Map each categorical column through the fitted vocabulary; NULL for a value it lacks.
+                     hot: Sequence[str] = ("no_url", "unknown"), value: str = "mapped") -> DataFrame:
+    """Map each categorical column through the fitted vocabulary (to its column ``value``); NULL for a value it lacks.
 
     ``hot`` values (those of rows without a URL or author), which may stand in
     most rows, are looked up as literals and keep out of the join.
     """
-    known = {(r.feature, r.category): r.mapped
+    known = {(r.feature, r.category): r[value]
              for r in vocab.where(F.col("category").isin(list(hot)) & F.col("feature").isin(list(cols))).collect()}
     out = df
     for c in cols:
-        v = vocab.where(F.col("feature") == c).select(F.col("category").alias("_category"), F.col("mapped").alias("_mapped"))
+        v = vocab.where(F.col("feature") == c).select(F.col("category").alias("_category"), F.col(value).alias("_mapped"))
         key = F.when(~F.col(c).isin(list(hot)), F.col(c))
         out = out.withColumn("_key", key).join(v, F.col("_key") == F.col("_category"), "left")
         mapped = F.col("_mapped")
-        for value in hot:
-            mapped = F.when(F.col(c) == value, F.lit(known.get((c, value)))).otherwise(mapped)
+        for common in hot:
+            mapped = F.when(F.col(c) == common, F.lit(known.get((c, common)))).otherwise(mapped)
         out = out.withColumn(c + suffix, mapped).drop("_key", "_category", "_mapped")
     return out
 

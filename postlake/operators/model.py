@@ -1,16 +1,15 @@
 """Training, evaluation, persistence and scoring (M1..M10) with MLlib.
 
-One fitted unit = the category vocabulary (rare values grouped, fitted on
-the train split) + mean and population std of the numbers + a
-``PipelineModel`` (string indexing with an extra last bucket for unseen
-values, sparse one-hot that drops this bucket, assembly, classifier).
-Unseen categories therefore encode as all zeros, rare ones share a column,
-and one-hot vectors stay sparse.
+One fitted unit = a ``PipelineModel`` of the feature encoder (see
+``preprocess``: vocabulary with rare values grouped, column indices, scaling,
+all fitted on the train split and kept as tables) and the classifier.  Unseen
+categories encode as all zeros, rare ones share a column, vectors stay sparse
+and no list of categories passes through the driver.
 
 Tree learners seed their sampling by partition, so the training rows are
-dealt by a hash of the id into ``partitions`` partitions, a parameter that
-neither the machine nor the number of rows changes, and sorted in them: the
-same data gives the same model on any cluster.
+dealt by a hash of the id into ``partitions`` partitions, a parameter or a
+function of the number of rows alone, and sorted in them: the same data gives
+the same model on any cluster.
 
 ``train_and_select`` fits every candidate on the same persisted train split,
 scores the test split once per candidate, evaluates all of them in one
@@ -21,27 +20,28 @@ Only one metrics row per model reaches the driver.
 from __future__ import annotations
 
 import json
+import math
 import uuid
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlake import schemas
 from postlake.functions import (domain, ends_with_question, has_url, title_length, to_class, word_count)
-from postlake.operators.encoding import apply_vocabulary, category_vocabulary, standard_stats, standardize
 from postlake.operators.metrics import champion, evaluate, metrics_long
+from postlake.operators.preprocess import FeatureEncoder, FeatureEncoderModel
 from postlake.operators.quality import gate_min_rows, gate_two_classes
 from postlake.operators.split import stratified_split
 from postlake.session import materialise
 from postlake.sources.lake import latest_version, resolve_first, versions, write_marker
 
-CAT_SUFFIX = "_cat"
 MIN_FREQUENCY = 5
+#: Train rows a partition holds, about, where the caller gives no number of partitions.
+ROWS_PER_PARTITION = 10_000
 
 
 def random_forest(seed: int = 42, num_trees: int = 200, max_depth: int = 12):
@@ -62,53 +62,35 @@ def default_candidates(seed: int = 42) -> list[tuple[str, object]]:
     return [("random_forest", random_forest(seed)), ("boosted_trees", boosted_trees(seed))]
 
 
-def _pipeline(classifier) -> Pipeline:
-    cats = [c + CAT_SUFFIX for c in schemas.CATEGORICAL_FEATURES]
-    idx = [c + "_idx" for c in cats]
-    ohe = [c + "_ohe" for c in cats]
-    return Pipeline(stages=[
-        StringIndexer(inputCols=cats, outputCols=idx, handleInvalid="keep", stringOrderType="alphabetAsc"),
-        # the indexer's bucket for unseen values is the last category: dropped, it leaves all zeros
-        OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True),
-        VectorAssembler(inputCols=schemas.NUMERIC_FEATURES + ohe, outputCol="features"),
-        classifier,
-    ])
-
-
 @dataclass
 class FittedModel:
-    """M4: vocabulary, number statistics and pipeline, fitted on the train split only."""
+    """M4: encoder and classifier as one pipeline, fitted on the train split only."""
     name: str
-    vocab: DataFrame
-    stats: DataFrame
     pipeline: PipelineModel
     stage: str = "candidate"
 
+    @property
+    def encoder(self) -> FeatureEncoderModel:
+        return self.pipeline.stages[0]
+
     def encoded(self, features: DataFrame) -> DataFrame:
-        """M2, M3: the input of the classifier beside the given columns."""
-        kept = [c for c in features.columns if c not in schemas.NUMERIC_FEATURES]
-        x = apply_vocabulary(features, self.vocab, schemas.CATEGORICAL_FEATURES, CAT_SUFFIX)
-        numbers = {c: F.col(c).alias("_given_" + c) for c in schemas.NUMERIC_FEATURES}
-        x = x.select(*[F.col(f"`{c}`") for c in x.columns if c in kept or c.endswith(CAT_SUFFIX)], *numbers.values(),
-                     *schemas.NUMERIC_FEATURES)
-        return standardize(x, self.stats, schemas.NUMERIC_FEATURES)
+        """M2, M3: the given columns, the index of each category and the classifier's input vector."""
+        return self.encoder.transform(features)
 
     def score(self, features: DataFrame, threshold: float = 0.5) -> DataFrame:
         """``probability`` of the positive class, ``prediction`` (p >= 0.5) and the model's identity."""
-        out = self.pipeline.transform(self.encoded(features))
+        out = self.pipeline.transform(features)
         p = vector_to_array("probability")[1]
-        given = [F.col("_given_" + c).alias(c) if c in schemas.NUMERIC_FEATURES else F.col(f"`{c}`") for c in features.columns]
-        return (out.select(*given, p.alias("probability")).withColumn("prediction", to_class("probability", threshold))
+        return (out.select(*[F.col(f"`{c}`") for c in features.columns], p.alias("probability"))
+                .withColumn("prediction", to_class("probability", threshold))
                 .withColumns({"model_name": F.lit(self.name), "model_stage": F.lit(self.stage)}))
 
     def save(self, root: str, stage: str | None = None) -> str:
-        """M8: ``<root>/<stage or name>/v=<n>`` holding ``vocab``, ``stats``, ``pipeline`` and the model's name."""
-        spark = self.vocab.sparkSession
+        """M8: ``<root>/<stage or name>/v=<n>`` holding the ``pipeline`` and the model's name."""
+        spark = SparkSession.active()
         base = f"{root}/{stage or self.name}"
         existing = versions(spark, base, complete_only=False)
         path = f"{base}/v={(existing[-1] + 1) if existing else 1}"
-        self.vocab.write.parquet(f"{path}/vocab")
-        self.stats.write.parquet(f"{path}/stats")
         spark.createDataFrame([(self.name, stage or self.stage)], "name string, stage string").write.parquet(f"{path}/meta")
         self.pipeline.write().overwrite().save(f"{path}/pipeline")
         write_marker(spark, path)
@@ -117,8 +99,7 @@ class FittedModel:
 
 def load_model(spark: SparkSession, path: str) -> FittedModel:
     meta = spark.read.parquet(f"{path}/meta").first()
-    return FittedModel(meta.name, spark.read.parquet(f"{path}/vocab"), spark.read.parquet(f"{path}/stats"),
-                       PipelineModel.load(f"{path}/pipeline"), meta.stage)
+    return FittedModel(meta.name, PipelineModel.load(f"{path}/pipeline"), meta.stage)
 
 
 def load_preferred(spark: SparkSession, root: str, preference: list[str]) -> FittedModel:
@@ -130,46 +111,37 @@ def load_preferred(spark: SparkSession, root: str, preference: list[str]) -> Fit
     return load_model(spark, f"{found}/v={latest_version(spark, found)}")
 
 
-TRAIN_PARTITIONS = 8
-
-
-def fit(name: str, classifier, train: DataFrame, partitions: int = TRAIN_PARTITIONS) -> FittedModel:
-    """M4: vocabulary and statistics, then the pipeline, on the train split only.
+def fit(name: str, classifier, train: DataFrame, partitions: int | None = None) -> FittedModel:
+    """M4: the encoder, then the classifier, on the train split only.
 
     ``partitions`` sets the parallelism of the fit and, with the data and the
-    seed, the model; choose it for the size of the train split.
+    seed, the model; unless given it follows from the number of train rows.
     """
     train = materialise(train.select("id", schemas.TARGET, *schemas.FEATURE_COLUMNS), "train")
-    vocab = materialise(category_vocabulary(train, schemas.CATEGORICAL_FEATURES, MIN_FREQUENCY), "vocab")
-    stats = materialise(standard_stats(train, schemas.NUMERIC_FEATURES), "stats")
-    model = FittedModel(name, vocab, stats, None)
-    x = model.encoded(train).repartition(partitions, "id").sortWithinPartitions("id", *train.columns[1:2]).cache()
-    model.pipeline = _pipeline(classifier).fit(x)
+    encoder = FeatureEncoder(minFrequency=MIN_FREQUENCY, outputCol="features").fit(train)
+    partitions = partitions or max(1, math.ceil(train.count() / ROWS_PER_PARTITION))
+    x = (encoder.transform(train).select("id", schemas.TARGET, "features").repartition(partitions, "id")
+         .sortWithinPartitions("id", schemas.TARGET).cache())
+    model = FittedModel(name, PipelineModel([encoder, classifier.fit(x)]))
     x.unpersist()
     return model
 
 
-def category_columns(model: FittedModel) -> DataFrame:
-    """M2: ``(feature, index, label)``, one row per one-hot column, numbered by the fitted indexer; written once."""
-    indexer = next(s for s in model.pipeline.stages if isinstance(s, StringIndexerModel))
-    out = None
-    for feature in schemas.CATEGORICAL_FEATURES:
-        labels = model.vocab.where(F.col("feature") == feature).select(F.col("mapped").alias(feature + CAT_SUFFIX)).distinct()
-        # a column that the frame lacks is passed over by the indexer
-        part = indexer.transform(labels).select(F.lit(feature).alias("feature"), F.col(f"{feature}{CAT_SUFFIX}_idx").cast("int").alias("index"),
-                                                F.col(feature + CAT_SUFFIX).alias("label"))
-        out = part if out is None else out.unionByName(part)
-    return materialise(out, "category-columns")
+def _between(low: int, high: int):
+    return lambda i: (i >= low) & (i < high)
 
 
 def active_categories(model: FittedModel, features: DataFrame) -> DataFrame:
-    """``(id, feature, active)``, the label of the one-hot column that is set, or null; vectors stay sparse."""
-    found = model.pipeline.transform(model.encoded(features))
-    # the text of a sparse vector is (size,[indices],[values]): at most one index
-    at = {f: F.regexp_extract(F.col(f"{f}{CAT_SUFFIX}_ohe").cast("string"), r",\[(\d+)\],", 1) for f in schemas.CATEGORICAL_FEATURES}
-    pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.when(x != "", x).cast("int").alias("index")) for f, x in at.items()])
-    return (found.select("id", F.inline(pairs)).join(category_columns(model), ["feature", "index"], "left")
-            .select("id", "feature", F.col("label").alias("active")))
+    """``(id, feature, active)``, the label of the column that is set in the feature's block of the vector, or null."""
+    encoder = model.encoder
+    at = F.unwrap_udt("features")["indices"]
+    pairs = []
+    for f in schemas.CATEGORICAL_FEATURES:
+        low, high = encoder.offset(f), encoder.offset(f) + encoder.widths[f]
+        mine = F.filter("_at", _between(low, high))
+        pairs.append(F.struct(F.lit(f).alias("feature"), (F.get(mine, F.lit(0)) - low).alias("index")))
+    found = model.encoded(features).select("id", at.alias("_at")).select("id", F.inline(F.array(*pairs)))
+    return found.join(encoder.columns(), ["feature", "index"], "left").select("id", "feature", F.col("label").alias("active"))
 
 
 def primitive_params(estimator) -> dict[str, str]:
@@ -193,7 +165,7 @@ def run_log_rows(spark: SparkSession, run_id: str, name: str, estimator, metrics
 
 
 def train_and_select(features: DataFrame, workdir: str, candidates=None, seed: int = 42,
-                     test_fraction: float = 0.2, partitions: int = TRAIN_PARTITIONS) -> dict:
+                     test_fraction: float = 0.2, partitions: int | None = None) -> dict:
     """M1 + M4..M10: gates, split, fit all, evaluate in one pass, keep the
     argmax, persist it, append the run log.  Returns a small summary."""
     spark = features.sparkSession
