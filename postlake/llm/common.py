@@ -137,7 +137,7 @@ _INVERSE = pow(_BASE, -1, 2**64)
 
 
 _powers_kept: list[np.ndarray] = []
-_KEEP = 1 << 23  # longer tables of powers, for longer texts, are made anew each time
+_KEEP = 1 << 21  # longer tables of powers, for longer texts, are made anew each time
 
 
 def _powers(n: int) -> list[np.ndarray]:

@@ -19,8 +19,11 @@ the blocks as byte planes (about 7 bytes a word); each block answers with
 one bit a key plus the source of those keys it knows from an earlier
 document; answers meet their batch in a shuffle by batch.  A run that stands
 in a third of all documents is one key per batch, so no block is hot.  A
-block holds words / blocks keys (about 40 bytes each while it works):
-``blocks``, the session's shuffle partitions unless given, sets its memory.
+block holds words / blocks keys (about 60 bytes each while it works):
+``blocks`` sets its memory; unless given it follows from the number of
+batches, so that a block holds the runs of about 16 MB of text, and is the
+session's shuffle partitions at least.  A batch takes about 60 bytes of memory
+a byte of its text; a longer text is a batch of its own.
 Keys are 64-bit hashes; two different runs among n collide with a
 probability of n * n / 2**65.
 """
@@ -42,6 +45,7 @@ WINDOW = 13
 FACTOR = ArrayType(StructType([StructField("start", IntegerType()), StructField("n_words", IntegerType()),
                                StructField("source_doc", LongType())]))
 _FACTOR_ARROW = pa.struct([("start", pa.int32()), ("n_words", pa.int32()), ("source_doc", pa.int64())])
+_BLOCK_BYTES = 16 << 20  # of text whose runs a block holds, about
 _MULTIPLIER = 0xD1342543DE82EF95
 ADDED = ("n_words", "n_removed", "factors")
 
@@ -62,16 +66,19 @@ def _runs(batch: pa.RecordBatch, id_col: str, text_col: str, window: int):
     starts, ends, doc = word_bounds(offsets, data)
     words = span_hashes(data, starts, ends)
     n = len(words) - window + 1
-    at = np.flatnonzero(doc[:n] == doc[window - 1:]) if n > 0 else np.zeros(0, np.int64)
+    at = np.flatnonzero(doc[:n] == doc[window - 1:]).astype(np.int32) if n > 0 else np.zeros(0, np.int32)
     value = np.zeros(max(n, 0), np.uint64)
     factor = 1
     for j in range(window if n > 0 else 0):
         value += words[j:j + n] * np.uint64(factor)
         factor = factor * _MULTIPLIER % 2**64
+    del words
     keys, inverse = np.unique(mix64(value[at]), return_inverse=True)
+    del value
+    inverse = inverse.astype(np.int32)
     ids, place = np.unique(_ids(batch.column(id_col)), return_inverse=True)
-    rank = np.full(len(keys), len(ids), np.int64)
-    np.minimum.at(rank, inverse, place[doc[at]])
+    rank = np.full(len(keys), len(ids), np.int32)
+    np.minimum.at(rank, inverse, place[doc[at]].astype(np.int32))
     return offsets, data, starts, ends, doc, at, inverse, keys, ids, rank, place
 
 
@@ -162,22 +169,25 @@ def _parse(batch: pa.RecordBatch, answers: list, id_col: str, text_col: str, win
     words = np.bincount(doc, minlength=n_docs)
     first_word = np.concatenate([[0], np.cumsum(words)])[:n_docs]
     fdoc, fstart, flen, fsource = _factors(doc[at], at, run_source, first_word, window)
-    cover = np.zeros(len(starts) + 1, np.int64)
+    del keys, inverse, run_source, marked, at, source
+    cover = np.zeros(len(starts) + 1, np.int32)
     begin = first_word[fdoc] + fstart if len(fdoc) else np.zeros(0, np.int64)
     np.add.at(cover, begin, 1)
     np.add.at(cover, begin + flen, -1)
-    gone = np.cumsum(cover[:-1]) > 0
+    gone = np.cumsum(cover[:-1], dtype=np.int32) > 0
+    del cover
 
     # cut each removed word and the gap after it, up to the document's next word
-    edge = np.zeros(len(data) + 1, np.int64)
+    edge = np.zeros(len(data) + 1, np.int8)  # a byte starts one gap and ends one at most
     if gone.any():
         last = np.ones(len(starts), bool)
         last[:-1] = doc[1:] != doc[:-1]
         to = np.where(last, ends, np.append(starts[1:], 0))
         np.add.at(edge, starts[gone], 1)
         np.add.at(edge, to[gone], -1)
-    keep = np.cumsum(edge[:-1]) == 0
-    removed_before = np.concatenate([[0], np.cumsum(~keep)])
+    keep = np.cumsum(edge[:-1], dtype=np.int8) == 0
+    del edge
+    removed_before = np.concatenate([[0], np.cumsum(~keep, dtype=np.int32)])
     text = string_array(offsets - removed_before[offsets], data[keep], batch.column(text_col).is_valid())
 
     counts = np.bincount(fdoc, minlength=n_docs)
@@ -208,7 +218,7 @@ def _finish(id_col: str, text_col: str, window: int, blocks: int):
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-                    blocks: int | None = None, batch_bytes: int = 4 << 20) -> DataFrame:
+                    blocks: int | None = None, batch_bytes: int = 1 << 20) -> DataFrame:
     """Remove passages that stand in a document with a smaller id.
 
     A word goes if it lies in a run of ``window`` words that also stands in
@@ -226,9 +236,9 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of the input are replaced.
     """
     spark = docs.sparkSession
-    blocks = blocks or parts(spark)
     docs = without(docs, *ADDED)
     stored = written(docs.mapInArrow(_pack(text_col, batch_bytes), "batch long, blob binary"), "rlz-batches")
+    blocks = blocks or max(parts(spark), -(-stored.count() * batch_bytes // _BLOCK_BYTES))
     asked = stored.mapInArrow(_ask(id_col, text_col, window, blocks), "block int, batch long, keys binary, ids binary")
     told = (asked.repartitionById(blocks, F.col("block"))
             .mapInArrow(_answer, "batch long, block int, blob binary, bits binary"))
