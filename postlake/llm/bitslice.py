@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from postlake.llm.common import table, written
+from postlake.llm.common import NO_ID, table, written
 
 K = 10
 SCALE = 1024
@@ -150,31 +150,83 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
 
 
-def _cell(k: int, slices: int):
+def _whole(x: float, scale: int) -> int:
+    scaled = x * scale
+    return math.floor(scaled) if math.isfinite(scaled) else int(x) * scale
+
+
+def wide_top_rows(rows: np.ndarray, row_keys: np.ndarray, row_ids: np.ndarray, queries: np.ndarray, query_keys: np.ndarray,
+                  k: int, scale: int):
+    """``top_rows`` for components of any finite size; scores are Python integers.
+
+    Doubles with a bound of their rounding pick the rows that can be among
+    the best (all of them where doubles overflow); these are scored exactly.
+    """
+    out = [], [], []
+    with np.errstate(over="ignore", invalid="ignore"):
+        r, asked = np.floor(rows * scale), np.floor(queries * scale)
+    numbers: dict[int, list[int]] = {}  # of rows, as they are needed
+    for q in range(len(queries)):
+        others = np.flatnonzero(row_keys != query_keys[q])
+        with np.errstate(over="ignore", invalid="ignore"):
+            near, size = r[others] @ asked[q], np.abs(r[others]) @ np.abs(asked[q])
+        if np.isfinite(size).all() and len(others) > k:
+            off = size * (2 * r.shape[1] + 4) * np.finfo(float).eps
+            low = np.partition(near - off, len(others) - k)[len(others) - k]
+            others = others[near + off >= low]
+        exact = [_whole(x, scale) for x in queries[q].tolist()]
+        scores = []
+        for j in others.tolist():
+            if j not in numbers:
+                numbers[j] = [_whole(x, scale) for x in rows[j].tolist()]
+            scores.append(sum(a * b for a, b in zip(numbers[j], exact, strict=True)))
+        for j in sorted(range(len(others)), key=lambda j: (-scores[j], row_ids[others[j]]))[:k]:
+            out[0].append(q)
+            out[1].append(others[j])
+            out[2].append(scores[j])
+    return np.array(out[0], np.int64), np.array(out[1], np.int64), out[2]
+
+
+def _order(score: int) -> bytes:
+    """Bytes that sort as the integers do."""
+    raw = abs(score).to_bytes((abs(score).bit_length() + 7) // 8, "big")
+    raw = len(raw).to_bytes(2, "big") + raw
+    return b"\x01" + raw if score >= 0 else b"\x00" + bytes(255 - b for b in raw)
+
+
+def _cell(k: int, slices: int, scale: int):
     def run(rows: pa.Table, queries: pa.Table) -> pa.Table:
-        found = [np.zeros(0, np.int64)] * 3
-        ids = rows.column("vec_id").to_numpy()
-        asked = queries.column("vec_id").to_numpy()
-        if len(ids) and len(asked):
+        q_at, r_at, scores, past, order = np.zeros(0, np.int64), np.zeros(0, np.int64), [], [], []
+        ids = rows.column("vec_id").fill_null(int(NO_ID)).to_numpy()
+        row_keys, keys = rows.column("key").to_numpy(), queries.column("key").to_numpy()
+        if len(ids) and len(keys):
             r, q = (_matrix(t.column("x").combine_chunks()) for t in (rows, queries))
-            found = top_rows(r, rows.column("key").to_numpy(), ids, q, queries.column("key").to_numpy(), k, slices)
-        keys = queries.column("key").to_numpy()
-        return pa.table({"query_key": pa.array(keys[found[0]], pa.int64()), "query_id": pa.array(asked[found[0]], pa.int64()),
-                         "vec_id": pa.array(ids[found[1]], pa.int64()), "score": pa.array(found[2], pa.int64())})
+            largest = [float(np.abs(m).max()) * scale + 1 for m in (r, q)]
+            if max(largest) < 2**31 and largest[0] * largest[1] * r.shape[1] < 2**62:
+                whole = [np.floor(m * scale).astype(np.int64) for m in (r, q)]
+                q_at, r_at, scores = top_rows(whole[0], row_keys, ids, whole[1], keys, k, slices)
+                past, order = np.zeros(len(scores), np.int32), [None] * len(scores)
+            else:
+                q_at, r_at, scores = wide_top_rows(r, row_keys, ids, q, keys, k, scale)
+                past = [1 if s >= 2**63 else -1 if s < -2**63 else 0 for s in scores]
+                order = [_order(s) if p else None for s, p in zip(scores, past, strict=True)]
+                scores = [min(max(s, -2**63), 2**63 - 1) for s in scores]
+        return pa.table({"query_key": pa.array(keys[q_at], pa.int64()), "query_id": queries.column("vec_id").take(pa.array(q_at)),
+                         "vec_id": rows.column("vec_id").take(pa.array(r_at)), "score": pa.array(scores, pa.int64()),
+                         "past": pa.array(past, pa.int32()), "order": pa.array(order, pa.binary())})
     return run
 
 
-def quantised(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = SCALE) -> DataFrame:
-    """(key, vec_id, x array<long>) with x = floor(scale * component); key tells rows of one id apart.
+def finite(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+    """(key, vec_id, x array<double>); key tells rows of one id apart.
 
-    Rows with a null id, a null or empty vector, or a null or non-finite
-    component, or one beyond 2**31 after scaling, are left out.
+    Rows with a null or empty vector, or a null or non-finite component, are
+    left out; a null id stays.
     """
     x = F.col(f"`{vector_col}`")
-    fine = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v.cast("double")) * float(scale) < float(2**31)))
-    return (vectors.where(F.col(f"`{id_col}`").isNotNull() & x.isNotNull() & (F.size(x) > 0) & fine)
-            .select(F.col(f"`{id_col}`").cast("long").alias("vec_id"),
-                    F.transform(x, lambda v: F.floor(v.cast("double") * float(scale)).cast("long")).alias("x"))
+    fine = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v.cast("double")) < float("inf")))
+    return (vectors.where(x.isNotNull() & (F.size(x) > 0) & fine)
+            .select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), x.cast("array<double>").alias("x"))
             .withColumn("key", F.monotonically_increasing_id()))
 
 
@@ -182,15 +234,18 @@ def top_k(vectors: DataFrame, is_query, k: int = K, id_col: str = "vec_id", vect
           scale: int = SCALE, slices: int = 9, block_rows: int = 4096, tile_queries: int = 4096) -> DataFrame:
     """(query_id, rank from 1, vec_id, score) of the ``k`` best rows of every query, by integer inner product.
 
-    Queries are the rows for which ``is_query`` (a Column of ``vec_id``)
-    holds; candidates are all rows but the query's own.  Equal scores go to
-    the smaller id.  Vectors as in ``quantised``; vectors of another length
-    than a query's have no score with it.  If ids repeat, each row is a
-    candidate, and each query row is a query, of its own; equal rows are
-    listed as often as they stand.  Fewer rows than ``k``: all of them.
-    Empty table or no query: no rows.
+    Components become floor(scale * component).  Queries are the rows for
+    which ``is_query`` (a Column of ``vec_id``) holds; candidates are all rows
+    but the query's own.  Equal scores go to the smaller id, null ids last.
+    Vectors as in ``finite``; vectors of another length than a query's have no
+    score with it.  If ids repeat, each row is a candidate, and each query row
+    is a query, of its own; equal rows are listed as often as they stand.
+    Fewer rows than ``k``: all of them.  Empty table or no query: no rows.
+    Cells whose scores could pass 64 bits are scored in integers of any size;
+    a score beyond 64 bits ranks by its true value and is returned as the
+    largest (or smallest) long.
     """
-    rows = written(quantised(vectors, id_col, vector_col, scale), "vectors").withColumn("size", F.size("x"))
+    rows = written(finite(vectors, id_col, vector_col), "vectors").withColumn("size", F.size("x"))
     asked = rows.where(is_query)
     n, n_asked = rows.count(), asked.count()
     blocks, tiles = max(1, math.ceil(n / block_rows)), max(1, math.ceil(n_asked / tile_queries))
@@ -198,9 +253,10 @@ def top_k(vectors: DataFrame, is_query, k: int = K, id_col: str = "vec_id", vect
     spread = rows.withColumn("block", block).withColumn("tile", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))))
     asking = asked.withColumn("tile", tile).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     found = (spread.groupBy("size", "block", "tile").cogroup(asking.groupBy("size", "block", "tile"))
-             .applyInArrow(_cell(k, slices), "query_key long, query_id long, vec_id long, score long"))
-    rank = F.row_number().over(Window.partitionBy("query_key").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+             .applyInArrow(_cell(k, slices, scale), "query_key long, query_id long, vec_id long, score long, past int, order binary"))
+    best = Window.partitionBy("query_key").orderBy(F.desc("past"), F.desc("order"), F.desc("score"), F.asc_nulls_last("vec_id"))
+    return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+            .select("query_id", "rank", "vec_id", "score"))
 
 
 def op3(spark, sf_dir: str) -> DataFrame:
@@ -208,11 +264,12 @@ def op3(spark, sf_dir: str) -> DataFrame:
 
 
 OP3_SQL = """
-WITH v AS (SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS x
+WITH v AS (SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::HUGEINT) AS x
            FROM embeddings
-           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
-s AS (SELECT q.row, q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score
-      FROM v q JOIN v c ON q.row <> c.row WHERE q.vec_id % 100 = 0),
-r AS (SELECT query_id, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s)
-SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 10
+           WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
+s AS (SELECT q.row, q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2])) AS score
+      FROM v q JOIN v c ON q.row <> c.row AND len(q.x) = len(c.x) WHERE q.vec_id % 100 = 0),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id NULLS LAST) AS rank, vec_id, score FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id,
+       least(greatest(score, -9223372036854775808::HUGEINT), 9223372036854775807::HUGEINT)::BIGINT AS score FROM r WHERE rank <= 10
 """
