@@ -163,7 +163,7 @@ class Vocabulary:
         """
         if len(sizes) == 0:
             return ids, sizes
-        n, live = len(sizes), np.arange(len(sizes))
+        ids, n, live = ids.copy(), len(sizes), np.arange(len(sizes))
         done_ids, done_at = [], []
         place = np.repeat(live, sizes)
         ranks = np.full(len(ids), _NONE)

@@ -47,6 +47,34 @@ def test_top_k_awkward_vectors(spark):
     assert bitslice.top_k(df.where("false"), F.col("vec_id") % 100 == 0).count() == 0
 
 
+def test_top_k_of_any_finite_size_matches_sql(spark, workdir):
+    """Components far beyond 32 bits, scores beyond 64, ties there, null ids: what SQL says."""
+    import duckdb
+
+    r = np.random.default_rng(2)
+    rows = [(0, [3e6, 1.0]), (1, [3e6, 1.0]), (2, [1.0, 1.0]), (None, [3e6, 2.0]), (3, [-3e6, 5.0]), (4, [2.0**40, 0.5]),
+            (100, [4e5] * 64), (101, [4e5] * 64), (102, [1.0] * 64), (103, [-4e5] * 64), (104, [4e5] * 63 + [4e5 + 1]), (None, [4e5] * 64),
+            (200, [2.0**52, -(2.0**51)]), (201, [2.0**52, -(2.0**51)]), (202, [float("inf"), 0.0])]
+    rows += [(1000 + k, [float(x) for x in r.normal(0, 10.0 ** int(r.integers(0, 9)), 2)]) for k in range(60)]
+    rows += [(2000 + k, [float(x) for x in r.normal(0, 4e5, 64)]) for k in range(40)]
+    spark.createDataFrame([(i, v, 0) for i, v in rows], "vec_id long, embedding array<double>, label int").coalesce(1).write.parquet(
+        f"{workdir}/embeddings.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{workdir}/embeddings.parquet/*.parquet')")
+    ok, said = compare(bitslice.op3(spark, workdir), con, bitslice.OP3_SQL)
+    assert ok, said
+    df = spark.read.parquet(f"{workdir}/embeddings.parquet").withColumns({c: F.lit("clash") for c in ("key", "x", "size", "block", "past", "order")})
+    split = bitslice.top_k(df, F.col("vec_id") % 100 == 0, block_rows=9, tile_queries=2)
+    ok, said = compare(split, con, bitslice.OP3_SQL)
+    assert ok, said
+
+
+def test_order_bytes_sort_as_integers():
+    r = np.random.default_rng(1)
+    some = [int(x) ** 7 for x in r.integers(-(10**9), 10**9, 300)] + [0, 1, -1, 255, 256, -255, -256, 2**64, -(2**64)]
+    assert sorted(some, key=bitslice._order) == sorted(some)
+
+
 def plain_url(url):
     url = url or ""
     at = url.find("://")
