@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from postlake import schemas
@@ -331,6 +332,35 @@ def job_ingest(spark, sf_dir):
     return read_snapshot(spark, layout.tabular)
 
 
+@register("job_from_ids", """
+WITH w AS (SELECT event_id AS id, row_number() OVER (ORDER BY value DESC, event_id) AS rank FROM events)
+SELECT id, CASE WHEN id % 11 = 0 THEN 'error' WHEN id % 7 = 0 THEN 'missing' ELSE 'item' END AS kind,
+       CASE WHEN id % 11 <> 0 AND id % 7 <> 0 THEN 2 * id END AS score,
+       CASE WHEN id % 11 <> 0 AND id % 7 <> 0 THEN CAST(id % 3 > 0 AS INTEGER) END AS is_story
+FROM w WHERE rank <= 500""")
+def job_from_ids(spark, sf_dir):
+    """The hourly job from a ranked id list: curated items, whether they have features, failures, ids without an item."""
+    from postlake.plans import jobs
+    from postlake.sources.lake import Layout, read_snapshot
+
+    def fetch(i):
+        if i % 11 == 0:
+            raise ValueError(f"bad {i}")
+        return None if i % 7 == 0 else {"id": i, "type": "story" if i % 3 else "job", "title": f"Item {i}", "time": 1_700_000_000 + i, "score": 2 * i}
+
+    order = F.row_number().over(Window.orderBy(F.desc("value"), F.asc("event_id")))
+    first = read_table(spark, sf_dir, "events").select("event_id", "value").orderBy(F.desc("value"), F.asc("event_id")).limit(600)
+    ranked = first.select(F.col("event_id").alias("id"), order.alias("rank"))
+    layout = Layout(scratch_dir(spark, "lake"))
+    _, errors, missing = jobs.ingest_ids(spark, layout, ranked, fetch, "2024-01-01", "07", limit=500)
+    none = lambda kind: F.lit(None).cast(kind)
+    tabular = read_snapshot(spark, layout.tabular).select("id", F.lit(1).alias("is_story"))
+    items = read_snapshot(spark, layout.curated).join(tabular, "id", "left").select(
+        "id", F.lit("item").alias("kind"), "score", F.coalesce("is_story", F.lit(0)).alias("is_story"))
+    return (items.unionByName(errors.select("id", F.lit("error").alias("kind"), none("long").alias("score"), none("int").alias("is_story")))
+            .unionByName(missing.select("id", F.lit("missing").alias("kind"), none("long").alias("score"), none("int").alias("is_story"))))
+
+
 @register("m9_predict", f"""{_CURATED}
 SELECT id, 1 AS p_in_range, 1 AS class_ok, 'random_forest' AS model_name, 'champion' AS model_stage, CAST(NULL AS VARCHAR) AS reasons
 FROM posts WHERE title IS NOT NULL AND id % 26 <= 23 AND id % 8 <= 6
@@ -370,4 +400,19 @@ def p16_search_hits(spark, sf_dir):
     jobs.index_daily(spark, layout)
     requests = read_table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"),
                                                              (F.lit(1) + F.pmod("item_id", F.lit(5))).cast("int").alias("k"))
-    return jobs.search(spark, layout, requests)[0]
+    return jobs.search(spark, layout, requests, exact=True)[0]
+
+
+@register("k3_indexed_search", f"""{_CURATED}, t AS ({Q.text_sql('posts')})
+SELECT (SELECT count(*) FROM benchmark) * least(10, (SELECT count(*) FROM t)) AS n_exact, 1 AS enough, 1 AS same_similarity""")
+def k3_indexed_search(spark, sf_dir):
+    """K2, K3: the batch search through the daily job's index finds 0.9 of the exact hits, with their exact similarities."""
+    from postlake.operators.search import recall_at_k
+    jobs, layout = _layout(spark, sf_dir)
+    jobs.index_daily(spark, layout)
+    requests = read_table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"), F.lit(10).alias("k"))
+    found, exact = (materialise(jobs.search(spark, layout, requests, exact=e)[0], "hits") for e in (False, True))
+    both = found.alias("a").join(exact.alias("b"), ["query_id", "id"])
+    differ = both.where(F.abs(F.col("a.similarity") - F.col("b.similarity")) > 1e-9).count()
+    return exact.agg(F.count(F.lit(1)).alias("n_exact"), F.lit(int(recall_at_k(found, exact) >= 0.9)).alias("enough"),
+                     F.lit(int(differ == 0)).alias("same_similarity"))

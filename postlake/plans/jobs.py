@@ -10,50 +10,95 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlake import schemas
+from postlake.operators import ann
 from postlake.operators.curate import curate
 from postlake.operators.embed import HASHED_MODEL_NAME, encode_frame, encoding_log, hashed_vectors
 from postlake.operators.features import build_tabular_features, build_text_features, model_input
 from postlake.operators.model import load_preferred, request_features, train_and_select
 from postlake.operators.quality import gate_not_empty, search_hits, split_valid, validate_predict, validate_search
 from postlake.operators.search import knn
-from postlake.sources.ingest import require_rows
-from postlake.sources.lake import Layout, merge_snapshot, prune_versions, read_raw, read_snapshot, write_hour, write_snapshot
+from postlake.session import materialise
+from postlake.sources.ingest import hydrate, missing_ids, require_rows, split_errors, top_ids
+from postlake.sources.lake import (Layout, changed_rows, latest_version, mark_value, merge_snapshot, prune_versions, read_raw,
+                                   read_snapshot, write_hour, write_snapshot)
 from postlake.sources.vectors import constraint_violations, read_vectors, upsert_snapshot
 
+HIT_COLUMNS = ["title", "url", "score", "by_author"]
 MODEL_PREFERENCE = ["champion", "boosted_trees", "random_forest"]
 
 
 def ingest_hour(spark: SparkSession, layout: Layout, items: DataFrame, dt: str, hr: str, keep: int = 3,
                 buckets: int = 16) -> dict[str, int]:
-    """Hourly: land the fetched items, merge them into their buckets of the curated snapshot, derive both feature layers.
+    """Hourly: land the fetched items, merge them into their buckets of the curated snapshot, bring both feature layers up to it.
 
-    Returns the versions written.  Running an hour again replaces its raw
-    rows and merges the same best rows.
+    A feature layer takes over the rows that changed since the curated
+    version it was derived from, which its version names; a row that has no
+    features any more leaves it, and buckets without a change keep their
+    files.  Returns the versions written.  Running an hour again replaces its
+    raw rows and merges the same best rows.
     """
     write_hour(require_rows(items, f"hour {dt} {hr}"), layout.raw, dt, hr)
     landed = read_raw(spark, layout.raw, dt, hr).drop("dt", "hr")
     out = {"curated": merge_snapshot(layout.curated, landed, "id", curate, buckets, keep_versions=keep)}
-    curated = read_snapshot(spark, layout.curated)
-    out["tabular"] = write_snapshot(build_tabular_features(curated), layout.tabular)
-    out["text"] = write_snapshot(build_text_features(curated), layout.text)
-    for root in (layout.tabular, layout.text):
-        prune_versions(spark, root, keep)
+    for name, root, build in (("tabular", layout.tabular, build_tabular_features), ("text", layout.text, build_text_features)):
+        out[name] = _follow(spark, layout.curated, out["curated"], root, build, buckets, keep)
     return out
 
 
+_FROM, _GONE = "_curated-", "_gone"
+
+
+def _replaced(existing: DataFrame | None, batch: DataFrame) -> DataFrame:
+    if existing is None:
+        return batch
+    return existing.join(batch.select("id"), "id", "left_anti").unionByName(batch, allowMissingColumns=True)
+
+
+def _follow(spark: SparkSession, source: str, version: int, root: str, build, buckets: int, keep: int) -> int:
+    """Merge the features of the rows that changed in ``source`` into ``root``; returns its version."""
+    since = mark_value(spark, root, _FROM)
+    rows, left = changed_rows(spark, source, since, until=version)
+    rows = materialise(rows, "changed")
+    features = build(rows)
+    keys = rows.select("id").unionByName(left)
+    if since is None and latest_version(spark, root) is not None:  # a layer of unknown origin: any of its rows may be out of date
+        keys = keys.unionByName(read_snapshot(spark, root).select("id"))
+    without = keys.distinct().join(features.select("id"), "id", "left_anti")
+    batch = materialise(features.withColumn(_GONE, F.lit(False)).unionByName(without.withColumn(_GONE, F.lit(True)), allowMissingColumns=True), "features")
+    written = merge_snapshot(root, batch, "id", _replaced, buckets, keep_versions=keep, mark=f"{_FROM}{version}", gone=_GONE)
+    return write_snapshot(features.where("false"), root) if written is None else written
+
+
+def ingest_ids(spark: SparkSession, layout: Layout, ranked: DataFrame, fetch, dt: str, hr: str, limit: int | None = 100,
+               partitions: int | None = None, **options) -> tuple[dict[str, int], DataFrame, DataFrame]:
+    """Hourly, from the ranked id list: the first ``limit`` ids are fetched once, failures set aside, the rest ingested.
+
+    Returns (versions, errors (id, error), ids without an item).  ``options``
+    go to ``hydrate``.
+    """
+    wanted = materialise(top_ids(ranked, limit).select("id"), "wanted")
+    fetched = materialise(hydrate(wanted, fetch, partitions, **options), "fetched")
+    items, errors = split_errors(fetched)
+    return ingest_hour(spark, layout, items, dt, hr), errors, missing_ids(wanted, fetched)
+
+
 def train_daily(spark: SparkSession, layout: Layout, candidates=None, **options) -> dict:
     """Daily: gates, split, all candidates, evaluation, champion and run record under the layout's roots."""
     return train_and_select(read_snapshot(spark, layout.tabular), layout.root, candidates, **options)
 
 
-def index_daily(spark: SparkSession, layout: Layout, dim: int = 384) -> dict:
-    """Daily: gate, encode, reject rows that break a constraint, upsert, run record."""
+def index_daily(spark: SparkSession, layout: Layout, dim: int = 384, keep: int = 2) -> dict:
+    """Daily: gate, encode, reject rows that break a constraint, upsert, run record, search index over the encoder's rows."""
     texts = read_snapshot(spark, layout.text)
     gate_not_empty(texts)
     vectors, run_id, report = encode_frame(texts, dim=dim)
     bad = constraint_violations(vectors, dim=dim).select("id").distinct()
     written = upsert_snapshot(layout.vectors, vectors.join(bad, "id", "left_anti"))
     encoding_log(spark, run_id, report).write.mode("append").parquet(layout.runs)
+    model = vectors.select("model_name").first().model_name  # one encoder a run
+    index = f"{layout.index}/{model}"
+    ann.build_index(read_vectors(spark, layout.vectors).where(F.col("model_name") == model), index, payload=HIT_COLUMNS)
+    prune_versions(spark, index, keep)
     return report | {"run_id": run_id, "n_written": written}
 
 
@@ -68,10 +113,17 @@ def predict(spark: SparkSession, layout: Layout, requests: DataFrame) -> tuple[D
 
 
 def search(spark: SparkSession, layout: Layout, requests: DataFrame, model_name: str = HASHED_MODEL_NAME,
-           dim: int = 384) -> tuple[DataFrame, DataFrame]:
-    """Batch search: (hits of the valid requests, rejects).  Only vectors of the query's encoder are compared."""
+           dim: int = 384, exact: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Batch search: (hits of the valid requests, rejects).  Only vectors of the query's encoder are compared.
+
+    Searches the index of the last daily job at the number of cells that the
+    index measured; ``exact``, or an encoder without an index, compares every
+    vector.
+    """
     valid, rejected = split_valid(validate_search(requests))
-    vectors = read_vectors(spark, layout.vectors).where(F.col("model_name") == model_name)
     queries = hashed_vectors(valid.select("query_id", "query", "k"), "query", dim)
-    payload = ["title", "url", "score", "by_author"]
-    return search_hits(knn(vectors, queries, k_col="k", payload=payload)), rejected
+    index = f"{layout.index}/{model_name}"
+    if exact or latest_version(spark, index) is None:
+        vectors = read_vectors(spark, layout.vectors).where(F.col("model_name") == model_name)
+        return search_hits(knn(vectors, queries, k_col="k", payload=HIT_COLUMNS)), rejected
+    return search_hits(ann.search(spark, index, queries, k_col="k", payload=HIT_COLUMNS)), rejected

@@ -59,6 +59,10 @@ class Layout:
     def vectors(self) -> str:
         return f"{self.root}/vectors"
 
+    @property
+    def index(self) -> str:
+        return f"{self.root}/index"
+
     @property
     def models(self) -> str:
         return f"{self.root}/models"
@@ -262,7 +266,8 @@ def _read_folders(reader, root: str, folders) -> DataFrame:
 
 
 def merge_snapshot(root: str, batch: DataFrame, key: str, merge: Callable[[DataFrame | None, DataFrame], DataFrame],
-                   buckets: int = 16, files: int = 1, keep_versions: int = 3, mark: str | None = None) -> int | None:
+                   buckets: int = 16, files: int = 1, keep_versions: int = 3, mark: str | None = None,
+                   gone: str | None = None) -> int | None:
     """The next version: ``merge(rows of the same keys' buckets, batch)`` in place of the buckets that the batch touches.
 
     ``merge(None, batch)`` reduces the batch by itself; ``merge`` must work
@@ -275,7 +280,8 @@ def merge_snapshot(root: str, batch: DataFrame, key: str, merge: Callable[[DataF
 
     Returns the version, or None if the batch is empty and there is none yet
     or nothing to mark.  ``mark`` names a file that stands in the version as
-    soon as readers see it.  Folders that none of the newest
+    soon as readers see it.  ``gone`` names a boolean column of the merged
+    rows: rows that have it set are left out, and the column isn't kept.  Folders that none of the newest
     ``keep_versions`` versions lists are dropped; one writer per root.
     """
     spark = batch.sparkSession
@@ -297,13 +303,19 @@ def merge_snapshot(root: str, batch: DataFrame, key: str, merge: Callable[[DataF
         run = f"run-{uuid.uuid4().hex[:12]}"
         if rewrite:
             merged = fresh if old is None else merge(old, fresh)
+            if gone:
+                merged = merged.where(~F.coalesce(gone, F.lit(False))).drop(gone)
             # dealt by bucket and a hash of ``files`` values: few files a bucket, each in a task of its own
             (merged.withColumn("_bucket", bucket)
                    .repartition(shuffle_partitions(spark), "_bucket", F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(1)), F.lit(files)))
                    .write.partitionBy("_bucket").parquet(f"{root}/{run}"))
             fs, p, _ = _fs(spark, f"{root}/{run}")
             names = [st.getPath().getName() for st in fs.listStatus(p)]
-            known |= {int(x.split("=")[1]): f"{run}/{x}" for x in names if x.startswith("_bucket=")}
+            known = {b: f for b, f in known.items() if b not in touched} | {
+                int(x.split("=")[1]): f"{run}/{x}" for x in names if x.startswith("_bucket=")}
+            if not known:  # no row is left: an empty bucket holds the columns
+                merged.where("false").write.parquet(f"{root}/{run}/_bucket=0")
+                known = {0: f"{run}/_bucket=0"}
     finally:
         fresh.unpersist()
     version = next_version(spark, root)
@@ -318,6 +330,43 @@ def merge_snapshot(root: str, batch: DataFrame, key: str, merge: Callable[[DataF
     return version
 
 
+def changed_rows(spark: SparkSession, root: str, since: int | None, key: str = "id",
+                 until: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """The change feed between two versions: (rows that are new or differ, keys that are gone).
+
+    Only the buckets whose folder differs are read.  Without ``since``, or if
+    that version isn't there any more, or one of the two isn't in the same
+    buckets, every row counts as changed and no key as gone.
+    """
+    until = latest_version(spark, root) if until is None else until
+    after = _bucket_list(spark, root, until)
+    before = _bucket_list(spark, root, since) if since is not None and since in versions(spark, root) else None
+    whole = read_snapshot(spark, root, version=until)
+    if before is None or after is None or before["buckets"] != after["buckets"]:
+        return whole, whole.where("false").select(key)
+    differ = [b for b in {*before["folders"], *after["folders"]} if before["folders"].get(b) != after["folders"].get(b)]
+    new, old = ([x["folders"][b] for b in differ if b in x["folders"]] for x in (after, before))
+    rows = _read_folders(spark.read, root, new) if new else whole.where("false")
+    if not old:
+        return rows, rows.where("false").select(key)
+    past = _read_folders(spark.read, root, old)
+    past = past.select(*[F.col(f"`{c}`") for c in past.columns], *[F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema if f.name not in past.columns])
+    same = rows[key].eqNullSafe(past[key])
+    for c in rows.columns:
+        same &= rows[c].eqNullSafe(past[c])
+    return rows.join(past, same, "left_anti"), past.join(rows, past[key].eqNullSafe(rows[key]), "left_anti").select(key)
+
+
+def mark_value(spark: SparkSession, root: str, prefix: str) -> int | None:
+    """The number behind ``prefix`` in the name of a mark of the newest version."""
+    version = latest_version(spark, root)
+    if version is None:
+        return None
+    fs, p, _ = _fs(spark, f"{root}/v={version}")
+    names = [st.getPath().getName() for st in fs.listStatus(p)]
+    return next((int(x[len(prefix):]) for x in names if x.startswith(prefix)), None)
+
+
 def resolve_first(spark: SparkSession, candidates: list[str]) -> str | None:
     """The first candidate root that has a complete version."""
     for root in candidates:
