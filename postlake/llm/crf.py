@@ -5,9 +5,9 @@ of the lines before and after it; a transition table ties neighbouring
 labels.  Forward-backward marginals, weighted by line length, average to the
 document's quality.
 
-The field is fitted on the driver on a bounded sample (``FIT_DOCS``
-documents of at most ``FIT_LINES`` lines, picked by a hash of the id): a
-labelled document gives its label to its lines; Adam climbs the conditional
+The field is fitted on the driver on a bounded sample (``fit_docs``
+documents, picked by a hash of the id, and of a longer one a run of
+``fit_lines`` lines that begins at a hash of the id): a labelled document gives its label to its lines; Adam climbs the conditional
 likelihood.  Plan of the scoring: one scan without shuffle; features are
 byte counts per line by numpy, the recursions run over all documents of a
 batch at once.  The fitted field is a few hundred numbers.
@@ -189,20 +189,33 @@ def score_texts(field: Field, offsets: np.ndarray, data: np.ndarray) -> np.ndarr
     return np.clip(np.add.reduceat(p * weight, first) / np.add.reduceat(weight, first), 0, 1)
 
 
-def _features(text_col: str):
+def _run_of(own: np.ndarray, doc_id: int, fit_lines: int) -> np.ndarray:
+    """The lines of a document that are fitted: all, or a run of ``fit_lines`` that its id picks."""
+    spare = len(own) - fit_lines
+    if spare <= 0:
+        return own
+    at = int(mix64(np.array([doc_id], np.int64).view(np.uint64))[0] % np.uint64(spare + 1))
+    return own[at:at + fit_lines]
+
+
+def _features(text_col: str, fit_lines: int):
     def run(batches):
         for batch in batches:
             for piece in pieces(batch, text_col, _PIECE):
                 own, _, first, count = line_features(*utf8(piece.column(text_col)))
-                rows = [own[a:a + c].tobytes() if c <= FIT_LINES else None for a, c in zip(first, count, strict=True)]
+                ids = piece.column("doc_id").cast(pa.int64()).to_pylist()
+                rows = [_run_of(own[a:a + c], i, fit_lines).tobytes() for i, a, c in zip(ids, first, count, strict=True)]
                 yield pa.record_batch({"doc_id": piece.column("doc_id"), "quality": piece.column("quality"),
                                        "lines": pa.array(rows, pa.binary())})
     return run
 
 
-def fit(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS, steps: int = STEPS) -> Field:
+def fit(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS, steps: int = STEPS,
+        fit_lines: int = FIT_LINES) -> Field:
     """A field from ``docs`` (doc_id, text) and ``labels`` (doc_id, quality), a row each of the sample.
 
+    At most ``fit_docs`` x ``fit_lines`` lines (56 bytes each) reach the driver.
+
     Labels of one document are averaged and rounded (a half is good); null
     labels and ids are left out.  Without any label every score is one half;
     with one kind of label the field leans to that one.
@@ -212,7 +225,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS, steps: int
             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_docs))
     found = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").select("doc_id", "quality", "text")
     schema = with_fields(found.select("doc_id", "quality").schema, ("lines", BinaryType()))
-    rows = (found.mapInArrow(_features("text"), schema).where("lines IS NOT NULL")
+    rows = (found.mapInArrow(_features("text", fit_lines), schema)
             .orderBy(F.xxhash64("doc_id"), "doc_id", "lines").limit(fit_docs).collect())
     own = [np.frombuffer(r.lines, np.float32).reshape(-1, N_FEATURES) for r in rows]
     return fit_field(np.concatenate(own) if own else np.zeros((0, N_FEATURES), np.float32),
