@@ -4,13 +4,17 @@ A rolling hash over the last seven bytes ends a chunk wherever it hits a
 value that is as likely as one in ``size`` bytes; each chunk gives one of 64
 characters.  A fingerprint is ``size:chunks at size:chunks at 2 * size``,
 with ``size`` = 3 * 2**k, the smallest that gives 64 chunks or fewer on
-average (halved while a monotonous text gives fewer than ``SHORTEST``).  Two fingerprints are compared at the chunk size they share: the
+average (halved while a monotonous text gives fewer than ``SHORTEST``).  A run
+of one character keeps ``RUN`` of it, and the size grows while a signature is
+still longer than ``LONGEST``, so a comparison has a bound whatever the texts.
+Two fingerprints are compared at the chunk size they share: the
 likeness is 1 - edit distance / longer length, or 0 if they share no size or
 no run of ``COMMON`` characters (half of a shorter signature).
 
 The edited text takes the head of the next document, so neighbours by id
-have to meet: ids are cut into ranges at quantiles, every text goes to its
-range in one shuffle, and the first text of each range goes to the range
+have to meet: ids are cut into ranges at quantiles (an id, or no id, that holds several
+quantiles into ranges of its rows' text hashes), every text goes to its range
+in one shuffle, and the first text of each range goes to the range
 before it as well (as many extra rows as there are ranges).  A task streams
 its sorted rows and holds two texts at a time.
 """
@@ -32,6 +36,8 @@ REACH = 7  # bytes that the rolling hash sees
 TARGET = 64  # chunks on average, at most
 COMMON = 4
 SHORTEST = 16
+RUN = 3
+LONGEST = 4 * TARGET
 _STEP = np.uint64(0x100000001B3)
 
 
@@ -40,7 +46,10 @@ def _signature(data: np.ndarray, rolling: np.ndarray, size: int) -> str:
     if len(ends) == 0 or ends[-1] != len(data):
         ends = np.append(ends, len(data))
     starts = np.concatenate([[0], ends[:-1]])
-    return _ALPHABET[(span_hashes(data, starts, ends) >> np.uint64(58)).astype(np.int64)].tobytes().decode()
+    number = (span_hashes(data, starts, ends) >> np.uint64(58)).astype(np.int64)
+    place = np.arange(len(number))
+    run = np.maximum.accumulate(np.where(np.concatenate([[True], number[1:] != number[:-1]]), place, 0))
+    return _ALPHABET[number[place - run < RUN]].tobytes().decode()
 
 
 def fingerprint(text: str | None) -> str:
@@ -56,11 +65,14 @@ def fingerprint(text: str | None) -> str:
     for k in range(REACH):
         rolling = rolling * _STEP + wide[k:k + len(data)]
     rolling = mix64(rolling) >> np.uint64(20)
-    first = _signature(data, rolling, size)
+    first, second = _signature(data, rolling, size), _signature(data, rolling, 2 * size)
     while size > 3 and len(first) < SHORTEST:
         size //= 2
-        first = _signature(data, rolling, size)
-    return f"{size}:{first}:{_signature(data, rolling, 2 * size)}"
+        first, second = _signature(data, rolling, size), first
+    while max(len(first), len(second)) > LONGEST:  # ends, as no hash hits a size beyond its range
+        size *= 2
+        first, second = second, _signature(data, rolling, 2 * size)
+    return f"{size}:{first}:{second}"
 
 
 def edit_distance(a: str, b: str) -> int:
@@ -136,15 +148,43 @@ def _stream(batches):
         yield out(done)
 
 
-def _deal(cuts: list[int], extra: dict[tuple, int], text: bool):
+class Ranges:
+    """Ranges of (id, mark) in order: up to each cut, then, for a cut that holds several quantiles, parts of its marks;
+    the rows without an id come last, in parts of their marks as well."""
+
+    def __init__(self, quantiles: list[int], nulls: int):
+        self.cuts, times = np.unique(np.array(quantiles, np.int64), return_counts=True)
+        self.ways = np.where(times > 1, times, 0)  # parts of a hot id's marks
+        self.first = np.concatenate([[0], np.cumsum(1 + self.ways)])
+        self.nulls = max(1, nulls)
+
+    def __len__(self) -> int:
+        return int(self.first[-1]) + 1 + self.nulls
+
+    def of(self, ids: pa.Array, marks: np.ndarray) -> np.ndarray:
+        none = ids.is_null().to_numpy(zero_copy_only=False)
+        given = ids.fill_null(0).to_numpy(zero_copy_only=False)
+        at = np.searchsorted(self.cuts, given)
+        share = (marks >> 32) + (1 << 31)  # 0 to 2**32 in the order of the marks
+
+        def part(ways):
+            return share * ways >> 32
+
+        out = self.first[at]
+        if len(self.cuts):
+            near = np.minimum(at, len(self.cuts) - 1)
+            hot = (at < len(self.cuts)) & (self.cuts[near] == given) & (self.ways[near] > 0)
+            out = np.where(hot, out + 1 + part(self.ways[near]), out)
+        return np.where(none, self.first[-1] + 1 + part(self.nulls), out)
+
+
+def _deal(ranges: Ranges, extra: dict[tuple, int], text: bool):
     """Rows with the range of their id; the first rows of a range also go, marked, to the range before."""
-    edges = np.array(cuts, np.int64)
 
     def run(batches):
         for batch in batches:
             ids = batch.column("id")
-            at = np.searchsorted(edges, ids.fill_null(0).to_numpy(zero_copy_only=False))
-            at[ids.is_null().to_numpy(zero_copy_only=False)] = len(edges)
+            at = ranges.of(ids, batch.column("mark").to_numpy())
             named = {c: batch.column(c) for c in (("id", "mark", "text") if text else ("id", "mark"))}
             first = pa.record_batch({"range": pa.array(at.astype(np.int32)), "extra": pa.array(np.zeros(len(at), np.int32))} | named)
             yield first
@@ -172,15 +212,16 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(text).alias("mark"), text.alias("text"))
     # bounds of the ranges and their first rows: a few numbers per range on the driver, whatever the table's size
-    cuts = rows.agg(F.percentile_approx("id", [k / n for k in range(1, n)] or [0.5], 100 * n)).first()[0] or []
-    cuts = sorted(set(cuts))[:-1] if n == 1 else sorted(set(cuts))
-    dealt = rows.select("id", "mark").mapInArrow(_deal(cuts, {}, False), "range int, extra int, id long, mark long")
+    found = rows.agg(F.percentile_approx("id", [k / n for k in range(1, n)] or [0.5], 100 * n).alias("cuts"),
+                     F.count(F.lit(1)).alias("rows"), F.count_if(F.col("id").isNull()).alias("nulls")).first()
+    ranges = Ranges((found.cuts or []) if n > 1 else [], -(-found.nulls * n // max(1, found.rows)))
+    dealt = rows.select("id", "mark").mapInArrow(_deal(ranges, {}, False), "range int, extra int, id long, mark long")
     firsts = sorted((r[0], (r.f.id, r.f.mark)) for r in dealt.groupBy("range").agg(
         F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark")).alias("f")).collect())
     before = [r for r, _ in firsts[-1:] + firsts[:-1]]
     extra = {key: to for (_, key), to in zip(firsts, before, strict=True)}
-    return (rows.mapInArrow(_deal(cuts, extra, True), "range int, extra int, id long, mark long, text string")
-            .repartitionById(n, F.col("range"))
+    return (rows.mapInArrow(_deal(ranges, extra, True), "range int, extra int, id long, mark long, text string")
+            .repartitionById(len(ranges), F.col("range"))
             .sortWithinPartitions("range", "extra", F.col("id").asc_nulls_last(), "mark")
             .mapInArrow(_stream, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
                                  "edited_fingerprint string, near_edited double, near_next double"))
