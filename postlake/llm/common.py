@@ -46,6 +46,26 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in lower])
 
 
+_FEW = 64
+
+
+def hot_join(big: DataFrame, small: DataFrame, key: str, total: int) -> DataFrame:
+    """``big`` joined to ``small``, which has one row a key with ``_n``, the key's rows in ``big`` of ``total``.
+
+    A key with more than its share of rows is dealt out to as many parts as
+    it has shares, and its row of ``small`` goes to each.  There are fewer
+    than twice as many such keys as shuffle partitions, so their list is
+    broadcast whatever the tables' sizes.  ``_n`` isn't kept.
+    """
+    share = max(_FEW, total // (2 * parts(big.sparkSession)))
+    ways = F.ceil(F.col("_n") / share).cast("int")
+    hot = F.broadcast(small.where(F.col("_n") > share).select(key, ways.alias("_ways")))
+    spread = (big.join(hot, key, "left").withColumn("_way", F.coalesce(F.pmod(F.xxhash64(*big.columns), "_ways").cast("int"), F.lit(0)))
+              .drop("_ways"))
+    each = F.explode(F.sequence(F.lit(0), F.when(F.col("_n") > share, ways - 1).otherwise(0)))
+    return spread.join(small.withColumn("_way", each).drop("_n"), [key, "_way"]).drop("_way")
+
+
 def with_fields(schema: StructType, *fields: tuple) -> StructType:
     return StructType([*schema.fields, *[StructField(n, t, True) for n, t in fields]])
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlake.llm.common import written
+from postlake.llm.common import hot_join, written
 
 
 def _print_of(edges: DataFrame) -> tuple:
@@ -18,9 +18,10 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     Each round links every node's larger neighbours to its smallest one
     (large star), then every node and its smaller neighbours to the smallest
     (small star); the rounds grow with the logarithm of the longest path.
-    Minima are aggregated before the shuffle and joined back, so a hub's
-    neighbours are never gathered; every round is a written table.  Repeated
-    edges, loops and an empty table are fine.
+    Minima are aggregated before the shuffle and joined back by parts of
+    bounded size (``hot_join``), so a hub's edges are never gathered; every
+    round is a written table.  Repeated edges, loops and an empty table are
+    fine.
     """
     now = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(),
                   "edges")
@@ -29,11 +30,12 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if before[0] == 0:
             break
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m"))
-        large = (both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        above = F.count_if(F.col("v") > F.col("u"))
+        low = both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m"), above.alias("_n"))
+        large = (hot_join(both.where("v > u"), low, "u", before[0]).select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .distinct())
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("_n"))
+        small = (hot_join(large, low, "u", before[0]).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
         now = written(small, "edges")
         after = _print_of(now)

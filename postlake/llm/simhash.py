@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from postlake.llm.common import (block_cuts, ipc, mix64, pack_keys, parts, pieces, table, unipc, unpack_keys, utf8,
+from postlake.llm.common import (block_cuts, hot_join, ipc, mix64, pack_keys, parts, pieces, table, unipc, unpack_keys, utf8,
                                  with_fields, word_bounds, written)
 from postlake.llm.components import components
 
@@ -180,7 +180,7 @@ def _classed(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits
     narrow = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(text).alias("mark"), text.alias("text"))
     schema = with_fields(narrow.select("id", "mark").schema, ("fingerprint", LongType()))
     rows = written(narrow.mapInArrow(_fingerprint("text", shingle), schema), "fingerprints")
-    distinct = rows.groupBy("fingerprint").agg(F.min("id").alias("low"))
+    distinct = rows.groupBy("fingerprint").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("_n"))
     if max_bits:
         # dealt by another key than the aggregate's, whose partitions would be coalesced for their few bytes
         links = (distinct.select("fingerprint").repartition(blocks, F.xxhash64("fingerprint"))
@@ -188,12 +188,12 @@ def _classed(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits
                  .repartitionById(blocks, F.col("block")).mapInArrow(_meet(max_bits), "u long, v long"))
         grouped = components(links)
         named = (distinct.join(grouped, distinct.fingerprint == grouped.node, "left")
-                 .select("fingerprint", "low", F.coalesce("root", "fingerprint").alias("root")))
+                 .select("fingerprint", "low", "_n", F.coalesce("root", "fingerprint").alias("root")))
     else:
-        named = distinct.select("fingerprint", "low", F.col("fingerprint").alias("root"))
+        named = distinct.select("fingerprint", "low", "_n", F.col("fingerprint").alias("root"))
     lows = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    classes = written(named.join(lows, "root").select("fingerprint", "root", "component_id"), "classes")
-    return rows.join(classes, "fingerprint")
+    classes = written(named.join(lows, "root").select("fingerprint", "root", "component_id", "_n"), "classes")
+    return hot_join(rows, classes, "fingerprint", classes.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0])
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
