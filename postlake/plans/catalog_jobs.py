@@ -416,3 +416,35 @@ def k3_indexed_search(spark, sf_dir):
     differ = both.where(F.abs(F.col("a.similarity") - F.col("b.similarity")) > 1e-9).count()
     return exact.agg(F.count(F.lit(1)).alias("n_exact"), F.lit(int(recall_at_k(found, exact) >= 0.9)).alias("enough"),
                      F.lit(int(differ == 0)).alias("same_similarity"))
+
+
+_WORDS = r"""WITH w AS (SELECT doc_id AS id, unnest(list_distinct(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+'))) AS term FROM documents),
+f AS (SELECT term, count(*) AS n_docs FROM w GROUP BY term HAVING count(*) >= 2),
+v AS (SELECT term, n_docs, row_number() OVER (ORDER BY n_docs DESC, term) AS place FROM f)"""
+
+
+@register("e2_latent_vocabulary", f"""{_WORDS}
+SELECT term, n_docs, ln((1 + (SELECT count(*) FROM documents)) / (1 + n_docs)) + 1 AS idf FROM v WHERE place <= 2000""")
+def e2_latent_vocabulary(spark, sf_dir):
+    """The words and weights of an encoder learnt from whole documents."""
+    encoder = _latent(spark, sf_dir)[1]
+    rows = [(t, int(n), float(w)) for t, n, w in zip(encoder.terms, encoder.df, encoder.idf, strict=True)]
+    return spark.createDataFrame(rows, "term string, n_docs long, idf double")
+
+
+@register("e2_latent_encode", f"""{_WORDS}, k AS (SELECT id, count(*) AS n FROM w JOIN v USING (term) WHERE place <= 2000 GROUP BY id)
+SELECT doc_id AS id, 32 AS dim, CAST(coalesce(n, 0) > 0 AS INTEGER) AS has_direction FROM documents LEFT JOIN k ON k.id = doc_id""")
+def e2_latent_encode(spark, sf_dir):
+    """Every whole document as the unit vector of a learnt encoder; one without a known word has no direction."""
+    from postlake.functions.vector import l2_norm
+    from postlake.operators.embed import encode_with
+    docs, encoder = _latent(spark, sf_dir)
+    out = encode_with(docs, encoder.factory(spark), "text")
+    unit = F.when(F.abs(l2_norm("embedding") - 1) < 1e-5, 1).when(l2_norm("embedding") == 0, 0)
+    return out.select("id", F.size("embedding").alias("dim"), unit.alias("has_direction"))
+
+
+def _latent(spark, sf_dir):
+    from postlake.operators import latent
+    docs = read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    return docs, latent.fit(docs, "text", dim=32, max_terms=2000)

@@ -12,15 +12,17 @@ from pyspark.sql import functions as F
 from postlake import schemas
 from postlake.operators import ann
 from postlake.operators.curate import curate
-from postlake.operators.embed import HASHED_MODEL_NAME, encode_frame, encoding_log, hashed_vectors
+from postlake.operators.embed import HASHED_MODEL_NAME, encode_frame, encode_with, encoding_log, hashed_vectors
 from postlake.operators.features import build_tabular_features, build_text_features, model_input
+from postlake.operators.latent import LatentEncoder
+from postlake.operators.latent import fit as fit_encoder
 from postlake.operators.model import load_preferred, request_features, train_and_select
 from postlake.operators.quality import gate_not_empty, search_hits, split_valid, validate_predict, validate_search
 from postlake.operators.search import knn
 from postlake.session import materialise
 from postlake.sources.ingest import hydrate, missing_ids, require_rows, split_errors, top_ids
-from postlake.sources.lake import (Layout, changed_rows, latest_version, mark_value, merge_snapshot, prune_versions, read_raw,
-                                   read_snapshot, write_hour, write_snapshot)
+from postlake.sources.lake import (Layout, changed_rows, latest_version, mark_value, merge_snapshot, next_version, prune_versions,
+                                   read_raw, read_snapshot, write_hour, write_marker, write_snapshot)
 from postlake.sources.vectors import constraint_violations, read_vectors, upsert_snapshot
 
 HIT_COLUMNS = ["title", "url", "score", "by_author"]
@@ -87,15 +89,39 @@ def train_daily(spark: SparkSession, layout: Layout, candidates=None, **options)
     return train_and_select(read_snapshot(spark, layout.tabular), layout.root, candidates, **options)
 
 
-def index_daily(spark: SparkSession, layout: Layout, dim: int = 384, keep: int = 2) -> dict:
-    """Daily: gate, encode, reject rows that break a constraint, upsert, run record, search index over the encoder's rows."""
+def train_encoder(spark: SparkSession, layout: Layout, **options) -> LatentEncoder:
+    """Learn a text encoder from all curated texts and save it as the newest version; ``options`` go to ``latent.fit``."""
     texts = read_snapshot(spark, layout.text)
     gate_not_empty(texts)
-    vectors, run_id, report = encode_frame(texts, dim=dim)
+    encoder, root = fit_encoder(texts, **options), f"{layout.models}/encoder"
+    path = f"{root}/v={next_version(spark, root)}"
+    encoder.save(spark, path)
+    write_marker(spark, path)
+    return encoder
+
+
+def load_encoder(spark: SparkSession, layout: Layout) -> LatentEncoder | None:
+    """The newest learnt encoder, or None."""
+    version = latest_version(spark, f"{layout.models}/encoder")
+    return None if version is None else LatentEncoder.load(spark, f"{layout.models}/encoder/v={version}")
+
+
+def index_daily(spark: SparkSession, layout: Layout, dim: int = 384, keep: int = 2, encoder: LatentEncoder | None = None) -> dict:
+    """Daily: gate, encode, reject rows that break a constraint, upsert, run record, search index over the encoder's rows.
+
+    Encodes by a hash of the words, or by a learnt ``encoder``.
+    """
+    texts = read_snapshot(spark, layout.text)
+    gate_not_empty(texts)
+    if encoder is None:
+        vectors, run_id, report = encode_frame(texts, dim=dim)
+    else:
+        dim = encoder.dim
+        vectors, run_id, report = encode_frame(texts, model_name=encoder.name, encoder_factory=encoder.factory(spark))
     bad = constraint_violations(vectors, dim=dim).select("id").distinct()
     written = upsert_snapshot(layout.vectors, vectors.join(bad, "id", "left_anti"))
     encoding_log(spark, run_id, report).write.mode("append").parquet(layout.runs)
-    model = vectors.select("model_name").first().model_name  # one encoder a run
+    model = HASHED_MODEL_NAME if encoder is None else encoder.name
     index = f"{layout.index}/{model}"
     ann.build_index(read_vectors(spark, layout.vectors).where(F.col("model_name") == model), index, payload=HIT_COLUMNS)
     prune_versions(spark, index, keep)
@@ -113,15 +139,19 @@ def predict(spark: SparkSession, layout: Layout, requests: DataFrame) -> tuple[D
 
 
 def search(spark: SparkSession, layout: Layout, requests: DataFrame, model_name: str = HASHED_MODEL_NAME,
-           dim: int = 384, exact: bool = False) -> tuple[DataFrame, DataFrame]:
+           dim: int = 384, exact: bool = False, encoder: LatentEncoder | None = None) -> tuple[DataFrame, DataFrame]:
     """Batch search: (hits of the valid requests, rejects).  Only vectors of the query's encoder are compared.
 
     Searches the index of the last daily job at the number of cells that the
     index measured; ``exact``, or an encoder without an index, compares every
-    vector.
+    vector.  A learnt ``encoder`` encodes the queries as it encoded the texts.
     """
     valid, rejected = split_valid(validate_search(requests))
-    queries = hashed_vectors(valid.select("query_id", "query", "k"), "query", dim)
+    asked = valid.select("query_id", "query", "k")
+    if encoder is None:
+        queries = hashed_vectors(asked, "query", dim)
+    else:
+        queries, model_name = encode_with(asked, encoder.factory(spark), "query"), encoder.name
     index = f"{layout.index}/{model_name}"
     if exact or latest_version(spark, index) is None:
         vectors = read_vectors(spark, layout.vectors).where(F.col("model_name") == model_name)

@@ -107,3 +107,19 @@ def test_search_goes_through_the_index(spark, layout, monkeypatch):
     assert rejected.count() == 1 and found.columns == exact.columns
     got, want = ({(r.query_id, r.id): round(r.similarity, 9) for r in x.collect()} for x in (found, exact))
     assert len(got) == 7 and len(set(got) & set(want)) >= 6 and all(want[k] == v for k, v in got.items() if k in want)
+
+
+def test_jobs_with_a_learnt_encoder(spark, layout):
+    jobs.ingest_hour(spark, layout, items(spark), "2024-01-01", "07")
+    assert jobs.load_encoder(spark, layout) is None
+    made = jobs.train_encoder(spark, layout, dim=24, max_terms=500)
+    encoder = jobs.load_encoder(spark, layout)
+    assert encoder.name == made.name and encoder.dim == 24
+    jobs.index_daily(spark, layout)  # rows of another encoder are never compared
+    said = jobs.index_daily(spark, layout, encoder=encoder)
+    assert said["vector_dim"] == 24 and said["embedding_model"] == encoder.name
+    some = read_snapshot(spark, layout.text).orderBy("id").limit(4).collect()
+    requests = spark.createDataFrame([(r.id, r.title, 3) for r in some], "query_id long, query string, k int")
+    hits = jobs.search(spark, layout, requests, encoder=encoder)[0].collect()
+    best = {r.query_id: r.similarity for r in hits if r["rank"] == 1}
+    assert len(hits) == 12 and all(abs(best[r.id] - 1) < 1e-5 for r in some)  # a text finds itself or its copy
