@@ -685,4 +685,18 @@ def r3_stream_state(spark, sf_dir):
     return read_snapshot(spark, root)
 
 
+@register("r3_bounded_state", ORACLE["d1_curate_max_score"])
+def r3_bounded_state(spark, sf_dir):
+    """Best row per key with a state that forgets keys which nothing has improved for a second."""
+    from postlake.session import scratch_dir
+    from postlake.sources.lake import read_snapshot
+    from postlake.streaming.jobs import read_landing, stream_bounded_state
+    landing, schema = _land_events(spark, sf_dir)
+    root, ckpt = scratch_dir(spark, "state"), scratch_dir(spark, "ckpt")
+    stream = read_landing(spark, landing, schema, max_files_per_trigger=1).select(
+        "user_id", "event_id", "ts", "event_type", "value", "props")
+    stream_bounded_state(stream, root, ckpt, "user_id", ("value", "ts", "event_id"), idle_seconds=1).awaitTermination()
+    return read_snapshot(spark, root)
+
+
 from postlake.plans import catalog_jobs  # noqa: E402, F401  registers the composed jobs and the smaller operators

@@ -14,8 +14,9 @@
 * ``stream_best_state`` (R3): the best row per key kept in the state store
   (``max_by`` over the ordering struct, update mode); each batch's changed
   keys are merged into the newest snapshot the same way.  State grows with
-  the number of distinct keys; a watermark is not needed for correctness (R4:
-  the reduction is commutative and idempotent), only to bound state.
+  the number of distinct keys; ``stream_bounded_state`` forgets keys whose
+  best row stands in the snapshot and that nothing has improved for a while.
+  Neither needs a watermark (R4: the reduction is commutative and idempotent).
 
 Old versions are pruned after each batch (``keep_versions``).
 Checkpoints live under the shared checkpoint folder, so a restarted query on
@@ -27,6 +28,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -103,3 +105,96 @@ def stream_best_state(stream: DataFrame, state_root: str, checkpoint: str, key:
     writer = best.writeStream.outputMode("update").foreachBatch(
         _merge_into(state_root, checkpoint, key, order_by, buckets, keep_versions))
     return _trigger(writer.option("checkpointLocation", checkpoint), available_now).start()
+
+
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_TIE, _NAME = "row_hash_of_ties", "name_of_the_key"
+
+
+def _ranked(rows: pd.DataFrame, order_by: Sequence[str]) -> pd.DataFrame:
+    """Rows from worst to best: nulls below every value, then the value, column by column, then the row hash."""
+    keys = {f"_there_{c}": rows[c].notna() for c in order_by}
+    by = [x for c in order_by for x in (f"_there_{c}", c)]
+    return rows.assign(**keys).sort_values([*by, _TIE], kind="stable", na_position="first").drop(columns=list(keys))
+
+
+def _place(row: Sequence, order_by: Sequence[str]) -> tuple:
+    """Compares as ``_ranked`` sorts; the values of the order columns, then the row hash."""
+    out: list = []
+    for v in row[:len(order_by)]:
+        there = v is not None and not pd.isna(v)
+        out += [there, pd.Timestamp(v) if there and hasattr(v, "isoformat") else v if there else 0]
+    return (*out, int(row[len(order_by)]))
+
+
+def _best_processor(schema: T.StructType, payload: Sequence[str], order_by: Sequence[str], idle_ms: int):
+    from pyspark.sql.streaming.stateful_processor import StatefulProcessor
+
+    names = schema.fieldNames()
+    kept = T.StructType([schema[c] for c in order_by] + [T.StructField(_TIE, T.LongType())])
+
+    class BestRow(StatefulProcessor):
+        """Remembers how good the best row of a key was, not the row, for as long as nothing better than ``idle_ms`` ago came."""
+
+        def init(self, handle) -> None:
+            self.best = handle.getValueState("best", kept, idle_ms)
+
+        def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803  names of the interface
+            # columns come under names that some are changed to on the way, but in their order
+            tops = [_ranked(some.set_axis(names, axis=1), order_by).iloc[[-1]] for some in rows if len(some)]
+            top = _ranked(pd.concat(tops, ignore_index=True), order_by).iloc[[-1]]
+            place = tuple(top.iloc[0][[*order_by, _TIE]])
+            held = self.best.get() if self.best.exists() else None
+            if held is None or _place(place, order_by) > _place(held, order_by):
+                self.best.update(tuple(v.to_pydatetime() if isinstance(v, pd.Timestamp) else None if pd.isna(v) else v.item() if hasattr(v, "item") else v
+                                       for v in place))
+                yield top[list(payload)]
+
+        def close(self) -> None:
+            pass
+
+    return BestRow()
+
+
+def stream_bounded_state(stream: DataFrame, state_root: str, checkpoint: str, key: str, order_by: Sequence[str],
+                         idle_seconds: float = 7 * 86400, available_now: bool = True, keep_versions: int = 3, buckets: int = 16):
+    """R3 with bounded state: a key for which nothing better came for ``idle_seconds`` (processing time) is forgotten.
+
+    What is forgotten stands in the snapshot: the next row of the key is
+    passed on as if it were the first, and the merge keeps the better of the
+    two.  So the result is that of ``stream_best_state`` whatever the time,
+    no row is late, and the state holds the keys that improved lately, each
+    with its order values alone.  Rows of a batch are reduced to one a key
+    and Arrow batch before the shuffle, so a hot key isn't gathered.
+    """
+    spark, cols = stream.sparkSession, stream.columns
+    # pandas turns whole numbers beside nulls to floats: they go as text, and a key under a name that is never null
+    whole = {f.name for f in stream.schema.fields if isinstance(f.dataType, T.IntegralType)}
+    order = [f"order_{k}" for k in range(len(order_by))]
+    name = F.coalesce(F.concat(F.lit("key "), F.col(key).cast("string")), F.lit("none"))
+    rows = stream.select(*[F.col(f"`{c}`").cast("string").alias(c) if c in whole else F.col(f"`{c}`") for c in cols],
+                         *[F.col(c).alias(o) for c, o in zip(order_by, order, strict=True)], F.xxhash64(*cols).alias(_TIE), name.alias(_NAME))
+
+    def reduce(batches):
+        for some in batches:
+            if len(some):
+                yield _ranked(some, order).drop_duplicates(_NAME, keep="last")
+
+    kept = T.StructType([rows.schema[c] for c in cols])
+    best = (rows.mapInPandas(reduce, rows.schema).groupBy(_NAME)
+            .transformWithStateInPandas(_best_processor(rows.schema, cols, order, int(idle_seconds * 1000)), kept, "Update", "ProcessingTime")
+            .select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in stream.schema.fields]))
+    writer = best.writeStream.outputMode("update").foreachBatch(_merge_into(state_root, checkpoint, key, order_by, buckets, keep_versions))
+    # a store that keeps values with a time to live; no batches without data, which would follow each other for ever
+    # (keys are forgotten with the next batch that has some); a query keeps the settings it starts with
+    wanted = {STATE_STORE: ROCKSDB, NO_DATA: "false"}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        return _trigger(writer.option("checkpointLocation", checkpoint), available_now).start()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
