@@ -40,8 +40,11 @@ from postlake.session import materialise
 from postlake.sources.lake import latest_version, resolve_first, versions, write_marker
 
 MIN_FREQUENCY = 5
-#: Train rows a partition holds, about, where the caller gives no number of partitions.
-ROWS_PER_PARTITION = 10_000
+
+
+def train_partitions(n: int) -> int:
+    """By the number of train rows alone: up to 8 of 1,000 rows at least, then one for each 100,000."""
+    return max(1, min(8, math.ceil(n / 1_000)), math.ceil(n / 100_000))
 
 
 def random_forest(seed: int = 42, num_trees: int = 200, max_depth: int = 12):
@@ -119,7 +122,7 @@ def fit(name: str, classifier, train: DataFrame, partitions: int | None = None)
     """
     train = materialise(train.select("id", schemas.TARGET, *schemas.FEATURE_COLUMNS), "train")
     encoder = FeatureEncoder(minFrequency=MIN_FREQUENCY, outputCol="features").fit(train)
-    partitions = partitions or max(1, math.ceil(train.count() / ROWS_PER_PARTITION))
+    partitions = partitions or train_partitions(train.count())
     x = (encoder.transform(train).select("id", schemas.TARGET, "features").repartition(partitions, "id")
          .sortWithinPartitions("id", schemas.TARGET).cache())
     model = FittedModel(name, PipelineModel([encoder, classifier.fit(x)]))
