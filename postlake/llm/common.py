@@ -46,6 +46,17 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in lower])
 
 
+def numbered(df: DataFrame, *names: str) -> tuple[DataFrame, list, list]:
+    """``df`` with columns in_0, in_1, ..., Columns that give them their names back, and what ``names`` are called now.
+
+    An operator's own columns can't clash with these, whatever the input's are called.
+    """
+    plain = df.toDF(*[f"in_{k}" for k in range(len(df.columns))])
+    lower = [c.lower() for c in df.columns]
+    at = [df.columns.index(n) if n in df.columns else lower.index(n.lower()) for n in names]
+    return plain, [F.col(f"in_{k}").alias(c) for k, c in enumerate(df.columns)], [f"in_{k}" for k in at]
+
+
 _FEW = 64
 
 

@@ -6,15 +6,18 @@ pivotal method pairs two documents of the source and moves word mass from
 one to the other, at random but so that neither expectation changes, until
 one probability is 0 or 1; the other meets the next document.  At first all
 documents of a source have one probability, and a document can meet all that
-follow it as one unit.  Word mass is conserved by every move, so a source's
-total misses its target by less than the size of its last open document.
+follow it as one unit.  Word mass is conserved by every move.  The last open
+document of a source is settled by distance to the target, in or out, and what
+it then misses by is made up by documents of the last stream that fit.  So a
+source's total misses its target by half the size of its last open document at
+most, and by less than any document of that stream that could still come in.
 
 Plan: documents fold to narrow rows first (id, hash, words).  They are dealt
 by source and a hash cell of about ``stream_docs`` documents, so a source
 with a third of all rows has that many more streams.  A stream takes large
 documents first and keeps one open document, its smallest as a rule.  The
 open documents of that many cells meet on the next level of a tree, down to
-one per source.  Draws are hashes of the document and the level, so reruns agree
+one stream a source, which closes it.  Draws are hashes of the document and the level, so reruns agree
 whatever the partitions are.  Totals and targets are aggregates with one row
 per source.
 """
@@ -28,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from postlake.llm.common import WORD, mix64, parts, table, without, written
+from postlake.llm.common import WORD, mix64, numbered, parts, table, without, written
 
 WEIGHTS = (5, 2, 1)
 MAX_COPIES = 3
@@ -67,6 +70,10 @@ def _settle(a: float, s: float, b: float, t: float, draw: float) -> tuple[float,
     return (0.0, min(1.0, b + a * s / t)) if a * s <= (1 - b) * t else (max(0.0, a - (1 - b) * t / s), 1.0)
 
 
+def _at(row: tuple, p: float) -> tuple:
+    return *row[:5], p, *row[6:]
+
+
 def _against_rest(rows, draws):
     """Documents of one probability, each paired with all that follow it as one unit.
 
@@ -79,15 +86,15 @@ def _against_rest(rows, draws):
     for row, draw in zip(rows, draws, strict=True):
         rest -= row[4]
         if held is not None or p in (0.0, 1.0):
-            out.append((*row[:5], p))
+            out.append(_at(row, p))
         elif rest <= 0:
-            held = (*row[:5], p)
+            held = _at(row, p)
         else:
             a, b = _settle(p, row[4], p, rest, draw)
             if 0 < a < 1:
-                held, p = (*row[:5], a), b
+                held, p = _at(row, a), b
             else:
-                out.append((*row[:5], a))
+                out.append(_at(row, a))
                 p = b
     return out, held
 
@@ -100,7 +107,7 @@ def _one_by_one(rows, draws):
             held = row
             continue
         a, b = _settle(held[5], held[4], row[5], row[4], draw)
-        done, held = ((*row[:5], b), (*held[:5], a)) if 0 < a < 1 else ((*held[:5], a), (*row[:5], b))
+        done, held = (_at(row, b), _at(held, a)) if 0 < a < 1 else (_at(held, a), _at(row, b))
         out.append(done)
         if not 0 < held[5] < 1:
             out.append(held)
@@ -108,10 +115,36 @@ def _one_by_one(rows, draws):
     return out, held
 
 
-def _round(level: int, seed: int, last: bool):
-    """Settle streams, rows sorted by (source, cell); all but one document of each end at 0 or 1."""
-    names = ("source", "cell", "unit", "id", "words", "p")
-    kinds = (pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
+def _close(out, held):
+    """Take the last open document or leave it, whichever ends nearer to its mass.
+
+    Left out, its mass goes to the largest documents left out that fit;
+    taken, the words too many come off the largest documents taken that fit.
+    """
+    order = sorted(range(len(out)), key=lambda k: (-out[k][4], out[k][2]))
+
+    def fill(gap, state):
+        some = []
+        for k in order:
+            if out[k][5] == state and 0 < out[k][4] <= gap + 1e-6:
+                some.append(k)
+                gap -= out[k][4]
+        return gap, some
+
+    short, added = fill(held[5] * held[4], 0.0)
+    over, dropped = fill((1 - held[5]) * held[4], 1.0)
+    take = over < short
+    turned = set(dropped if take else added)
+    return [_at(row, 1.0 - row[5]) if k in turned else row for k, row in enumerate(out)] + [_at(held, float(take))]
+
+
+def _round(level: int, seed: int):
+    """Settle streams, rows sorted by (source, cell); all but one document of each end at 0 or 1.
+
+    In a source's only stream all do.
+    """
+    names = ("source", "cell", "unit", "id", "words", "p", "cells")
+    kinds = (pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int32())
     salt = (seed * 0x9E3779B97F4A7C15 + level * 0xBF58476D1CE4E5B9) % 2**64
 
     def draws(rows, salt):
@@ -120,9 +153,9 @@ def _round(level: int, seed: int, last: bool):
 
     def settled(rows):
         out, held = (_one_by_one if level else _against_rest)(rows, draws(rows, salt))
-        if held is not None:
-            if last and 0 < held[5] < 1:
-                held = (*held[:5], float(draws([held], salt ^ 0x51ED270B)[0] < held[5]))
+        if held is not None and rows[0][6] == 1 and 0 < held[5] < 1:
+            out = _close(out, held)
+        elif held is not None:
             out.append(held)
         return pa.record_batch({n: pa.array(list(c), k) for n, c, k in zip(names, zip(*out, strict=True), kinds, strict=True)})
 
@@ -139,7 +172,7 @@ def _round(level: int, seed: int, last: bool):
     return run
 
 
-_ROW = "source string, cell int, unit long, id long, words double, p double"
+_ROW = "source string, cell int, unit long, id long, words double, p double, cells int"
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS,
@@ -147,18 +180,20 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """``docs`` with size, source_size (long), target (double) and copies (int): how often the mix takes a row.
 
     Size is the number of words; targets are those of ``targets``.  Copies
-    are 0 to ``max_copies``, their expectation is target / source_size, and a
-    source's taken words miss its target by less than its largest document
-    (by less than the summed size of equal rows, where rows repeat).
+    are 0 to ``max_copies``.  Their expectation is target / source_size but
+    for the documents that close a source (see the module): its taken words
+    miss its target by half its largest document at most (by half the summed
+    size of equal rows, where rows repeat).
 
     Null or empty text: size 0, copies 0.  Null source: a source of its own,
     last.  Rows that agree in id, source and text are decided together, so a
-    null id is no hot key.  Empty table: no rows.
+    null id is no hot key.  Empty table: no rows.  Other columns may have any
+    names; those of the added ones are replaced.
     """
-    docs = without(docs, *ADDED)
-    key = {"id": F.col(f"`{id_col}`").cast("long"), "source": F.col(f"`{source_col}`").cast("string"),
-           "unit": F.xxhash64(F.lit(seed), F.col(f"`{id_col}`"), F.col(f"`{source_col}`"), F.col(f"`{text_col}`")),
-           "size": F.regexp_count(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), F.lit(WORD)).cast("long")}
+    docs, given, named = numbered(without(docs, *ADDED), id_col, text_col, source_col)
+    doc_id, text, name = map(F.col, named)
+    key = {"id": doc_id.cast("long"), "source": name.cast("string"), "unit": F.xxhash64(F.lit(seed), doc_id, name, text),
+           "size": F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")}
     narrow = written(docs.select(*[c.alias(n) for n, c in key.items()]), "sizes")
     goal = written(targets(narrow, weights, max_copies), "targets")
     units = (narrow.where("size > 0").groupBy("id", "source", "unit", "size").agg(F.count("*").alias("n"))
@@ -169,18 +204,19 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     units = written(units.select("id", "source", "unit", "cells", whole.alias("sure"), (F.col("each") - whole).alias("p"),
                                  (F.col("size") * F.col("n")).cast("double").alias("words")), "units")
     open_rows = units.where("p > 0").select("source", F.pmod(F.hash("unit"), F.col("cells")).alias("cell"), "unit", "id",
-                                            "words", "p")
+                                            "words", "p", "cells")
     decided = []
     level, width = 0, units.agg(F.max("cells")).first()[0] or 1
     while True:
         done = written(open_rows.repartition(parts(docs.sparkSession), "source", "cell")
                        .sortWithinPartitions("source", "cell", F.desc("words"), "unit", "id")
-                       .mapInArrow(_round(level, seed, width == 1), _ROW), f"pivot-{level}")
+                       .mapInArrow(_round(level, seed), _ROW), f"pivot-{level}")
         decided.append(done.where("p = 1").select("id", "unit"))
         if width == 1:
             break
         width, level = math.ceil(width / stream_docs), level + 1
-        open_rows = done.where("p > 0 AND p < 1").withColumn("cell", (F.col("cell") / stream_docs).cast("int"))
+        open_rows = done.where("p > 0 AND p < 1").withColumns({"cell": (F.col("cell") / stream_docs).cast("int"),
+                                                               "cells": F.ceil(F.col("cells") / stream_docs).cast("int")})
     taken = decided[0]
     for more in decided[1:]:
         taken = taken.unionByName(more)
@@ -188,11 +224,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
                          F.col("id").eqNullSafe(F.col("i")) & (F.col("unit") == F.col("u")), "left")
               .select(F.col("id").alias("_id"), F.col("unit").alias("_unit"),
                       (F.col("sure") + F.coalesce("more", F.lit(0))).cast("int").alias("copies")))
-    named = docs.withColumns({"_row_id": key["id"], "_row_unit": key["unit"], "_source": key["source"], "size": key["size"]})
-    joined = (named.join(copies, F.col("_row_id").eqNullSafe(F.col("_id")) & (F.col("_row_unit") == F.col("_unit")), "left")
+    rows = docs.withColumns({"_row_id": key["id"], "_row_unit": key["unit"], "_source": key["source"], "size": key["size"]})
+    joined = (rows.join(copies, F.col("_row_id").eqNullSafe(F.col("_id")) & (F.col("_row_unit") == F.col("_unit")), "left")
               .join(goal.withColumnRenamed("source", "_goal"),
                     F.col("_source").eqNullSafe(F.col("_goal")), "left"))
-    return joined.select(*[F.col(f"`{c}`") for c in docs.columns], "size", "source_size", "target",
+    return joined.select(*given, "size", "source_size", "target",
                          F.coalesce("copies", F.lit(0)).alias("copies"))
 
 
