@@ -3,7 +3,7 @@
 A URL that fits a rule takes the rule's verdict.  Those URLs are the labelled
 ones: boosted trees (Spark ML) learn block or allow from lexical features
 (length, depth, digit ratio, entropy, parameter counts, how common and how
-often blocked the host's last label is) and judge the URLs that no rule fits.
+often blocked the host's last label is on other rows) and judge the URLs that no rule fits.
 
 Everything is Column expressions and Spark ML in the JVM.  Suffix statistics
 are counts over all URLs, aggregated before the shuffle; they are joined on
@@ -21,7 +21,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlake.llm.common import table, without, written
+from postlake.llm.common import numbered, table, without, written
 
 #: (verdict, host/path prefix)
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -72,8 +72,7 @@ def lexical(url, host, path) -> dict:
 
 
 def _described(pages: DataFrame, url_col: str, rules) -> DataFrame:
-    pages = without(pages, "host", "path", "rule", "verdict", "_suffix", "_said", *FEATURES)
-    url = F.col(f"`{url_col}`").cast("string")
+    url = F.col(url_col).cast("string")
     host, path = host_path(url)
     found = pages.withColumns({"host": host, "path": path})
     rule, said = rule_of(F.col("host"), F.col("path"), rules)
@@ -103,16 +102,18 @@ def url_verdicts(pages: DataFrame, url_col: str = "url", rules=RULES, fit_rows:
     empty, no rule, judged by the trees like any other.  If no URL fits a
     rule, the rest is allowed; if all rules that fit say the same, so does
     the rest.  Rows that repeat are judged alike.  Empty table: no rows.
-    Columns of these names in the input are replaced.
+    Columns of these names in the input are replaced, others may have any
+    name.
     """
+    pages, given, (url_col,) = numbered(without(pages, "host", "path", "rule", "verdict"), url_col)
     found = _described(pages, url_col, rules)
-    blocked, said = F.col("_said") == "block", F.col("_said").isNotNull()
-    stats = found.groupBy("_suffix").agg(
-        F.log1p(F.count("*").cast("double")).alias("f_suffix_count"),
-        ((F.count(F.when(blocked, 1)) + 1) / (F.count(F.when(said, 1)) + 2)).alias("f_suffix_block"))
+    blocked, said = F.coalesce(F.col("_said") == "block", F.lit(False)).cast("int"), F.col("_said").isNotNull().cast("int")
+    stats = found.groupBy("_suffix").agg(F.log1p(F.count("*").cast("double")).alias("f_suffix_count"),
+                                         F.sum(blocked).alias("_blocked"), F.sum(said).alias("_judged"))
     stats = written(stats, "url-suffixes").withColumnRenamed("_suffix", "_of")
-    full = found.join(stats, found["_suffix"] == stats["_of"], "left")
-    names = [c for c in found.columns if c not in (*FEATURES, "_said", "_suffix")]
+    # a row's own verdict is no evidence for itself
+    full = (found.join(stats, found["_suffix"] == stats["_of"], "left")
+            .withColumn("f_suffix_block", (F.col("_blocked") - blocked + 1) / (F.col("_judged") - said + 2)))
 
     sample = written(_sample(full, url_col, fit_rows), "url-sample")
     kinds = [r.label for r in sample.select("label").distinct().collect()]
@@ -125,7 +126,7 @@ def url_verdicts(pages: DataFrame, url_col: str = "url", rules=RULES, fit_rows:
         model = model.setRawPredictionCol("_raw").setProbabilityCol("_probability")
         full = model.transform(features.transform(full))
         other = F.when(F.col("_prediction") == 1.0, "block").otherwise("allow")
-    return full.select(*[F.col(f"`{c}`") for c in names], F.coalesce("_said", other).alias("verdict"))
+    return full.select(*given, "host", "path", "rule", F.coalesce("_said", other).alias("verdict"))
 
 
 def op4(spark, sf_dir: str) -> DataFrame:
