@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from postlake.llm.common import (block_cuts, hot_join, ipc, mix64, pack_keys, parts, pieces, table, unipc, unpack_keys, utf8,
+from postlake.llm.common import (block_cuts, hot_join, ipc, mix64, numbered, pack_keys, parts, pieces, table, unipc, unpack_keys, utf8,
                                  with_fields, word_bounds, written)
 from postlake.llm.components import components
 
@@ -220,18 +220,19 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     """One row of each near-duplicate group, the one with the smallest id, columns unchanged.
 
     A null id counts as the largest; rows that share the smallest id are told
-    apart by a hash of their text, and of equal rows one stays.
+    apart by a hash of their text, then of the whole row, and of equal rows
+    one stays.  Columns may have any names.
     """
     found = _classed(docs, id_col, text_col, shingle, max_bits, None, 2048)
     best = (found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark")).alias("b"))
             .select(F.col("b.id").alias("_best_id"), F.col("b.mark").alias("_best_mark")))
-    mark = F.xxhash64(F.col(f"`{text_col}`").cast("string"))
-    marked = docs.withColumns({"_row_id": F.col(f"`{id_col}`").cast("long"), "_row_mark": mark})
+    plain, given, (doc_id, text) = numbered(docs, id_col, text_col)
+    marked = plain.withColumns({"_row_id": F.col(doc_id).cast("long"), "_row_mark": F.xxhash64(F.col(text).cast("string"))})
     stay = marked.join(best, F.col("_row_id").eqNullSafe(F.col("_best_id")) & (F.col("_row_mark") == F.col("_best_mark")),
                        "left_semi")
-    one = Window.partitionBy("_row_id", "_row_mark").orderBy("_row_id")
-    return (stay.withColumn("_row", F.row_number().over(one)).where("_row = 1")
-            .drop("_row", "_row_id", "_row_mark"))
+    hashed = [c for c, kind in plain.dtypes if "map<" not in kind and "variant" not in kind]  # others have no hash
+    one = Window.partitionBy("_row_id", "_row_mark").orderBy(F.xxhash64(*hashed))
+    return stay.withColumn("_row", F.row_number().over(one)).where("_row = 1").select(*given)
 
 
 def op7(spark, sf_dir: str) -> DataFrame:
