@@ -4,6 +4,8 @@ import numpy as np
 import pytest
 from llm_util import DOCS, SCHEMA, clashing, documents, linked, removed, simhash, words
 
+from pyspark.sql import functions as F
+
 from postlake.llm import pivotal, rlz, simhash as sim
 from postlake.llm.components import components
 
@@ -159,3 +161,47 @@ def test_mix_expectation():
         for x in [*out, *([held] if held else [])]:
             total[x[2]] += x[5]
     assert np.abs(total / 4000 - 0.3).max() < 0.04
+
+
+def test_mix_takes_what_comes_nearest_in_small_sources(spark):
+    """A source's largest document outweighs its target, and others fit: no coin decides whether it takes anything."""
+    sizes = {"a": [20] * 10, "b": [700, 66, 63], "c": [500, 31, 30, 7]}
+    rows = [(k, "w " * n, "en", s, 1) for k, (s, n) in enumerate((s, n) for s, some in sizes.items() for n in some)]
+    for seed in range(4):
+        got = pivotal.mix(documents(spark, rows), seed=seed).collect()
+        for s, some in sizes.items():
+            mine = [x for x in got if x.source == s]
+            target, taken = mine[0].target, sum(x.size * x.copies for x in mine)
+            whole = sum(int(x.target // x.source_size) * x.size for x in mine)
+            sums = {whole}
+            for n in some:
+                sums |= {t + n for t in sums}
+            assert abs(taken - target) <= max(7.0, 2 * min(abs(t - target) for t in sums), 0.1 * target), (s, seed, taken, target)
+
+
+def test_close_ends_nearest():
+    row = lambda words, p: ("s", 0, int(words), int(words), float(words), p, 1)
+    closed = pivotal._close([row(636, 0.0), row(665, 0.0)], row(8000, 1437 / 8000))
+    assert {x[4]: x[5] for x in closed} == {636.0: 1.0, 665.0: 1.0, 8000.0: 0.0}
+    closed = pivotal._close([row(10, 1.0), row(3, 0.0)], row(100, 0.9))
+    assert {x[4]: x[5] for x in closed} == {10.0: 0.0, 3.0: 0.0, 100.0: 1.0}
+    assert [x[5] for x in pivotal._close([], row(10, 0.5))] == [0.0]
+
+
+def test_internal_names_are_free_for_columns_of_the_input(spark):
+    names = ("_row_id", "_row_unit", "_row_mark", "_row", "_source", "_id", "_unit", "_goal", "source_docs", "in_0", "in_1", "cells", "more")
+    df = documents(spark)
+    wide = df.withColumns({c: F.concat(F.lit(c), F.col("n_chars").cast("string")) for c in names})
+    plain = sorted((r.doc_id or -1, r.text or "", r.copies) for r in pivotal.mix(df).collect())
+    mixed = pivotal.mix(wide)
+    assert mixed.columns == [*wide.columns, *pivotal.ADDED]
+    assert sorted((r.doc_id or -1, r.text or "", r.copies) for r in mixed.collect()) == plain
+    kept = sim.keep_one(wide)
+    assert kept.columns == wide.columns and {r["_goal"] for r in kept.collect()} <= {None, *(f"_goal{r[4]}" for r in DOCS)}
+    assert sorted((r.doc_id or -1, r.text or "") for r in kept.collect()) == sorted((r.doc_id or -1, r.text or "") for r in sim.keep_one(df).collect())
+
+
+def test_of_rows_equal_in_id_and_text_one_stays_whatever_the_partitions(spark):
+    rows = [(1, "the same text", "en", f"s{k}", k) for k in range(9)]
+    kept = {tuple(sim.keep_one(documents(spark, rows, n)).first()) for n in (1, 3, 7)}
+    assert len(kept) == 1

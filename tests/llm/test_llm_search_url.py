@@ -125,6 +125,17 @@ def test_url_trees_judge_unlabelled_urls_by_their_look(spark):
     assert len(free) == 200 and sum(free) >= 190
 
 
+def test_url_columns_may_have_any_names(spark):
+    names = ("_features", "_raw", "_prediction", "_probability", "_of", "_said", "_suffix", "label", "in_1", "f_length", "URL2")
+    df = spark.createDataFrame([(k, u) for k, u in enumerate(URLS)], "page_id long, url string")
+    wide = df.withColumns({c: F.lit(c) for c in names})
+    got = urltrees.url_verdicts(wide, trees=3)
+    assert got.columns == [*wide.columns, "host", "path", "rule", "verdict"]
+    want = {r.page_id: r.verdict for r in urltrees.url_verdicts(df, trees=3).collect()}
+    rows = got.collect()
+    assert {r.page_id: r.verdict for r in rows} == want and all(r[c] == c for r in rows for c in names)
+
+
 def test_a_url_of_many_copies_is_one_row_of_the_sample(spark):
     from pyspark.sql import functions as F
     urls = [(v, f"http://{v}.test/{k}") for v in ("block", "allow") for k in range(30)] + [("block", "http://block.test/7")] * 500
