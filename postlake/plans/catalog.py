@@ -699,4 +699,51 @@ def r3_bounded_state(spark, sf_dir):
     return read_snapshot(spark, root)
 
 
+_DROPS_SQL = """
+WITH s AS (SELECT min(epoch_us(ts)) AS lo, (max(epoch_us(ts)) - min(epoch_us(ts))) // 3 + 1 AS step FROM events),
+d AS (SELECT event_id, ts, epoch_us(ts) AS t, step, (epoch_us(ts) - lo) // step
+             + CASE WHEN event_id % 25 = 0 THEN 2 WHEN event_id % 10 = 0 THEN 1 ELSE 0 END AS drop_no FROM events, s),
+e AS (SELECT * FROM d UNION ALL SELECT * FROM d WHERE event_id % 11 = 0
+      UNION ALL SELECT event_id, ts, t, step, drop_no + 1 FROM d WHERE event_id % 7 = 0),
+m AS (SELECT drop_no, max(t) AS top FROM e GROUP BY drop_no),
+h AS (SELECT drop_no, max(top) OVER (ORDER BY drop_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM m),
+k AS (SELECT e.*, coalesce(e.t < h.seen - e.step // 2, false) AS late FROM e JOIN h USING (drop_no)),
+o AS (SELECT strftime(ts, '%Y-%m-%d') AS dt, late, row_number() OVER (PARTITION BY event_id, late ORDER BY drop_no) AS nth FROM k)
+SELECT dt, CAST(count(*) FILTER (WHERE NOT late AND nth = 1) AS BIGINT) AS n_accepted,
+       CAST(count(*) FILTER (WHERE NOT late AND nth > 1) AS BIGINT) AS n_duplicate,
+       CAST(count(*) FILTER (WHERE late) AS BIGINT) AS n_late
+FROM o GROUP BY dt"""
+
+
+@register("r4_late_rows", _DROPS_SQL)
+def r4_late_rows(spark, sf_dir):
+    """Accepted, duplicate and late rows a day of events that land in drops, some of them a drop or two late, some twice.
+
+    The stream is restarted for every drop; a row is late by more than half a drop.
+    """
+    from postlake.functions import partition_date
+    from postlake.session import scratch_dir
+    from postlake.sources.lake import read_raw
+    from postlake.streaming.jobs import read_landing
+    from postlake.streaming.late import stream_raw_on_time
+    ev = read_table(spark, sf_dir, "events")
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    lo, hi = ev.agg(F.min(at), F.max(at)).first()
+    step = (hi - lo) // 3 + 1 if lo is not None else 1
+    late = F.when(F.col("event_id") % 25 == 0, 2).when(F.col("event_id") % 10 == 0, 1).otherwise(0)
+    one = ev.withColumn("drop_no", (F.floor((at - F.lit(lo)) / F.lit(step)) + late).cast("int"))
+    drops = one.unionByName(one.where("event_id % 11 = 0")).unionByName(
+        one.where("event_id % 7 = 0").withColumn("drop_no", F.col("drop_no") + 1))
+    landing, raw, aside, ckpt = (scratch_dir(spark, n) for n in ("landing", "raw", "late", "ckpt"))
+    for k in range(6):
+        drops.where(F.col("drop_no") == k).drop("drop_no").write.mode("append").parquet(landing)
+        stream_raw_on_time(read_landing(spark, landing, ev.schema), raw, aside, ckpt, "ts", ["event_id"],
+                           step // 2 / 1_000_000).awaitTermination()
+    landed = spark.read.schema(ev.schema).parquet(landing).select(partition_date("ts").alias("dt"), F.lit(0).alias("kind"))
+    both = [read_raw(spark, root, schema=ev.schema).select("dt", F.lit(kind).alias("kind")) for root, kind in ((raw, 1), (aside, 2))]
+    n = lambda kind: F.count(F.when(F.col("kind") == kind, 1))
+    return landed.unionByName(both[0]).unionByName(both[1]).groupBy("dt").agg(
+        n(1).alias("n_accepted"), (n(0) - n(1) - n(2)).alias("n_duplicate"), n(2).alias("n_late"))
+
+
 from postlake.plans import catalog_jobs  # noqa: E402, F401  registers the composed jobs and the smaller operators

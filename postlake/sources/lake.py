@@ -213,6 +213,13 @@ def prune_versions(spark: SparkSession, root: str, keep: int = 3) -> list[int]:
     return gone
 
 
+def folder_values(spark: SparkSession, root: str, prefix: str) -> list[str]:
+    """What follows ``prefix`` in the names of the folders of ``root``, ascending; one listing, whatever they hold."""
+    fs, p, _ = _fs(spark, root)
+    names = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+    return sorted(n[len(prefix):] for n in names if n.startswith(prefix))
+
+
 def drop_folders(spark: SparkSession, root: str, prefix: str, keep: set[str]) -> None:
     """Drop the folders of ``root`` whose name starts with ``prefix``, but for those in ``keep``."""
     fs, p, _ = _fs(spark, root)

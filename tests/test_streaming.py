@@ -104,3 +104,31 @@ def test_bounded_state_forgets_keys_and_loses_no_row(spark):
     got = read_snapshot(spark, root).select(*COLS)
     assert got.count() == batch.count() and got.exceptAll(batch).count() == 0
     assert len(states) >= 4 and max(states) < batch.count()
+
+
+def test_late_rows_go_aside_and_each_key_lands_once(spark):
+    from postlake.streaming.late import stream_raw_on_time
+    ddl = "id long, ts timestamp, note string, tags map<string,string>"
+    landing, raw, aside, ck = (scratch_dir(spark, n) for n in ("landing", "raw", "late", "ck"))
+    stamp = lambda s: f"2024-05-01 {s}"
+
+    def drop(*rows, checkpoint=ck):
+        if rows:
+            spark.createDataFrame([(k, s and stamp(s), n) for k, s, n in rows], "id long, t string, note string").select(
+                "id", F.to_timestamp("t").alias("ts"), "note", F.create_map(F.lit("a"), "note").alias("tags")).write.mode("append").parquet(landing)
+        stream_raw_on_time(read_landing(spark, landing, spark.createDataFrame([], ddl).schema), raw, aside, checkpoint, "ts", ["id"], 3600).awaitTermination()
+        read = lambda root: sorted((r.id or 0, r.note) for r in spark.read.parquet(root).collect())
+        return read(raw), read(aside)
+
+    accepted, late = drop((1, "10:00:00", "a"), (1, "10:00:00", "a"), (2, "09:10:00", "b"), (None, "09:30:00", "n"), (3, None, "no time"), (4, "01:00:00", "first batch"))
+    assert accepted == [(0, "n"), (1, "a"), (2, "b"), (4, "first batch")] and late == [(3, "no time")]
+    # horizon 09:00: copies of accepted rows go, 5 is in time at the horizon itself, 6 is a second late, also as a copy of 4
+    accepted, late = drop((1, "10:00:00", "copy"), (None, "09:40:00", "copy"), (5, "09:00:00", "c"), (6, "08:59:59", "d"), (4, "01:00:00", "late copy"), (7, "13:00:00", "e"))
+    assert accepted == [(0, "n"), (1, "a"), (2, "b"), (4, "first batch"), (5, "c"), (7, "e")]
+    assert late == [(3, "no time"), (4, "late copy"), (6, "d")]
+    assert drop() == (accepted, late)  # a restart with nothing new
+    # horizon 12:00: what was accepted before it is not looked at any more
+    accepted, late = drop((1, "12:30:00", "again"), (8, "11:00:00", "f"))
+    assert (1, "again") in accepted and (8, "f") in late and len(accepted) == 7 and len(late) == 4
+    # a stream begun anew has no horizon: it lands what was late, and nothing twice
+    assert drop(checkpoint=scratch_dir(spark, "ck"))[0] == sorted([*accepted, (6, "d"), (8, "f")])
