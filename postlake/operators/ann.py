@@ -41,12 +41,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postlake.functions.vector import cosine_similarity
-from postlake.operators.search import ROW_KEY, ZERO_CELL, _blocks, _dealt, _final_topk, _queries, _search, knn
+from postlake.operators.search import (ROW_KEY, TIE_DECIMALS, ZERO_CELL, _best, _blocks, _dealt, _final_topk, _queries, _search,
+                                       _unit_rows, knn)
 from postlake.session import materialise
 from postlake.sources.lake import latest_version, next_version, write_marker
 
 SAMPLE_ROWS, CELL_SAMPLE, CALIBRATION_ROWS = 32_768, 8_192, 64
-BLOCK_ROWS, TILE_QUERIES = 65_536, 256
+BLOCK_ROWS, TILE_QUERIES, SLICE_ROWS = 65_536, 256, 4096
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -356,8 +357,32 @@ def _paired(spark, index: Index, rows: DataFrame, there: DataFrame, block_rows:
     return here, there
 
 
-def _shortlisted(shared, shortlist: int, tile_queries: int):
-    """One block of a cell and one tile of its queries: the rows of the best code scores."""
+def _code_scores(cells: Cells, q: np.ndarray, near: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """(queries, rows) similarities of the queries to the rows' codes; ``near`` is each query's similarity to the cell's centre."""
+    scores = np.repeat(near.astype(np.float32)[:, None], len(codes), 1)
+    for s, (part, book) in enumerate(zip(cells.parts(q), cells.books, strict=True)):
+        scores += (part @ book.T)[:, codes[:, s]]
+    return scores
+
+
+def _cosines(asked: list, vectors: list) -> np.ndarray:
+    """(queries, rows) exact similarities; NaN where the lengths differ or a side has no direction."""
+    out = np.full((len(asked), len(vectors)), np.nan)
+    for size in {len(v) for v in asked if v is not None} & {len(v) for v in vectors if v is not None}:
+        at, here = ([j for j, v in enumerate(side) if v is not None and len(v) == size] for side in (asked, vectors))
+        (q, q_ok), (x, x_ok) = _unit_rows([asked[j] for j in at], size), _unit_rows([vectors[j] for j in here], size)
+        similar = q @ x.T
+        similar[~q_ok[:, None] | ~x_ok[None, :]] = np.nan
+        out[np.ix_(at, here)] = similar
+    return out
+
+
+def _shortlisted(shared, shortlist: int, tile_queries: int, best: int | None = None):
+    """One block of a cell and one tile of its queries: the rows of the best code scores.
+
+    With ``best`` the shortlist holds every row, whose vectors stand beside the codes: the ``best`` rows by the exact similarity
+    are passed on, from slices of ``SLICE_ROWS`` rows.
+    """
     def run(rows: pa.Table, queries: pa.Table) -> pa.Table:
         cells: Cells = shared.value
         names, keys, found = queries.column("query_id").combine_chunks(), rows.column(ROW_KEY).to_numpy(), []
@@ -367,22 +392,36 @@ def _shortlisted(shared, shortlist: int, tile_queries: int):
             coded = rows.column("codes").null_count == 0
             m = len(cells.books)
             codes = np.frombuffer(b"".join(rows.column("codes").to_pylist()), np.uint8).reshape(-1, m)[by_id] if coded else None
+            exact = rows.column("_vector").combine_chunks().to_numpy(zero_copy_only=False)[by_id] if best else None
             for a in range(0, len(names), tile_queries):
                 vectors = queries.column("vector").slice(a, tile_queries).to_pylist()
+                near = queries.column("near").slice(a, tile_queries).to_numpy()
                 q = np.zeros((len(vectors), cells.dim), np.float32)
                 for j, v in enumerate(vectors):
                     if v is not None and len(v) == cells.dim and (size := np.sqrt(np.square(np.array(v, float)).sum())) > 0:
                         q[j] = np.array(v, float) / size
-                scores = np.full((len(q), len(keys)), -np.inf, np.float32)
-                if coded:
-                    scores[:] = queries.column("near").slice(a, tile_queries).to_numpy()[:, None]
-                    for s, (part, book) in enumerate(zip(cells.parts(q), cells.books, strict=True)):
-                        scores += (part @ book.T)[:, codes[:, s]]
-                top = np.argsort(-scores, axis=1, kind="stable")[:, :shortlist]  # rows in id order: ties go to smaller ids
-                found.append((a + np.repeat(np.arange(len(q)), top.shape[1]), by_id[top.ravel()], np.take_along_axis(scores, top, 1).ravel()))
-        at_q, at_r, scores = (np.concatenate([f[j] for f in found]) if found else np.zeros(0, np.int64) for j in range(3))
-        return pa.table({"query_id": names.take(pa.array(at_q)), "id": rows.column("id").take(pa.array(at_r)), ROW_KEY: pa.array(keys[at_r], pa.int64()),
-                         "cell": rows.column("cell").take(pa.array(at_r)), "near": pa.array(scores.astype(np.float64))})
+                held = []
+                for b in range(0, len(keys), SLICE_ROWS if best else len(keys)):
+                    some = slice(b, b + SLICE_ROWS) if best else slice(None)
+                    n = len(keys[some])
+                    scores = _code_scores(cells, q, near, codes[some]) if coded else np.full((len(q), n), -np.inf, np.float32)
+                    if best:
+                        similar = _cosines(vectors, list(exact[some]))
+                        top = _best(similar, np.arange(n), best)  # rows in id order
+                    else:
+                        similar = None
+                        top = np.argsort(-scores, axis=1, kind="stable")[:, :shortlist]  # rows in id order: ties go to smaller ids
+                    held.append((b + top, *(np.take_along_axis(x, top, 1) if x is not None else np.full(top.shape, np.nan) for x in (scores, similar))))
+                top, scores, similar = (np.concatenate([h[j] for h in held], axis=1) for j in range(3))
+                if best and top.shape[1] > best:
+                    of = _best(similar, np.arange(top.shape[1]), best)  # slices follow each other in id order
+                    top, scores, similar = (np.take_along_axis(x, of, 1) for x in (top, scores, similar))
+                found.append((a + np.repeat(np.arange(len(q)), top.shape[1]), by_id[top.ravel()], scores.ravel(), similar.ravel()))
+        kinds = (np.int64, np.int64, np.float64, np.float64)
+        at_q, at_r, scores, similar = (np.concatenate([f[j] for f in found]) if found else np.zeros(0, kind) for j, kind in enumerate(kinds))
+        out = {"query_id": names.take(pa.array(at_q)), "id": rows.column("id").take(pa.array(at_r)), ROW_KEY: pa.array(keys[at_r], pa.int64()),
+               "cell": rows.column("cell").take(pa.array(at_r)), "near": pa.array(scores.astype(np.float64))}
+        return pa.table(out | {"similarity": pa.array(similar, from_pandas=True)} if best else out)
     return run
 
 
@@ -395,6 +434,10 @@ def search(spark: SparkSession, path: str, queries: DataFrame, k: int = 10, npro
     the best ``shortlist`` rows by their codes (20 * k, 200 at least) are ranked
     exactly.  With all cells and a shortlist of all rows the result is that of
     ``knn``.  A query without a direction visits every cell.
+
+    A shortlist of all rows isn't written out pair by pair: each block ranks
+    its rows exactly and passes on the best k of a query, so the work is that
+    of all pairs, the rows between the steps are queries x blocks x k at most.
     """
     payload, index = list(payload), open_index(spark, path)
     asked = _queries(queries, query_id, query_vec, k_col, k)
@@ -403,14 +446,19 @@ def search(spark: SparkSession, path: str, queries: DataFrame, k: int = 10, npro
     probes = _probes(index, asked, index.nprobe if nprobe is None else nprobe)
     shared = spark.sparkContext.broadcast(index.cells)
     codes = spark.read.parquet(f"{index.where}/codes")
+    rows = spark.read.parquet(f"{index.where}/rows").select("id", ROW_KEY, F.col("vector").alias("_vector"), *payload)
+    every = shortlist >= sum(index.sizes.values())
+    if every:
+        codes = codes.join(rows.select(ROW_KEY, "_vector"), ROW_KEY)
     here, there = _paired(spark, index, codes, probes.join(asked, "query_id").select("query_id", "vector", "cell", "near"), block_rows, tile_queries)
     kind = T.StructType([asked.schema["query_id"], codes.schema["id"], T.StructField(ROW_KEY, T.LongType()), T.StructField("cell", T.IntegerType()),
-                         T.StructField("near", T.DoubleType())])
+                         T.StructField("near", T.DoubleType()), *([T.StructField("similarity", T.DoubleType())] if every else [])])
     keys = ["cell", "_block", "_tile"]
-    near = here.groupBy(*keys).cogroup(there.groupBy(*keys)).applyInArrow(_shortlisted(shared, shortlist, tile_queries), kind)
-    best = Window.partitionBy("query_id").orderBy(F.desc("near"), F.asc("id"))
-    chosen = near.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= F.lit(shortlist)).select("query_id", ROW_KEY, "cell")
-    rows = spark.read.parquet(f"{index.where}/rows").select("id", ROW_KEY, F.col("vector").alias("_vector"), *payload)
+    near = here.groupBy(*keys).cogroup(there.groupBy(*keys)).applyInArrow(
+        _shortlisted(shared, shortlist, tile_queries, kmax if every else None), kind)
+    order = [F.desc_nulls_last(F.round("similarity", TIE_DECIMALS)), F.asc("id")] if every else [F.desc("near"), F.asc("id")]
+    best = Window.partitionBy("query_id").orderBy(*order)
+    chosen = near.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= F.lit(kmax if every else shortlist)).select("query_id", ROW_KEY, "cell")
     ranked = (rows.join(chosen, ROW_KEY).join(asked, "query_id")
               .withColumn("similarity", F.when(F.size("_vector") == F.size("vector"), cosine_similarity("_vector", "vector")))
               .select("query_id", "id", *payload, "similarity", "k"))

@@ -102,3 +102,34 @@ def test_codes_approach_the_residuals(dim, sub_dim):
     cells.books = np.stack([ann.lloyd(p, 64, 2) for p in cells.parts(x)])
     back = np.concatenate([cells.books[s][c] for s, c in enumerate(cells.encode(x).T)], 1)[:, :dim]
     assert ((x - back) ** 2).mean() < 0.25 * (x ** 2).mean()
+
+
+def test_a_shortlist_of_all_rows_passes_on_k_rows_a_block(spark, workdir, monkeypatch):
+    vectors = clustered(spark, 1200, dim=6, centres=4)
+    copies = spark.createDataFrame([(k, [1.0] * 6, "copy") for k in range(5000, 5600)], vectors.schema)
+    odd = spark.createDataFrame([(9001, [0.0] * 6, "zero"), (9000, None, "null"), (9002, [1.0, 2.0], "short"), (9003, [float("nan")] * 6, "nan")], vectors.schema)
+    vectors = materialise(vectors.unionByName(copies).unionByName(odd), "with-copies")
+    ann.build_index(vectors, workdir, rows_per_cell=100, codes=16)
+    queries = materialise(asked(vectors).unionByName(asked(odd.where("id <> 9000"), 1)), "asked-odd")
+    exact = materialise(knn(vectors, queries, k=5), "exact")
+    passed = []
+
+    def counted(*args):
+        out = ann_shortlisted(*args)
+
+        def run(rows, asked):
+            made = out(rows, asked)
+            assert made.num_rows <= 5 * asked.num_rows, "a block passes on more than its best rows"
+            return made
+        passed.append(args)
+        return run
+
+    ann_shortlisted = ann._shortlisted
+    monkeypatch.setattr(ann, "_shortlisted", counted)
+    whole = materialise(ann.search(spark, workdir, queries, k=5, nprobe=999, shortlist=vectors.count(), block_rows=300, tile_queries=3), "whole")
+    direct = [r.query_id for r in queries.where("query_id <> 9002").collect()]  # a query of another length meets rows of that length here alone
+    mine = F.col("query_id").isin(direct)
+    assert passed and ranks(whole.where(mine)) == ranks(exact.where(mine))
+    monkeypatch.setattr(ann, "_shortlisted", ann_shortlisted)
+    cut = ann.search(spark, workdir, queries, k=5, nprobe=999, shortlist=700, block_rows=300, tile_queries=3)
+    assert cut.select("query_id").distinct().count() == queries.count()
