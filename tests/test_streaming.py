@@ -132,3 +132,28 @@ def test_late_rows_go_aside_and_each_key_lands_once(spark):
     assert (1, "again") in accepted and (8, "f") in late and len(accepted) == 7 and len(late) == 4
     # a stream begun anew has no horizon: it lands what was late, and nothing twice
     assert drop(checkpoint=scratch_dir(spark, "ck"))[0] == sorted([*accepted, (6, "d"), (8, "f")])
+
+
+def test_bounded_state_meets_keys_row_by_row():
+    from pyspark.sql import Row
+    from pyspark.sql import types as T
+    from postlake.streaming.jobs import _TIE, _best_processor
+    names = ["user_id", "value", "order_0", _TIE]
+    schema = T.StructType([T.StructField(n, T.LongType()) for n in names])
+
+    class State:
+        held = None
+
+        def get(self):
+            return self.held
+
+        def update(self, value):
+            self.held = value
+
+    processor, state = _best_processor(schema, ["user_id", "value"], ["order_0"], 1000), State()
+    processor.best = state
+    row = Row("a", "b", "a", "c")  # names change on the way, the order of the columns doesn't
+    meet = lambda *rows: [tuple(r) for r in processor.handleInputRows(("key 1",), iter(rows), None)]
+    assert meet(row(2**60 + 1, None, None, 5), row(2**60 + 1, 3, 3, -7), row(2**60 + 1, 3, 3, -8)) == [(2**60 + 1, 3)] and state.held == (3, -7)
+    assert meet(row(2**60 + 1, None, None, 9)) == [] and meet(row(2**60 + 1, 3, 3, -7)) == []
+    assert meet(row(2**60 + 1, 4, 3, -6)) == [(2**60 + 1, 4)]
