@@ -20,7 +20,7 @@ from postlake.operators.model import load_preferred, request_features, train_and
 from postlake.operators.quality import gate_not_empty, search_hits, split_valid, validate_predict, validate_search
 from postlake.operators.search import knn
 from postlake.session import materialise
-from postlake.sources.ingest import hydrate, missing_ids, require_rows, split_errors, top_ids
+from postlake.sources.ingest import hydrate, missing_ids, split_errors, top_ids
 from postlake.sources.lake import (Layout, changed_rows, latest_version, mark_value, merge_snapshot, next_version, prune_versions,
                                    read_raw, read_snapshot, write_hour, write_marker, write_snapshot)
 from postlake.sources.vectors import constraint_violations, read_vectors, upsert_snapshot
@@ -37,13 +37,19 @@ def ingest_hour(spark: SparkSession, layout: Layout, items: DataFrame, dt: str,
     version it was derived from, which its version names; a row that has no
     features any more leaves it, and buckets without a change keep their
     files.  Returns the versions written.  Running an hour again replaces its
-    raw rows and merges the same best rows.
+    raw rows and merges the same best rows.  The items are evaluated once: an
+    hour into which nothing landed is an error, and keeps the rows it had.
     """
-    write_hour(require_rows(items, f"hour {dt} {hr}"), layout.raw, dt, hr)
+    write_hour(items, layout.raw, dt, hr, required=f"hour {dt} {hr}")
     landed = read_raw(spark, layout.raw, dt, hr).drop("dt", "hr")
     out = {"curated": merge_snapshot(layout.curated, landed, "id", curate, buckets, keep_versions=keep)}
+    feeds: dict[int | None, tuple[DataFrame, DataFrame]] = {}
     for name, root, build in (("tabular", layout.tabular, build_tabular_features), ("text", layout.text, build_text_features)):
-        out[name] = _follow(spark, layout.curated, out["curated"], root, build, buckets, keep)
+        since = mark_value(spark, root, _FROM)
+        if since not in feeds:  # layers that follow the same version read one feed
+            rows, left = changed_rows(spark, layout.curated, since, until=out["curated"])
+            feeds[since] = (rows if since is None else materialise(rows, "changed")), left
+        out[name] = _follow(spark, feeds[since], out["curated"], since, root, build, buckets, keep)
     return out
 
 
@@ -56,17 +62,17 @@ def _replaced(existing: DataFrame | None, batch: DataFrame) -> DataFrame:
     return existing.join(batch.select("id"), "id", "left_anti").unionByName(batch, allowMissingColumns=True)
 
 
-def _follow(spark: SparkSession, source: str, version: int, root: str, build, buckets: int, keep: int) -> int:
-    """Merge the features of the rows that changed in ``source`` into ``root``; returns its version."""
-    since = mark_value(spark, root, _FROM)
-    rows, left = changed_rows(spark, source, since, until=version)
-    rows = materialise(rows, "changed")
+def _follow(spark: SparkSession, feed: tuple[DataFrame, DataFrame], version: int, since: int | None, root: str, build, buckets: int,
+            keep: int) -> int:
+    """Merge the features of the ``feed`` (rows that changed from ``since`` to ``version``, keys that left) into ``root``; returns its version."""
+    rows, left = feed
     features = build(rows)
     keys = rows.select("id").unionByName(left)
     if since is None and latest_version(spark, root) is not None:  # a layer of unknown origin: any of its rows may be out of date
         keys = keys.unionByName(read_snapshot(spark, root).select("id"))
     without = keys.distinct().join(features.select("id"), "id", "left_anti")
-    batch = materialise(features.withColumn(_GONE, F.lit(False)).unionByName(without.withColumn(_GONE, F.lit(True)), allowMissingColumns=True), "features")
+    # evaluated once, by the merge
+    batch = features.withColumn(_GONE, F.lit(False)).unionByName(without.withColumn(_GONE, F.lit(True)), allowMissingColumns=True)
     written = merge_snapshot(root, batch, "id", _replaced, buckets, keep_versions=keep, mark=f"{_FROM}{version}", gone=_GONE)
     return write_snapshot(features.where("false"), root) if written is None else written
 

@@ -123,3 +123,31 @@ def test_jobs_with_a_learnt_encoder(spark, layout):
     hits = jobs.search(spark, layout, requests, encoder=encoder)[0].collect()
     best = {r.query_id: r.similarity for r in hits if r["rank"] == 1}
     assert len(hits) == 12 and all(abs(best[r.id] - 1) < 1e-5 for r in some)  # a text finds itself or its copy
+
+
+def test_an_hour_evaluates_its_items_once_and_refuses_none(spark, layout):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    first = items(spark)
+    n = first.count()
+    jobs.ingest_hour(spark, layout, first.mapInArrow(counted, first.schema), "2024-01-01", "07")
+    assert seen.value == n  # before, a part of the rows was evaluated a second time to see whether there were any
+    with pytest.raises(ValueError, match="empty hour 2024-01-01 07: nothing extracted"):
+        jobs.ingest_hour(spark, layout, first.where("false"), "2024-01-01", "07")
+    assert lake.read_raw(spark, layout.raw, "2024-01-01", "07").count() == n
+    read = []
+    feed = jobs.changed_rows
+    jobs.changed_rows = lambda *a, **k: read.append(a) or feed(*a, **k)
+    try:
+        jobs.ingest_hour(spark, layout, first.where("id % 2 = 0").withColumns({"score": F.col("score") + 7, "ingested_at": F.lit("2024-01-01T08")}), "2024-01-01", "08")
+    finally:
+        jobs.changed_rows = feed
+    assert len(read) == 1  # both layers follow one version
+    curated = read_snapshot(spark, layout.curated)
+    assert same(read_snapshot(spark, layout.tabular), build_tabular_features(curated))
+    assert same(read_snapshot(spark, layout.text), build_text_features(curated))
