@@ -137,3 +137,30 @@ def test_author_lookup_pushes_filter(spark, workdir):
     assert "PushedFilters: [IsNotNull(by_author), EqualTo(by_author," in plan
     ts = [r.created_ts for r in got.collect()]
     assert ts == sorted(ts, reverse=True) and len(ts) == t.where(F.col("by_author") == author).count()
+
+
+def test_knn_cells_are_small_and_carry_no_payload(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from postlake.operators import search
+    rows = [(k % 40, [float(k % 7), 1.0, float(k % 3)], f"text {k}") for k in range(120)] + [(None, [0.0, 0.0, 0.0], "no id")]
+    v = spark.createDataFrame(rows, "id long, embedding array<float>, title string")
+    q = spark.createDataFrame([(1, [1.0, 2.0, 0.5]), (2, [0.0, 0.0, 0.0])], "query_id long, embedding array<float>")
+    met, cell = [], search._search
+
+    def seen(rows, *args):
+        met.append(rows.schema)
+        return cell(rows, *args)
+
+    monkeypatch.setattr(search, "_search", seen)
+    hits = knn(v, q, k=121, payload=["title"])
+    assert hits.columns == ["query_id", "id", "title", "similarity", "rank"]
+    assert "title" not in met[0].names and met[0]["vector"].dataType.elementType.simpleString() == "float"
+    got = hits.where("query_id = 1")
+    # every row once with its own text, though ids repeat and one is null
+    assert sorted((r.id if r.id is not None else -1, r.title) for r in got.collect()) == sorted((i if i is not None else -1, t) for i, _, t in rows)
+    parts = []
+    monkeypatch.setattr(search, "_search", lambda rows, *args: parts.append(rows.agg(F.max("_group")).first()[0]) or cell(rows, *args))
+    wide = spark.range(40_000).select("id", F.array(F.lit(1.0), F.rand(1)).cast("array<float>").alias("embedding"))
+    assert knn(wide, q.select("query_id", F.slice("embedding", 1, 2).alias("embedding")), k=1).count() == 2
+    assert parts == [2]  # three groups of at most about 16,384 rows; it was one of 40,000
