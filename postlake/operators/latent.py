@@ -12,8 +12,9 @@ in their terms as its vector, without forming A or A'A in one place:
 * the matrix is written once, a row a text, as (terms, weights);
 * each round of subspace iteration is one pass over it: a task multiplies its
   rows with the basis (vocabulary x (dim + oversample) numbers, broadcast) and
-  back, and the partial products are summed by blocks of words, in two steps,
-  so neither a block nor the driver holds more than a fixed number of them;
+  back, common words as a dense matrix and rare ones entry by entry, and the
+  partial products are summed by blocks of words, in two steps, so neither a
+  block nor the driver holds more than a fixed number of them;
 * the driver keeps the basis orthogonal.  With 20,000 words and 400 columns it
   is 64 MB, whatever the number of texts.
 
@@ -27,6 +28,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,32 +43,48 @@ from postlake.session import materialise
 
 BLOCK, WAYS = 256, 32
 ROWS_AT_ONCE = 2048
+ROWS_MULTIPLIED = 512
+#: A word that stands in one of so many rows is multiplied as a dense column.
+COMMON = 128
 
+_split = regex.compile(TOKEN_PATTERN).split
+#: All of ASCII but letters and digits becomes spaces; the bytes of other characters stay.
+_ASCII_CUT = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
-def tokens(text_col: str):
-    """The lower-cased letter and digit runs of a text, as a Column."""
-    words = F.split(F.lower(F.coalesce(F.col(text_col).cast("string"), F.lit(""))), TOKEN_PATTERN)
-    return F.filter(words, lambda w: w != "")
+
+def words_of(text: str) -> list[bytes]:
+    """The lower-cased letter and digit runs of a text as UTF-8, in no order; only what isn't ASCII goes through the pattern."""
+    found = text.lower().encode("utf-8", "replace").translate(_ASCII_CUT).split()
+    if text.isascii():
+        return found
+    rest = b" ".join([w for w in found if not w.isascii()]).decode()
+    return [w for w in found if w.isascii()] + [w.encode() for w in _split(rest) if w]
 
 
 class _Rows:
     """TF-IDF rows of unit length over a vocabulary: (terms of all texts, their weights, terms of each text)."""
 
     def __init__(self, terms: list[str], idf: np.ndarray):
-        self.number, self.idf = {t: k for k, t in enumerate(terms)}, idf
-        self.split = regex.compile(TOKEN_PATTERN).split
+        self.place, self.idf = {t.encode(): k for k, t in enumerate(terms, 1)}, idf  # from 1: filter drops None and 0
 
     def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        get, n = self.number.get, max(1, len(self.number))
-        found = [[k for w in self.split((t or "").lower()) if (k := get(w)) is not None] for t in texts]
+        get, n = self.place.get, max(1, len(self.place))
+        found = [list(filter(None, map(get, words_of(t or "")))) for t in texts]
         row = np.repeat(np.arange(len(texts)), [len(f) for f in found])
-        keys, tf = np.unique(row * n + np.array([k for f in found for k in f], np.int64), return_counts=True)
+        keys, tf = np.unique(row * n + np.fromiter(chain.from_iterable(found), np.int64, len(row)) - 1, return_counts=True)
         row, term = np.divmod(keys, n)
         weight = (1 + np.log(tf)) * self.idf[term]
         norm = np.sqrt(np.bincount(row, weight * weight, minlength=len(texts)))
         return term, weight / norm[row], np.bincount(row, minlength=len(texts))
 
 
+def _add_runs(out: np.ndarray, where: np.ndarray, values: np.ndarray) -> None:
+    """``out[where] += values``, where equal numbers in ``where`` stand together and all their values count."""
+    if len(where):
+        heads = np.flatnonzero(np.diff(where, prepend=-1))
+        out[where[heads]] += np.add.reduceat(values, heads, axis=0)
+
+
 @dataclass
 class LatentEncoder:
     """Words with their idf and direction: all that encoding needs (vocabulary x dim numbers)."""
@@ -90,7 +108,7 @@ class LatentEncoder:
             self._rows = _Rows(self.terms, self.idf)
         term, weight, count = self._rows(texts)
         out = np.zeros((len(texts), self.dim))
-        np.add.at(out, np.repeat(np.arange(len(texts)), count), self.vectors[term] * weight[:, None])
+        _add_runs(out, np.repeat(np.arange(len(texts)), count), self.vectors[term] * weight[:, None])
         norm = np.linalg.norm(out, axis=1, keepdims=True)
         return np.divide(out, norm, out=np.zeros_like(out), where=norm > 1e-12).astype(np.float32)
 
@@ -116,7 +134,9 @@ class LatentEncoder:
 
 def vocabulary(texts: DataFrame, text_col: str, max_terms: int, min_docs: int) -> DataFrame:
     """``(term, n_docs)`` of the words that stand in most texts; equal counts go to the smaller word."""
-    seen = texts.select(F.explode(F.array_distinct(tokens(text_col))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_docs"))
+    words = F.split(F.lower(F.coalesce(F.col(text_col).cast("string"), F.lit(""))), TOKEN_PATTERN)
+    found = texts.select(F.explode(F.array_distinct(words)).alias("term")).where("term <> ''")
+    seen = found.groupBy("term").agg(F.count(F.lit(1)).alias("n_docs"))
     return seen.where(F.col("n_docs") >= min_docs).orderBy(F.desc("n_docs"), "term").limit(max_terms)
 
 
@@ -132,26 +152,32 @@ def _matrix(shared, text_col: str):
     return run
 
 
+def _add_products(out: np.ndarray, basis: np.ndarray, term: np.ndarray, weight: np.ndarray, count: np.ndarray) -> None:
+    """Adds A'(A Q) of some rows to ``out``: words that stand in many of them as a dense matrix, the others entry by entry."""
+    row = np.repeat(np.arange(len(count)), count)
+    common = np.bincount(term, minlength=len(basis)) * COMMON >= len(count)
+    words, often = np.flatnonzero(common), common[term]
+    dense = np.zeros((len(count), len(words)))
+    dense[row[often], (np.cumsum(common) - 1)[term[often]]] = weight[often]
+    row, term, weight = row[~often], term[~often], weight[~often, None]
+    seen = dense @ basis[words]
+    _add_runs(seen, row, basis[term] * weight)
+    out[words] += dense.T @ seen
+    order = np.argsort(term, kind="stable")
+    _add_runs(out, term[order], seen[row[order]] * weight[order])
+
+
 def _products(shared):
     """A task's share of A'(A Q), as blocks of words."""
     def run(batches):
         basis = shared.value
         out = np.zeros_like(basis)
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
-                some = batch.slice(at, ROWS_AT_ONCE)
+            for at in range(0, batch.num_rows, ROWS_MULTIPLIED):
+                some = batch.slice(at, ROWS_MULTIPLIED)
                 count = np.diff(some.column("terms").offsets.to_numpy())
                 term, weight = some.column("terms").flatten().to_numpy(), some.column("weights").flatten().to_numpy()
-                row = np.repeat(np.arange(len(count)), count)
-                order = np.argsort(term, kind="stable")  # by word: sums of runs of rows
-                seen = np.zeros((len(count), basis.shape[1]))
-                filled = np.flatnonzero(count)
-                if len(filled) == 0:
-                    continue
-                heads = np.concatenate([[0], np.cumsum(count[filled])[:-1]])
-                seen[filled] = np.add.reduceat(basis[term] * weight[:, None], heads, axis=0)
-                words, heads = np.unique(term[order], return_index=True)
-                out[words] += np.add.reduceat(seen[row[order]] * weight[order][:, None], heads, axis=0)
+                _add_products(out, basis, term, weight, count)
         part = TaskContext.get().partitionId()
         for b in range(0, len(out), BLOCK):
             if out[b:b + BLOCK].any():

@@ -1,12 +1,18 @@
 """The learnt encoder: planted synonyms, directions against numpy, its projection against SQL."""
 
+import tracemalloc
+from collections import Counter
+from types import SimpleNamespace
+
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from postlake.operators import latent
-from postlake.operators.embed import HashedBagOfWords, encode_frame, encode_with
+from postlake.operators.embed import TOKEN_PATTERN, HashedBagOfWords, encode_frame, encode_with
 from postlake.operators.search import knn
 
 PAIRS = [("car", "auto"), ("film", "movie"), ("ship", "vessel")]
@@ -122,3 +128,39 @@ def test_encode_frame_takes_the_learnt_encoder(spark, texts, encoder):
                                                 "created_ts": F.current_timestamp()})
     out, _, report = encode_frame(frame, model_name=encoder.name, encoder_factory=encoder.factory(spark))
     assert report["vector_dim"] == 8 and {r.model_name for r in out.select("model_name").collect()} == {encoder.name}
+
+
+def test_words_are_the_runs_of_the_pattern():
+    r = np.random.default_rng(5)
+    some = ["a", "B", "Z", "9", "_", " ", "\n", "\x00", "\x7f", "\x85", "\xa0", "-", "é", "É", "ß", "İ", "Σ", "ς", "’", "–", "\u3000", "\u0301", "中", "文",
+            "𝟘", "Ⅻ", "²", "Ж", "🙂", "ﬁ", "\ud800"]
+    for text in ["", "?!", "naïve–car Car", "_a_"] + ["".join(r.choice(some, r.integers(14))) for _ in range(3000)]:
+        want = Counter(w for w in regex.split(TOKEN_PATTERN, text.lower()) if w)
+        assert Counter(w.decode() for w in latent.words_of(text)) == want, ascii(text)
+
+
+def test_vocabulary_has_no_empty_word_and_counts_a_text_once(spark):
+    rows = [("-car, Car!",), ("car–auto ",), (" auto",), ("…",), ("",), (None,)]
+    found = latent.vocabulary(spark.createDataFrame(rows, "title string"), "title", 10, 1).collect()
+    assert [tuple(r) for r in found] == [("auto", 2), ("car", 2)]
+
+
+def test_products_of_common_and_rare_words_in_little_memory(monkeypatch):
+    r = np.random.default_rng(2)
+    n_rows, n_terms, width = 2000, 400, 32
+    a = r.random((n_rows, n_terms)) * (r.random((n_rows, n_terms)) < np.where(np.arange(n_terms) < 250, 0.5, 0.002))
+    a[::7] = 0
+    term, count = np.nonzero(a)[1], (a > 0).sum(1)
+    assert 0 < (a[:, 250:] > 0).sum() and (count == 0).any()
+    cuts = pa.array(np.concatenate([[0], np.cumsum(count)]).astype(np.int32))
+    batch = pa.record_batch({"terms": pa.ListArray.from_arrays(cuts, pa.array(term.astype(np.int32))),
+                             "weights": pa.ListArray.from_arrays(cuts, pa.array(a[a > 0]))})
+    basis = r.normal(size=(n_terms, width))
+    monkeypatch.setattr(latent, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    tracemalloc.start()
+    made = list(latent._products(SimpleNamespace(value=basis))([batch.slice(0, 3), batch.slice(3, 0), batch.slice(3)]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    got = np.concatenate([np.frombuffer(m.column("sums")[0].as_py()).reshape(-1, width) for m in made])
+    assert np.allclose(got, a.T @ (a @ basis), rtol=1e-10)
+    assert peak < 0.2 * len(term) * width * 8, peak  # entries times columns never stand in one array
