@@ -34,21 +34,31 @@ def _order_key(order_by: Sequence[str], all_cols: Sequence[str]) -> Column:
 
 
 def best_per_key(df: DataFrame, key: str | Sequence[str] = "id",
-                 order_by: Sequence[str] = ("score", "ingested_at")) -> DataFrame:
+                 order_by: Sequence[str] = ("score", "ingested_at"), within: Sequence[str] = ()) -> DataFrame:
     """Per key, the row with the largest ``order_by`` values
-    (descending, NULLs last, then the next column as tie-break)."""
-    keys = [key] if isinstance(key, str) else list(key)
-    cols = df.columns
+    (descending, NULLs last, then the next column as tie-break).
+
+    ``within`` names columns that follow from the key and by which ``df`` is
+    dealt: the rows of a key then meet where they lie, without a shuffle.
+    They have no part in the order.
+    """
+    keys = [*within, *([key] if isinstance(key, str) else key)]
+    cols = [c for c in df.columns if c not in within]
     payload = [c for c in cols if c not in keys]
     best = F.max_by(F.struct(*[F.col(c) for c in payload]), _order_key(order_by, cols)).alias("_best")
-    return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_best.{c}").alias(c) for c in payload]).select(*cols)
+    return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_best.{c}").alias(c) for c in payload]).select(*df.columns)
+
+
+def key_repeats(df: DataFrame, key: str = "id") -> bool:
+    """Whether any key has two rows; reads and shuffles the keys alone."""
+    return not df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).isEmpty()
 
 
 def curate(current: DataFrame | None, new: DataFrame, key: str = "id",
-           order_by: Sequence[str] = ("score", "ingested_at")) -> DataFrame:
+           order_by: Sequence[str] = ("score", "ingested_at"), within: Sequence[str] = ()) -> DataFrame:
     """Merge a new raw batch into the curated snapshot: U1 then D1."""
     merged = new if current is None else union_by_name(current, new)
-    return best_per_key(merged, key, order_by)
+    return best_per_key(merged, key, order_by, within)
 
 
 def sort_desc_nulls_last(df: DataFrame, col: str = "score", tiebreak: str = "id") -> DataFrame:

@@ -21,8 +21,8 @@ from postlake.operators.quality import gate_not_empty, search_hits, split_valid,
 from postlake.operators.search import knn
 from postlake.session import materialise
 from postlake.sources.ingest import hydrate, missing_ids, split_errors, top_ids
-from postlake.sources.lake import (Layout, changed_rows, latest_version, mark_value, merge_snapshot, next_version, prune_versions,
-                                   read_raw, read_snapshot, write_hour, write_marker, write_snapshot)
+from postlake.sources.lake import (Layout, buckets_of, changed_rows, follow_snapshot, latest_version, mark_value, merge_snapshot,
+                                   next_version, prune_versions, read_raw, read_snapshot, write_hour, write_marker)
 from postlake.sources.vectors import constraint_violations, read_vectors, upsert_snapshot
 
 HIT_COLUMNS = ["title", "url", "score", "by_author"]
@@ -33,50 +33,40 @@ def ingest_hour(spark: SparkSession, layout: Layout, items: DataFrame, dt: str,
                 buckets: int = 16) -> dict[str, int]:
     """Hourly: land the fetched items, merge them into their buckets of the curated snapshot, bring both feature layers up to it.
 
-    A feature layer takes over the rows that changed since the curated
-    version it was derived from, which its version names; a row that has no
-    features any more leaves it, and buckets without a change keep their
-    files.  Returns the versions written.  Running an hour again replaces its
-    raw rows and merges the same best rows.  The items are evaluated once: an
-    hour into which nothing landed is an error, and keeps the rows it had.
+    A feature layer names the curated version it was derived from and has its
+    buckets: those with a row that changed since are derived again from the
+    curated ones, those without a change keep their files.  Returns the
+    versions written.  Running an hour again replaces its raw rows and merges
+    the same best rows.  The items are evaluated once: an hour into which
+    nothing landed is an error, and keeps the rows it had.
     """
     write_hour(items, layout.raw, dt, hr, required=f"hour {dt} {hr}")
     landed = read_raw(spark, layout.raw, dt, hr).drop("dt", "hr")
-    out = {"curated": merge_snapshot(layout.curated, landed, "id", curate, buckets, keep_versions=keep)}
-    feeds: dict[int | None, tuple[DataFrame, DataFrame]] = {}
-    for name, root, build in (("tabular", layout.tabular, build_tabular_features), ("text", layout.text, build_text_features)):
+    now = merge_snapshot(layout.curated, landed, "id", curate, buckets, keep_versions=keep, keys=landed.select("id"))
+    out, changed = {"curated": now}, {None: None}  # a layer of unknown origin: any of its rows may be out of date
+    for name, root, build in (("tabular", layout.tabular, build_tabular_features), ("text", layout.text, _text_features)):
         since = mark_value(spark, root, _FROM)
-        if since not in feeds:  # layers that follow the same version read one feed
-            rows, left = changed_rows(spark, layout.curated, since, until=out["curated"])
-            feeds[since] = (rows if since is None else materialise(rows, "changed")), left
-        out[name] = _follow(spark, feeds[since], out["curated"], since, root, build, buckets, keep)
+        if since not in changed:  # layers that follow the same version read one feed
+            rows, left = changed_rows(spark, layout.curated, since, until=now)
+            changed[since] = buckets_of(spark, layout.curated, now, rows.select("id").unionByName(left), "id")
+        out[name] = follow_snapshot(spark, layout.curated, now, root, build, "id", changed[since], keep, mark=f"{_FROM}{now}")
     return out
 
 
-_FROM, _GONE = "_curated-", "_gone"
+_FROM = "_curated-"
+
+
+def _text_features(curated: DataFrame) -> DataFrame:
+    return build_text_features(curated, check_ids=True)
 
 
 def _replaced(existing: DataFrame | None, batch: DataFrame) -> DataFrame:
+    """A merge by which rows of the batch replace whole rows."""
     if existing is None:
         return batch
     return existing.join(batch.select("id"), "id", "left_anti").unionByName(batch, allowMissingColumns=True)
 
 
-def _follow(spark: SparkSession, feed: tuple[DataFrame, DataFrame], version: int, since: int | None, root: str, build, buckets: int,
-            keep: int) -> int:
-    """Merge the features of the ``feed`` (rows that changed from ``since`` to ``version``, keys that left) into ``root``; returns its version."""
-    rows, left = feed
-    features = build(rows)
-    keys = rows.select("id").unionByName(left)
-    if since is None and latest_version(spark, root) is not None:  # a layer of unknown origin: any of its rows may be out of date
-        keys = keys.unionByName(read_snapshot(spark, root).select("id"))
-    without = keys.distinct().join(features.select("id"), "id", "left_anti")
-    # evaluated once, by the merge
-    batch = features.withColumn(_GONE, F.lit(False)).unionByName(without.withColumn(_GONE, F.lit(True)), allowMissingColumns=True)
-    written = merge_snapshot(root, batch, "id", _replaced, buckets, keep_versions=keep, mark=f"{_FROM}{version}", gone=_GONE)
-    return write_snapshot(features.where("false"), root) if written is None else written
-
-
 def ingest_ids(spark: SparkSession, layout: Layout, ranked: DataFrame, fetch, dt: str, hr: str, limit: int | None = 100,
                partitions: int | None = None, **options) -> tuple[dict[str, int], DataFrame, DataFrame]:
     """Hourly, from the ranked id list: the first ``limit`` ids are fetched once, failures set aside, the rest ingested.
