@@ -120,7 +120,7 @@ def encode_frame(df: DataFrame, text_col: str = "title", dim: int = EMBEDDING_DI
     run_id = uuid.uuid4().hex
     enc = (hashed_vectors(df, text_col, dim) if encoder_factory is None
            else encode_with(df, encoder_factory, text_col))
-    out = materialise(with_lineage(enc, model_name, run_id), "encoded")                                   # S14
+    out = materialise(with_lineage(enc, model_name, run_id), "encoded", "zstd")                                   # S14
     stats = out.agg(F.count(F.lit(1)).alias("n_vectors"), F.max(F.size("embedding")).alias("vector_dim")).first()
     sample = [r.asDict() for r in out.select("id", text_col).orderBy("id").limit(10).collect()]  # S15
     report = {"n_inputs": stats.n_vectors, "n_vectors": stats.n_vectors, "vector_dim": stats.vector_dim,

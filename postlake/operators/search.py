@@ -8,7 +8,8 @@ broadcast, a cell's product matrix has a fixed size, and no (query, vector)
 pair becomes a row.  The winners of up to ``merge_blocks`` blocks are merged
 in the task that computed them (a task takes a run of blocks); the final
 top-k per query is a window over those, cut before the shuffle by the
-literal largest k.  A payload stays behind and is joined to the winners.
+literal largest k.  A payload stays behind and is joined to the winners, which
+are written for that.
 
 Approximate top-k (K2) is an IVF index: k-means cells over unit vectors, kept
 with their centroids as versioned snapshots; rows without a direction (zero
@@ -119,16 +120,30 @@ def _queries(queries: DataFrame, query_id: str, query_vec: str, k_col: str | Non
                                       wanted.alias("k")), "queries")
 
 
+def _with_payload(hits: DataFrame, rows: DataFrame, payload: list[str], id_col: str) -> DataFrame:
+    """The winners with their rows' payload.  They are written first: by their size the join needn't shuffle the payload of all rows."""
+    if payload:
+        hits = materialise(hits, "hits").join(rows.select(ROW_KEY, *payload), ROW_KEY)
+    return hits.select("query_id", F.col("id").alias(id_col), *payload, "similarity", "rank")
+
+
 def knn(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "id", vec_col: str = "embedding",
         query_id: str = "query_id", query_vec: str = "embedding", k_col: str | None = None,
-        payload: Sequence[str] = (), block_rows: int = 4096, tile_queries: int = 1024, merge_blocks: int = 4) -> DataFrame:
-    """K1: exact cosine top-k per query -> ``(query_id, id, *payload, similarity, rank)``."""
+        payload: Sequence[str] = (), block_rows: int = 4096, tile_queries: int = 1024, merge_blocks: int = 4,
+        row_key: str | None = None) -> DataFrame:
+    """K1: exact cosine top-k per query -> ``(query_id, id, *payload, similarity, rank)``.
+
+    ``row_key`` names a column of a written table that is never null and
+    tells its rows apart; without one the vectors are copied once.
+    """
     payload = list(payload)
     # floats stay floats on the way and become doubles in the cell
     vector = F.col(vec_col) if vectors.schema[vec_col].dataType == T.ArrayType(T.FloatType()) else F.col(vec_col).cast("array<double>")
-    # the payload waits under a key that the write fixes until the winners are known
-    rows = materialise(vectors.select(F.col(id_col).alias("id"), vector.alias("vector"), *payload, F.monotonically_increasing_id().alias(ROW_KEY)),
-                       "vectors")
+    # the payload waits under a key until the winners are known
+    rows = vectors.select(F.col(id_col).alias("id"), vector.alias("vector"), *payload,
+                          (F.col(row_key) if row_key else F.monotonically_increasing_id()).alias(ROW_KEY))
+    if not row_key:
+        rows = materialise(rows, "vectors")  # fixes the key
     asked = _queries(queries, query_id, query_vec, k_col, k)
     size = asked.agg(F.count(F.lit(1)).alias("n"), F.max("k").alias("k")).first()
     groups = max(1, math.ceil(rows.count() / (block_rows * merge_blocks)))
@@ -140,9 +155,7 @@ def knn(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "id",
         "_group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
     hits = _search(here, there, ["_group", "_tile"], int(size.k or k), [ROW_KEY], "id", vectors.schema[id_col].dataType,
                    queries.schema[query_id].dataType, tile_queries, block_rows)
-    if payload:
-        hits = hits.join(rows.select(ROW_KEY, *payload), ROW_KEY)
-    return hits.select("query_id", F.col("id").alias(id_col), *payload, "similarity", "rank")
+    return _with_payload(hits, rows, payload, id_col)
 
 
 # ------------------------------------------------------------------ IVF (K2)

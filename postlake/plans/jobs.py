@@ -114,14 +114,15 @@ def index_daily(spark: SparkSession, layout: Layout, dim: int = 384, keep: int =
     else:
         dim = encoder.dim
         vectors, run_id, report = encode_frame(texts, model_name=encoder.name, encoder_factory=encoder.factory(spark))
-    bad = constraint_violations(vectors, dim=dim).select("id").distinct()
-    written = upsert_snapshot(layout.vectors, vectors.join(bad, "id", "left_anti"))
+    bad = materialise(constraint_violations(vectors, dim=dim).select("id").distinct(), "rejected")
+    good = vectors if bad.isEmpty() else vectors.join(bad, "id", "left_anti")  # with no reject, no row meets another
+    n = upsert_snapshot(layout.vectors, good, written=True)
     encoding_log(spark, run_id, report).write.mode("append").parquet(layout.runs)
     model = HASHED_MODEL_NAME if encoder is None else encoder.name
     index = f"{layout.index}/{model}"
     ann.build_index(read_vectors(spark, layout.vectors).where(F.col("model_name") == model), index, payload=HIT_COLUMNS)
     prune_versions(spark, index, keep)
-    return report | {"run_id": run_id, "n_written": written}
+    return report | {"run_id": run_id, "n_written": n}
 
 
 def predict(spark: SparkSession, layout: Layout, requests: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -151,5 +152,5 @@ def search(spark: SparkSession, layout: Layout, requests: DataFrame, model_name:
     index = f"{layout.index}/{model_name}"
     if exact or latest_version(spark, index) is None:
         vectors = read_vectors(spark, layout.vectors).where(F.col("model_name") == model_name)
-        return search_hits(knn(vectors, queries, k_col="k", payload=HIT_COLUMNS)), rejected
+        return search_hits(knn(vectors, queries, k_col="k", payload=HIT_COLUMNS, row_key="id")), rejected
     return search_hits(ann.search(spark, index, queries, k_col="k", payload=HIT_COLUMNS)), rejected

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlake.functions import now_utc
@@ -37,28 +37,39 @@ def with_lineage(df: DataFrame, model_name: str, run_id: str | None) -> DataFram
 
 
 def upsert(existing: DataFrame | None, new: DataFrame, key: str = "id",
-           dedup_order: Sequence[str] = ("indexed_at", "created_ts", "score")) -> DataFrame:
-    """Whole-row replace by ``key``."""
-    fresh = best_per_key(new, key, [c for c in dedup_order if c in new.columns])
+           dedup_order: Sequence[str] = ("indexed_at", "created_ts", "score"), within: Sequence[str] = ()) -> DataFrame:
+    """Whole-row replace by ``key``; rows dealt by ``within`` are replaced where they lie (see ``best_per_key``)."""
+    fresh = best_per_key(new, key, [c for c in dedup_order if c in new.columns], within)
     if existing is None:
         return fresh
+    if within:
+        both = existing.withColumn("_new", F.lit(0)).unionByName(fresh.withColumn("_new", F.lit(1)), allowMissingColumns=True)
+        newest = F.max("_new").over(Window.partitionBy(*within, key))
+        return both.withColumn("_newest", newest).where(F.col(key).isNull() | (F.col("_new") == F.col("_newest"))).drop("_new", "_newest")
     kept = existing.join(fresh.select(key), key, "left_anti")
     return kept.unionByName(fresh, allowMissingColumns=True)
 
 
 def upsert_snapshot(root: str, new: DataFrame, key: str = "id", buckets: int = 16, files: int = 1,
-                    keep_versions: int = 2) -> int:
+                    keep_versions: int = 2, written: bool = False) -> int:
     """S11 on the lake: rewrites the buckets that ``new`` touches.  Returns the number of ids written
     (0 and nothing changed when empty).
 
-    The batch is evaluated once, written beside the table.  ``buckets``
+    The batch is evaluated once, written beside the table; one that is
+    ``written`` already is read from there, and shuffled once.  ``buckets``
     belongs to the table; one writer per table.
     """
-    fresh = materialise(upsert(None, new.where(F.col(key).isNotNull()), key), "upsert")
-    n = fresh.count()
+    fresh = new.where(F.col(key).isNotNull())
+    if not written:
+        fresh = materialise(upsert(None, fresh, key), "upsert")
+    keys = fresh.select(key)
+    n = keys.distinct().count() if written else fresh.count()
+
+    def merge(existing: DataFrame | None, batch: DataFrame, within: Sequence[str] = ()) -> DataFrame:
+        return batch if existing is None and not written else upsert(existing, batch, key, within=within)
+
     if n:
-        merge_snapshot(root, fresh, key, lambda existing, batch: batch if existing is None else upsert(existing, batch, key),
-                       buckets, files, keep_versions)
+        merge_snapshot(root, fresh, key, merge, buckets, files, keep_versions, keys=keys if written else None)
     return n
 
 
