@@ -19,9 +19,9 @@ less centre) is product-quantised, one byte for each ``sub_dim`` numbers.
   never read.  The result is that of ``search.knn``.
 
 Layout: ``codes`` (a few bytes a row, read by every search) and ``rows``
-(vectors and payload, read for the shortlist alone) in folders of first-level
-cells, ``centroids`` with row counts and radii, ``codebooks``, ``meta``;
-versioned like other snapshots.  Rows without a direction (zero, null or of
+(vectors, read for the shortlist alone) in folders of first-level cells,
+``payload`` as the rows came (joined to the hits), ``centroids`` with row
+counts and radii, ``codebooks``, ``meta``; versioned like other snapshots.  Rows without a direction (zero, null or of
 another dimension) stand in a reserved cell that every query visits.
 Centroids (cells x dim numbers, ``max_cells`` at most) and codebooks (codes x
 dim) are broadcast; rows and codes never are.  A cell of any size is dealt to
@@ -42,9 +42,9 @@ from pyspark.sql import types as T
 
 from postlake.functions.vector import cosine_similarity
 from postlake.operators.search import (ROW_KEY, TIE_DECIMALS, ZERO_CELL, _best, _blocks, _dealt, _final_topk, _queries, _search,
-                                       _unit_rows, knn)
+                                       _unit_rows, _with_payload, knn)
 from postlake.session import materialise
-from postlake.sources.lake import latest_version, next_version, write_marker
+from postlake.sources.lake import latest_version, marked, next_version, write_marker
 
 SAMPLE_ROWS, CELL_SAMPLE, CALIBRATION_ROWS = 32_768, 8_192, 64
 BLOCK_ROWS, TILE_QUERIES, SLICE_ROWS = 65_536, 256, 4096
@@ -162,17 +162,22 @@ def _assign(cells, with_codes: bool):
 
 def build_index(vectors: DataFrame, path: str, id_col: str = "id", vec_col: str = "embedding", payload: Sequence[str] = (),
                 rows_per_cell: int = 1000, min_cells: int = 16, max_cells: int = 16_384, sub_dim: int = 4, codes: int = 256,
-                target: float = 0.97, k: int = 10, seed: int = 42) -> str:
+                target: float = 0.97, k: int = 10, seed: int = 42, row_key: str | None = None) -> str:
     """Index every row of ``vectors``; returns the path of the new version.
 
     ``rows_per_cell`` sets the number of cells, between ``min_cells`` and
     ``max_cells``.  ``target`` and ``k`` set the default number of cells a
-    search visits, measured on about ``CALIBRATION_ROWS`` rows.
+    search visits, measured on about ``CALIBRATION_ROWS`` rows.  ``row_key``
+    names a long column of a written table that is never null and tells its
+    rows apart; without one the rows are copied once.
     """
     spark, payload = vectors.sparkSession, list(payload)
     norm = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
-    data = materialise(vectors.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<float>").alias("vector"), *payload)
-                       .withColumns({ROW_KEY: F.monotonically_increasing_id(), "_norm": norm}), "ann-rows")
+    source = vectors.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<float>").alias("vector"), *payload,
+                            (F.col(row_key) if row_key else F.monotonically_increasing_id()).alias(ROW_KEY))
+    if not row_key:
+        source = materialise(source, "ann-rows")  # fixes the key
+    data = source.select("id", "vector", ROW_KEY, norm.alias("_norm"))
     dim = data.where("_norm > 0").agg(F.max(F.size("vector")).alias("d")).first().d or 0
     whole = (F.col("_norm") > 0) & (F.size("vector") == dim) & (F.col("_norm") < float("inf"))
     full = data.where(whole)
@@ -196,6 +201,8 @@ def build_index(vectors: DataFrame, path: str, id_col: str = "id", vec_col: str
     rest = data.where(~F.coalesce(whole, F.lit(False))).withColumns({
         "cell": F.lit(ZERO_CELL), "coarse": F.lit(ZERO_CELL), "far": F.lit(0.0), "codes": F.lit(None).cast("binary")})
     placed = materialise(placed.unionByName(rest).drop("_norm"), "ann-placed")
+    if payload:
+        source.select(ROW_KEY, *payload).write.option("compression", "zstd").parquet(f"{where}/payload")
     sizes = {r.cell: (r.n, r.far) for r in placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("far")).collect()}
     blocks = _blocks({c: v[0] for c, v in sizes.items()}, BLOCK_ROWS)
     dealt = _dealt(placed, blocks, "_block", ROW_KEY).repartition("coarse", "cell", "_block").sortWithinPartitions("cell").drop("_block", "far")
@@ -268,7 +275,7 @@ def _calibrated(placed: DataFrame, index: Cells, cells: list[int], n: int, targe
     if not queries:
         return len(index.centres), 1.0
     rows = placed.select(F.col(ROW_KEY).alias("id"), F.col("vector").alias("embedding"), "cell")
-    near = knn(rows, asked, k=k, payload=["cell"]).select("query_id", "cell").collect()  # k rows a query of the sample
+    near = knn(rows, asked, k=k, payload=["cell"], row_key="id").select("query_id", "cell").collect()  # k rows a query of the sample
     names = list(queries)
     order = index.order(_unit(np.array([queries[q] for q in names], np.float32)))
     rank = np.argsort(order, axis=1)
@@ -311,6 +318,11 @@ def open_index(spark: SparkSession, path: str) -> Index:
                  {r.cell: r.radius for r in rows}, meta.nprobe, meta.recall)
 
 
+def _payload(spark: SparkSession, index: Index) -> DataFrame:
+    """Where the rows' payload stands; in indexes built earlier, beside the vectors."""
+    return spark.read.parquet(f"{index.where}/{'payload' if marked(spark, index.where, 'payload') else 'rows'}")
+
+
 def _probes(index: Index, asked: DataFrame, nprobe: int | None) -> DataFrame:
     """(query_id, cell, near, bound) of each query's cells: the ``nprobe`` nearest, or all with their bounds; and the reserved cell."""
     real = np.array([c for c in sorted(index.sizes) if c >= 0], np.int64)
@@ -446,7 +458,7 @@ def search(spark: SparkSession, path: str, queries: DataFrame, k: int = 10, npro
     probes = _probes(index, asked, index.nprobe if nprobe is None else nprobe)
     shared = spark.sparkContext.broadcast(index.cells)
     codes = spark.read.parquet(f"{index.where}/codes")
-    rows = spark.read.parquet(f"{index.where}/rows").select("id", ROW_KEY, F.col("vector").alias("_vector"), *payload)
+    rows = spark.read.parquet(f"{index.where}/rows").select("id", ROW_KEY, F.col("vector").alias("_vector"))
     every = shortlist >= sum(index.sizes.values())
     if every:
         codes = codes.join(rows.select(ROW_KEY, "_vector"), ROW_KEY)
@@ -458,11 +470,11 @@ def search(spark: SparkSession, path: str, queries: DataFrame, k: int = 10, npro
         _shortlisted(shared, shortlist, tile_queries, kmax if every else None), kind)
     order = [F.desc_nulls_last(F.round("similarity", TIE_DECIMALS)), F.asc("id")] if every else [F.desc("near"), F.asc("id")]
     best = Window.partitionBy("query_id").orderBy(*order)
-    chosen = near.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= F.lit(kmax if every else shortlist)).select("query_id", ROW_KEY, "cell")
-    ranked = (rows.join(chosen, ROW_KEY).join(asked, "query_id")
+    chosen = near.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= F.lit(kmax if every else shortlist)).select("query_id", ROW_KEY)
+    ranked = (rows.join(materialise(chosen, "ann-chosen"), ROW_KEY).join(asked, "query_id")
               .withColumn("similarity", F.when(F.size("_vector") == F.size("vector"), cosine_similarity("_vector", "vector")))
-              .select("query_id", "id", *payload, "similarity", "k"))
-    return _final_topk(ranked, kmax).withColumnRenamed("id", id_col)
+              .select("query_id", "id", ROW_KEY, "similarity", "k"))
+    return _with_payload(_final_topk(ranked, kmax), _payload(spark, index), payload, id_col)
 
 
 def exact_search(spark: SparkSession, path: str, queries: DataFrame, k: int = 10, nprobe: int | None = None, id_col: str = "id",
@@ -479,11 +491,11 @@ def exact_search(spark: SparkSession, path: str, queries: DataFrame, k: int = 10
     nprobe = nprobe or max(1, math.isqrt(len(index.sizes)))
     ahead = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("bound"), "cell")) <= nprobe
     probes = materialise(probes.withColumn("_first", ahead | (F.col("cell") == ZERO_CELL)), "ann-bounds")
-    rows = spark.read.parquet(f"{index.where}/rows").select("id", F.col("vector").cast("array<double>").alias("vector"), *payload, ROW_KEY, "cell", "coarse")
+    rows = spark.read.parquet(f"{index.where}/rows").select("id", F.col("vector").cast("array<double>").alias("vector"), ROW_KEY, "cell", "coarse")
 
     def scored(some: DataFrame, name: str) -> DataFrame:
         here, there = _paired(spark, index, rows, some.join(asked, "query_id").select("query_id", "vector", "k", "cell"), block_rows, tile_queries)
-        out = _search(here.drop(ROW_KEY), there, ["cell", "_block", "_tile"], k, payload, "id", rows.schema["id"].dataType,
+        out = _search(here, there, ["cell", "_block", "_tile"], k, [ROW_KEY], "id", rows.schema["id"].dataType,
                       asked.schema["query_id"].dataType, tile_queries, block_rows)
         return materialise(out, name)
 
@@ -496,4 +508,4 @@ def exact_search(spark: SparkSession, path: str, queries: DataFrame, k: int = 10
     count = (probes.where("_first").select("cell").unionByName(more.select("cell")).groupBy("cell").count().join(F.broadcast(sizes), "cell")
              .agg(F.coalesce(F.sum(F.col("count") * F.col("n")), F.lit(0))).first()[0])
     both = first.drop("rank").unionByName(second.drop("rank")).withColumn("k", F.lit(k).cast("long"))
-    return _final_topk(both, k).withColumnRenamed("id", id_col), int(count)
+    return _with_payload(_final_topk(both, k), _payload(spark, index), payload, id_col), int(count)

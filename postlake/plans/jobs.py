@@ -120,7 +120,8 @@ def index_daily(spark: SparkSession, layout: Layout, dim: int = 384, keep: int =
     encoding_log(spark, run_id, report).write.mode("append").parquet(layout.runs)
     model = HASHED_MODEL_NAME if encoder is None else encoder.name
     index = f"{layout.index}/{model}"
-    ann.build_index(read_vectors(spark, layout.vectors).where(F.col("model_name") == model), index, payload=HIT_COLUMNS)
+    ann.build_index(read_vectors(spark, layout.vectors).where(F.col("model_name") == model), index, payload=HIT_COLUMNS,
+                    row_key="id")
     prune_versions(spark, index, keep)
     return report | {"run_id": run_id, "n_written": n}
 
