@@ -129,7 +129,7 @@ def index_daily(spark: SparkSession, layout: Layout, dim: int = 384, keep: int =
 def predict(spark: SparkSession, layout: Layout, requests: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Batch prediction: (rows with an id; valid ones with probability, prediction, model_name, model_stage; rejects with reasons)."""
     typed = requests.select("id", *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.PREDICT_REQUEST.fields])
-    valid, rejected = split_valid(validate_predict(typed))
+    valid, rejected = split_valid(materialise(validate_predict(typed), "checked", "zstd"))  # both are read
     model = load_preferred(spark, layout.models, MODEL_PREFERENCE)
     featured = request_features(valid.drop("reasons", "valid"))
     scored = model.score(model_input(featured, with_target=False))
